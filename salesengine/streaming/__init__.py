@@ -1,0 +1,6 @@
+"""Streaming.
+
+The job this engine rebuilds is a batch job: one full run per invocation that
+replaces its tables. It has no streams, watermarks, windows or state, so this
+subpackage holds no operators.
+"""
