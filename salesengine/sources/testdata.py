@@ -7,10 +7,7 @@ per order, so about a quarter of the rows share a key), some dates are
 unparseable, some prices are zero, discounts leave [0, 1], categories carry
 stray spaces and upper case, regions are lower case.
 
-Joins are plain equi-joins on the star keys. No side is forced to broadcast:
-the planner broadcasts nation/region from their file-size statistics and AQE
-re-plans from runtime sizes, falling back to sort-merge joins (with skew-split)
-for the large sides.
+Joins are plain equi-joins on the star keys; no side is forced to broadcast.
 """
 
 from __future__ import annotations
@@ -19,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import MONEY, PRICE, RATIO
+from .scan import spread
 
 # Columns that order the copies of one transaction id ("first" row wins).
 ORDER_COLUMNS = ["_ord_ship", "_ord_part", "_ord_supp"]
@@ -46,23 +44,24 @@ def raw_sales_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = load_tables(spark, sf_dir, ["lineitem", "orders", "part", "customer", "nation", "region"])
     li, o, p, c, n, r = (t[k] for k in ["lineitem", "orders", "part", "customer", "nation", "region"])
 
-    geo = (
-        c.select("c_custkey", "c_nationkey")
-        .join(n.select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(r.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("c_custkey", "r_name")
-    )
-    orders = (
-        o.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-        .join(geo, F.col("o_custkey") == F.col("c_custkey"))
-        .select("o_orderkey", "o_orderdate", "o_orderpriority", "r_name")
+    # Fact-first: the line items stream through one join per dimension. Each
+    # dimension side is broadcast only if its own size estimate is under the
+    # broadcast threshold (nation/region always; orders/customer/part only at
+    # small scale), otherwise the join is a sort-merge join that AQE can
+    # still switch or skew-split at runtime. Joining the dimensions to each
+    # other first would make the fact side look smallest (join outputs are
+    # estimated as a product) and get it broadcast instead.
+    lines = li.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+        "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate",
     )
     base = (
-        li.select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate",
-        )
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        spread(lines)
+        .join(o.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"),
+              F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(c.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(n.select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(r.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
         .join(p.select("p_partkey", "p_name", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
     )
 
