@@ -95,8 +95,12 @@ def payment_share(sales: DataFrame) -> DataFrame:
     return (
         sales.groupBy("payment_method")
         .agg(F.count(F.lit(1)).alias("num_transactions"))
+        # Bind the subquery to a column once; the rounding expression reads
+        # its denominator several times and would otherwise plan one
+        # subquery (one extra job) per reference.
+        .withColumn("_total", total)
         .select("payment_method", "num_transactions",
-                percent(F.col("num_transactions"), total, 2).alias("pct_share"))
+                percent(F.col("num_transactions"), F.col("_total"), 2).alias("pct_share"))
         .orderBy(F.desc("num_transactions"), F.asc("payment_method"))
     )
 
