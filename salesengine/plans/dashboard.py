@@ -150,17 +150,37 @@ def heat_long(sales: DataFrame) -> DataFrame:
     )
 
 
+def pivot_values(sales: DataFrame) -> list[str]:
+    """Non-null categories with revenue, sorted: the pivot's column list.
+
+    The output schema has one column per value, so the list has to reach the
+    driver; it is a distributed DISTINCT over one pruned column and, like
+    Spark's own pivot, refuses more than ``spark.sql.pivotMaxValues`` values.
+    """
+    cap = int(sales.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
+    vals = (
+        positive(sales).select("category").where(F.col("category").isNotNull())
+        .distinct().orderBy("category").limit(cap + 1).collect()
+    )
+    if len(vals) > cap:
+        raise ValueError(f"more than {cap} pivot values; pass categories explicitly")
+    return [r[0] for r in vals]
+
+
 def heat_pivot(sales: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
     """One row per region, one column per category, missing cells 0.
 
     Pivots the aggregated long form (one value per cell, so ``sum`` is the
-    value itself). Pass ``categories`` (e.g. from D6) to skip the extra job
-    Spark runs to discover the pivot values; their count is bounded by
-    ``spark.sql.pivotMaxValues``.
+    value itself). Pass ``categories`` (e.g. from D6) to skip the job that
+    discovers them. Null categories get no column; their regions still get a
+    row.
     """
-    long = heat_long(sales)
-    grouped = long.groupBy("region")
-    pivoted = grouped.pivot("category", list(categories)) if categories is not None else grouped.pivot("category")
-    out = pivoted.agg(F.sum("revenue"))
-    value_cols = [c for c in out.columns if c != "region"]
-    return out.na.fill(0.0, subset=value_cols).select("region", *sorted(value_cols)).orderBy("region")
+    cats = sorted(categories) if categories is not None else pivot_values(sales)
+    out = heat_long(sales).groupBy("region").pivot("category", cats).agg(F.sum("revenue"))
+    cells = [F.coalesce(F.col(_quoted(c)), F.lit(0.0)).alias(c) for c in cats]
+    return out.select("region", *cells).orderBy("region")
+
+
+def _quoted(name: str) -> str:
+    """A column reference for an arbitrary value used as a column name."""
+    return "`" + name.replace("`", "``") + "`"
