@@ -12,12 +12,15 @@ def spread(df: DataFrame) -> DataFrame:
     a single task, and everything up to the next shuffle (joins against
     broadcast sides, per-row expressions, the map side of an aggregate) then
     runs in that one thread. When the scan has fewer partitions than the
-    default parallelism, rows are spread round-robin (Spark sorts before a
-    round-robin repartition, so a retried task gets the same rows). A large
-    input already scans as many splits and is returned unchanged — no shuffle.
+    default parallelism, rows are hash-spread on all their columns: as
+    deterministic under task retries as round-robin, without the sort Spark
+    runs before a round-robin exchange. Identical rows share a target task,
+    so a heavy run of exact copies spreads less well, but never worse than the
+    single reading task it replaces. An input that already scans as at least
+    one split per core is returned unchanged — no shuffle.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+        return df.repartition(cores, *df.columns)
     return df
