@@ -55,12 +55,24 @@ def run(spark: SparkSession, raw_path: str | list[str], out_path: str, quality:
 # --- fact table for the star-schema test tables -------------------------------
 _lock = threading.Lock()
 _written: dict[tuple[str, str], str] = {}
+_tables: dict[str, DataFrame] = {}
 
 
 def star_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     return raw_sales_from_star(spark, sf_dir), list(STAR_ORDER_COLUMNS)
 
 
+def fact_table(spark: SparkSession, path: str) -> DataFrame:
+    """One DataFrame per written fact table, shared by every report: its file
+    index (the listing of all year/month directories) is built once, not per
+    query."""
+    with _lock:
+        df = _tables.get(path)
+        if df is None or df.sparkSession is not spark:
+            df = _tables[path] = read_sales_table(spark, path)
+    return df
+
+
 def star_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned fact table for a test-table folder, written once per
     application to the shared work folder and read back for every report."""
@@ -72,4 +84,4 @@ def star_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
             path = new_table_path(spark, "sales")
             write_sales(clean_sales(raw, order), path)
             _written[key] = path
-    return read_sales_table(spark, path)
+    return fact_table(spark, path)
