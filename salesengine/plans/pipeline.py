@@ -19,7 +19,8 @@ from ..sources.csv import CSV_ORDER_COLUMNS, read_sales
 from ..sources.tables import read_sales_table, write_sales, write_summaries
 from ..sources.testdata import ORDER_COLUMNS as STAR_ORDER_COLUMNS
 from ..sources.testdata import raw_sales_from_star
-from ..session import new_table_path
+from ..session import new_table_path, size_shuffle_partitions
+from ..sources.scan import input_bytes
 
 
 @dataclass
@@ -44,6 +45,7 @@ def run(spark: SparkSession, raw_path: str | list[str], out_path: str, quality:
     aggregation rather than accumulator-style metrics, so the counts stay
     exact when tasks or stages are retried after an executor loss.
     """
+    size_shuffle_partitions(spark, input_bytes(spark, raw_path))
     raw = read_sales(spark, raw_path)
     sales_path = f"{out_path.rstrip('/')}/sales"
     sales = clean_and_write(raw, CSV_ORDER_COLUMNS, sales_path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -53,3 +54,20 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     if "://" not in base:
         os.makedirs(base, exist_ok=True)
     return f"{base}/salesengine/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def size_shuffle_partitions(spark: SparkSession, input_bytes: int, per_partition: int = 256 << 20) -> int:
+    """Start shuffles with enough partitions for ``input_bytes`` of input.
+
+    AQE can only coalesce shuffle partitions downwards, so a 100 TB dedupe
+    shuffle that starts at the default 200 partitions (500 GB each) spills
+    and crawls. This raises ``initialPartitionNum`` to input / per_partition
+    (never lowers a larger setting); AQE then merges what turns out small.
+    """
+    want = max(spark.sparkContext.defaultParallelism, math.ceil(input_bytes / per_partition))
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    have = max(int(spark.conf.get(key, None) or 0), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if want > have:
+        spark.conf.set(key, str(want))
+        return want
+    return have

@@ -20,7 +20,22 @@ def spread(df: DataFrame) -> DataFrame:
     one split per core is returned unchanged — no shuffle.
     """
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Connect session): leave the scan as is
+        return df
+    if splits < cores:
         return df.repartition(cores, *df.columns)
     return df
+
+
+def input_bytes(spark, paths: str | list[str]) -> int:
+    """Total size of the files under ``paths`` (one file-system call per path)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    total = 0
+    for p in [paths] if isinstance(paths, str) else paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return total

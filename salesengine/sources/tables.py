@@ -10,20 +10,17 @@ from ..schema import SALES, SALES_COLUMNS, SALES_PARTITION_COLUMNS
 SUMMARY_TABLES = ("monthly_category_summary", "regional_summary", "product_summary")
 
 
-def write_sales(sales: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """S3: replace the fact table, partitioned by year/month.
+def rebalanced_for_write(sales: DataFrame) -> DataFrame:
+    """The fact rows as written: ``rebalance`` on the partition columns lets
+    AQE size the write tasks. One hot month is split into several files of
+    the advisory size and many small months share a task, so neither file
+    count nor file size grows with skew."""
+    return sales.select(*SALES_COLUMNS).hint("rebalance", *SALES_PARTITION_COLUMNS)
 
-    ``rebalance`` on the partition columns lets AQE size the write tasks: one
-    hot month is split into several files of the advisory size, many small
-    months share a task, so neither file count nor file size grows with skew.
-    """
-    (
-        sales.select(*SALES_COLUMNS)
-        .hint("rebalance", *SALES_PARTITION_COLUMNS)
-        .write.mode(mode)
-        .partitionBy(*SALES_PARTITION_COLUMNS)
-        .parquet(path)
-    )
+
+def write_sales(sales: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """S3: replace the fact table, partitioned by year/month."""
+    rebalanced_for_write(sales).write.mode(mode).partitionBy(*SALES_PARTITION_COLUMNS).parquet(path)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,

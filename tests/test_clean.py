@@ -170,3 +170,58 @@ def test_clean_independent_of_partitioning(spark, parts):
     a = sorted(map(tuple, C.clean_sales(df, ORDER).collect()))
     b = sorted(map(tuple, C.clean_sales(df.repartition(parts), ORDER).collect()))
     assert a == b
+
+
+def test_clean_is_idempotent(spark):
+    from salesengine.operators.generate import generate_sales
+    from salesengine.schema import RAW_COLUMNS
+
+    raw = generate_sales(spark, 2000).withColumn("_o", F.lit(0))
+    once = C.clean_sales(raw, ORDER)
+    again_raw = once.withColumn("date", F.date_format("date", "yyyy-MM-dd")).select(*RAW_COLUMNS)
+    twice = C.clean_sales(again_raw.withColumn("_o", F.lit(0)), ORDER)
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
+
+
+def test_size_shuffle_partitions_only_raises(spark):
+    from salesengine.session import size_shuffle_partitions
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    try:
+        assert size_shuffle_partitions(spark, 10) >= 8
+        assert size_shuffle_partitions(spark, 100 * (256 << 20)) == 100
+        assert spark.conf.get(key) == "100"
+        assert size_shuffle_partitions(spark, 10) == 100  # never lowers
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dedupe_aggregates_before_the_shuffle(spark):
+    plan = _plan(C.dedupe_first(raw(spark, {}, {}), ORDER))
+    partial = plan.index("partial_min_by")
+    exchange = plan.index("Exchange hashpartitioning(transaction_id")
+    # Printed top-down: the exchange sits above (before) the partial aggregate.
+    assert exchange < partial
+
+
+def test_hot_key_third_of_rows(spark):
+    # One id holds a third of all rows, spread over every input partition.
+    rows = [{"transaction_id": "HOT" if i % 3 == 0 else f"T{i}", "final_amount": Decimal(i)} for i in range(3000)]
+    df = raw(spark, *rows).repartition(6)
+    out = C.dedupe_first(df, ORDER)
+    hot = out.filter("transaction_id = 'HOT'").collect()
+    assert len(hot) == 1 and hot[0].final_amount == Decimal(0)
+    assert out.count() == 1 + 2000
+
+
+def test_fact_write_is_rebalanced(spark):
+    from salesengine.sources.tables import rebalanced_for_write
+
+    sales = C.clean_sales(raw(spark, {}), ORDER)
+    plan = rebalanced_for_write(sales)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions [year" in plan
