@@ -6,7 +6,7 @@ Parquet fact table; ``summaries`` writes the three summary tables;
 ``quality`` computes the data-quality counters; every other entry is one
 report collected from the fact table. ``value`` is the sum of all entries.
 
-JVM warm-up: the same suite first runs once, untimed, on the sf0.001 tables
+JVM warm-up: the same suite first runs once, untimed, on the sf0.01 tables
 (``$BENCH_WARMUP_DIR``; empty to skip). Nothing carries over between the two
 passes (other input, fresh output folders, no caching), so the timed pass
 measures steady-state throughput rather than the JIT compiling Spark's code
@@ -58,7 +58,7 @@ def suite(spark, sf_dir: str) -> dict[str, float]:
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
-    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001").rstrip("/")
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.01").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus, app="salesengine-bench", shuffle_partitions=int(cpus) * 2)
     if warm_dir and warm_dir != sf_dir and os.path.isdir(warm_dir):

@@ -26,6 +26,10 @@ def read_sales(spark: SparkSession, path: str | list[str], with_order: bool = Tr
         spark.read.option("header", True)
         .option("mode", "PERMISSIVE")
         .option("nullValue", "")
+        # RFC 4180 quoting, as CSV writers like pandas produce it: a quote
+        # inside a quoted field is doubled (Spark's default escape is "\").
+        # Records stay one per line (no multiLine), so files remain splittable.
+        .option("escape", '"')
         .schema(text_schema)
         .csv(path)
     )
@@ -46,5 +50,6 @@ def read_sales(spark: SparkSession, path: str | list[str], with_order: bool = Tr
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Header, no index column, one folder of part files."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """Header, no index column, one folder of part files; quotes inside
+    quoted fields are doubled, so ``read_sales`` reads the files back."""
+    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)

@@ -104,3 +104,14 @@ def test_sql_binds_parameters(spark, tmp_out):
     # A quote in the value is data, not SQL.
     assert sql(spark, "SELECT count(*) AS n FROM sales WHERE category = :c", c="x' OR '1'='1").collect()[0].n == 0
     assert spark.table("regional_summary").count() == 5
+
+
+def test_read_sales_rfc4180_quotes(spark, tmp_out):
+    p = write_text(os.path.join(tmp_out, "q.csv"), [
+        'T1,2023-01-01,"Mat, ""Pro"" 5kg",Sports,North,1,1.00,0,1.00,UPI,False',
+    ])
+    r = read_sales(spark, p).collect()[0]
+    assert r.product_name == 'Mat, "Pro" 5kg' and r.category == "Sports"
+    out = os.path.join(tmp_out, "rt")
+    write_csv(read_sales(spark, p, with_order=False), out)
+    assert read_sales(spark, out).collect()[0].product_name == 'Mat, "Pro" 5kg'
