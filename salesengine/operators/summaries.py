@@ -3,6 +3,8 @@
 All are partial+final hash aggregates over a handful of keys, so the shuffle
 carries one row per key per map task. Summary tables drop null group keys
 (they are excluded from grouped summaries); the SQL-style reports keep them.
+A1, A2 and P1 take the fact table or the sales rollup; A3 groups by product
+and needs the fact table.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rounding import as_double, mean, mean_money, percent
+from .rollup import flagged, ids, measures, returned, revenue, revenue_count, rows, with_revenue
 
 
 def positive(sales: DataFrame) -> DataFrame:
@@ -29,12 +32,12 @@ def monthly_category_summary(sales: DataFrame) -> DataFrame:
     """A1: revenue, orders and mean order value by year, month, category."""
     keys = ["year", "month", "category"]
     return (
-        _keys_present(positive(sales), keys)
+        _keys_present(with_revenue(measures(sales)), keys)
         .groupBy(*keys)
         .agg(
-            as_double(F.sum("net_revenue")).alias("total_revenue"),
-            F.count("transaction_id").alias("total_orders"),
-            mean(F.sum("net_revenue"), F.count("net_revenue")).alias("avg_order_value"),
+            as_double(revenue()).alias("total_revenue"),
+            ids().alias("total_orders"),
+            mean(revenue(), revenue_count()).alias("avg_order_value"),
         )
         .orderBy(*keys)
     )
@@ -44,12 +47,12 @@ def regional_summary(sales: DataFrame) -> DataFrame:
     """A2: revenue, orders and mean of is_returned by region (over rows with
     revenue, so the rate is 0 by construction: returned rows have none)."""
     return (
-        _keys_present(positive(sales), ["region"])
+        _keys_present(with_revenue(measures(sales)), ["region"])
         .groupBy("region")
         .agg(
-            as_double(F.sum("net_revenue")).alias("total_revenue"),
-            F.count("transaction_id").alias("total_orders"),
-            mean(F.count_if(F.col("is_returned")), F.count("is_returned"), scale=0).alias("return_rate"),
+            as_double(revenue()).alias("total_revenue"),
+            ids().alias("total_orders"),
+            mean(returned(), flagged(), scale=0).alias("return_rate"),
         )
         .orderBy("region")
     )
@@ -76,15 +79,17 @@ def run_summary(sales: DataFrame) -> DataFrame:
 
     The lists are bounded by the number of distinct values, not by row count.
     """
-    nr = F.col("net_revenue")
-    pos_nr = F.when(nr > 0, nr)
-    return sales.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.date_format(F.min("date"), "yyyy-MM-dd").alias("min_date"),
-        F.date_format(F.max("date"), "yyyy-MM-dd").alias("max_date"),
-        as_double(F.sum(nr)).alias("total_net_revenue"),
-        mean_money(F.sum(pos_nr), F.count(pos_nr), 2).alias("avg_order_value"),
-        percent(F.count_if(F.col("is_returned")), F.count("is_returned"), 1).alias("return_rate_pct"),
+    m = measures(sales)
+    pos = F.col("has_revenue")
+    pos_revenue = F.sum(F.when(pos, F.col("sum_revenue")))
+    pos_count = F.coalesce(F.sum(F.when(pos, F.col("n_revenue"))), F.lit(0).cast("long"))
+    return m.agg(
+        rows().alias("total_records"),
+        F.date_format(F.min("min_date"), "yyyy-MM-dd").alias("min_date"),
+        F.date_format(F.max("max_date"), "yyyy-MM-dd").alias("max_date"),
+        as_double(revenue()).alias("total_net_revenue"),
+        mean_money(pos_revenue, pos_count, 2).alias("avg_order_value"),
+        percent(returned(), flagged(), 1).alias("return_rate_pct"),
         F.array_join(F.sort_array(F.collect_set("category")), ", ").alias("categories"),
         F.array_join(F.sort_array(F.collect_set("region")), ", ").alias("regions"),
     )

@@ -3,6 +3,9 @@
 Money is rounded to whole units and percentages to 1 decimal. The two local
 post-steps of a dashboard (the MM/YYYY label and the region x category pivot)
 are part of the plan, so nothing is finished on the driver.
+
+Datasets that do not group by product (all but D7-D9) take the fact table or
+the sales rollup and give the same result from either.
 """
 
 from __future__ import annotations
@@ -13,30 +16,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rounding import mean_money, mean_percent, percent, round_money
+from ..operators.rollup import ids, measures, returned, revenue, revenue_count, rows, with_revenue
 from ..operators.summaries import positive
 from .reports import day_type
 
 
 def kpis(sales: DataFrame) -> DataFrame:
     """Orders, revenue, mean order value, return rate over all rows."""
-    nr = F.col("net_revenue")
-    return sales.agg(
-        F.count("transaction_id").alias("total_orders"),
-        round_money(F.sum(nr), 0).alias("total_revenue"),
-        mean_money(F.sum(nr), F.count(nr), 0).alias("avg_order_value"),
-        percent(F.count_if(F.col("is_returned")), F.count(F.lit(1)), 1).alias("return_rate"),
+    return measures(sales).agg(
+        ids().alias("total_orders"),
+        round_money(revenue(), 0).alias("total_revenue"),
+        mean_money(revenue(), revenue_count(), 0).alias("avg_order_value"),
+        percent(returned(), rows(), 1).alias("return_rate"),
     )
 
 
 def monthly(sales: DataFrame) -> DataFrame:
     """Revenue and orders per month with an ``MM/YYYY`` label."""
     return (
-        positive(sales)
+        with_revenue(measures(sales))
         .groupBy("year", "month")
-        .agg(
-            round_money(F.sum("net_revenue"), 0).alias("revenue"),
-            F.count(F.lit(1)).alias("orders"),
-        )
+        .agg(round_money(revenue(), 0).alias("revenue"), rows().alias("orders"))
         .withColumn("period", F.concat(F.lpad(F.col("month").cast("string"), 2, "0"), F.lit("/"),
                                        F.col("year").cast("string")))
         .orderBy("year", "month")
@@ -46,9 +46,9 @@ def monthly(sales: DataFrame) -> DataFrame:
 def category_revenue(sales: DataFrame) -> DataFrame:
     """D3: revenue per category, descending."""
     return (
-        positive(sales)
+        with_revenue(measures(sales))
         .groupBy("category")
-        .agg(round_money(F.sum("net_revenue"), 0).alias("revenue"))
+        .agg(round_money(revenue(), 0).alias("revenue"))
         .orderBy(F.desc("revenue"), F.asc("category"))
     )
 
@@ -56,8 +56,9 @@ def category_revenue(sales: DataFrame) -> DataFrame:
 def payment_counts(sales: DataFrame) -> DataFrame:
     """Transactions per payment method, descending."""
     return (
-        sales.groupBy("payment_method")
-        .agg(F.count(F.lit(1)).alias("txns"))
+        measures(sales)
+        .groupBy("payment_method")
+        .agg(rows().alias("txns"))
         .orderBy(F.desc("txns"), F.asc("payment_method"))
     )
 
@@ -65,12 +66,9 @@ def payment_counts(sales: DataFrame) -> DataFrame:
 def day_type_split(sales: DataFrame) -> DataFrame:
     """Weekday vs weekend orders and revenue."""
     return (
-        positive(sales)
+        with_revenue(measures(sales))
         .groupBy(day_type(F.col("weekday")).alias("day_type"))
-        .agg(
-            F.count(F.lit(1)).alias("orders"),
-            round_money(F.sum("net_revenue"), 0).alias("revenue"),
-        )
+        .agg(rows().alias("orders"), round_money(revenue(), 0).alias("revenue"))
     )
 
 
@@ -116,26 +114,23 @@ def discount_scatter(sales: DataFrame) -> DataFrame:
 def bucket_distribution(sales: DataFrame) -> DataFrame:
     """Transactions and revenue per revenue bucket, descending."""
     return (
-        positive(sales)
+        with_revenue(measures(sales))
         .groupBy("revenue_bucket")
-        .agg(
-            F.count(F.lit(1)).alias("txns"),
-            round_money(F.sum("net_revenue"), 0).alias("revenue"),
-        )
+        .agg(rows().alias("txns"), round_money(revenue(), 0).alias("revenue"))
         .orderBy(F.desc("revenue"), F.asc("revenue_bucket"))
     )
 
 
 def regional_table(sales: DataFrame) -> DataFrame:
     """Revenue, orders, mean order value and return rate per region."""
-    nr = F.col("net_revenue")
     return (
-        sales.groupBy("region")
+        measures(sales)
+        .groupBy("region")
         .agg(
-            round_money(F.sum(nr), 0).alias("total_revenue"),
-            F.count(F.lit(1)).alias("total_orders"),
-            mean_money(F.sum(nr), F.count(nr), 0).alias("avg_order_value"),
-            percent(F.count_if(F.col("is_returned")), F.count(F.lit(1)), 1).alias("return_rate"),
+            round_money(revenue(), 0).alias("total_revenue"),
+            rows().alias("total_orders"),
+            mean_money(revenue(), revenue_count(), 0).alias("avg_order_value"),
+            percent(returned(), rows(), 1).alias("return_rate"),
         )
         .orderBy(F.desc("total_revenue"), F.asc("region"))
     )
@@ -144,9 +139,9 @@ def regional_table(sales: DataFrame) -> DataFrame:
 def heat_long(sales: DataFrame) -> DataFrame:
     """Revenue per (region, category), long form."""
     return (
-        positive(sales)
+        with_revenue(measures(sales))
         .groupBy("region", "category")
-        .agg(round_money(F.sum("net_revenue"), 0).alias("revenue"))
+        .agg(round_money(revenue(), 0).alias("revenue"))
     )
 
 
@@ -159,7 +154,7 @@ def pivot_values(sales: DataFrame) -> list[str]:
     """
     cap = int(sales.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
     vals = (
-        positive(sales).select("category").where(F.col("category").isNotNull())
+        with_revenue(measures(sales)).select("category").where(F.col("category").isNotNull())
         .distinct().orderBy("category").limit(cap + 1).collect()
     )
     if len(vals) > cap:

@@ -15,8 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.clean import clean_sales, quality_counts
+from ..operators.rollup import sales_rollup
 from ..sources.csv import CSV_ORDER_COLUMNS, read_sales
-from ..sources.tables import read_sales_table, write_sales, write_summaries
+from ..sources.tables import read_sales_table, write_sales, write_summaries, write_table
 from ..sources.testdata import ORDER_COLUMNS as STAR_ORDER_COLUMNS
 from ..sources.testdata import raw_sales_from_star
 from ..session import new_table_path, size_shuffle_partitions
@@ -29,6 +30,8 @@ class RunResult:
     sales_path: str
     summary_paths: dict[str, str]
     quality: DataFrame | None
+    rollup: DataFrame | None = None
+    rollup_path: str | None = None
 
 
 def clean_and_write(raw: DataFrame, order_cols: Sequence[str], out_path: str) -> DataFrame:
@@ -50,13 +53,15 @@ def run(spark: SparkSession, raw_path: str | list[str], out_path: str, quality:
     sales_path = f"{out_path.rstrip('/')}/sales"
     sales = clean_and_write(raw, CSV_ORDER_COLUMNS, sales_path)
     paths = write_summaries(sales, out_path)
+    rollup_path = f"{out_path.rstrip('/')}/sales_rollup"
+    write_table(sales_rollup(sales), rollup_path)
     q = quality_counts(read_sales(spark, raw_path), CSV_ORDER_COLUMNS) if quality else None
-    return RunResult(sales, sales_path, paths, q)
+    return RunResult(sales, sales_path, paths, q, spark.read.parquet(rollup_path), rollup_path)
 
 
-# --- fact table for the star-schema test tables -------------------------------
-_lock = threading.Lock()
-_written: dict[tuple[str, str], str] = {}
+# --- tables for the star-schema test tables -------------------------------------
+_lock = threading.RLock()
+_written: dict[tuple[str, str, str], str] = {}
 _tables: dict[str, DataFrame] = {}
 
 
@@ -75,15 +80,37 @@ def fact_table(spark: SparkSession, path: str) -> DataFrame:
     return df
 
 
+def _rollup_table(spark: SparkSession, path: str) -> DataFrame:
+    with _lock:
+        df = _tables.get(path)
+        if df is None or df.sparkSession is not spark:
+            df = _tables[path] = spark.read.parquet(path)
+    return df
+
+
+def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple[str, str, str]:
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
+
+
 def star_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned fact table for a test-table folder, written once per
     application to the shared work folder and read back for every report."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _lock:
-        path = _written.get(key)
+        path = _written.get(_key(spark, sf_dir, "sales"))
         if path is None:
             raw, order = star_raw(spark, sf_dir)
             path = new_table_path(spark, "sales")
             write_sales(clean_sales(raw, order), path)
-            _written[key] = path
+            _written[_key(spark, sf_dir, "sales")] = path
     return fact_table(spark, path)
+
+
+def star_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales rollup of ``star_sales``, written once per application."""
+    with _lock:
+        path = _written.get(_key(spark, sf_dir, "rollup"))
+        if path is None:
+            path = new_table_path(spark, "rollup")
+            write_table(sales_rollup(star_sales(spark, sf_dir)), path)
+            _written[_key(spark, sf_dir, "rollup")] = path
+    return _rollup_table(spark, path)

@@ -2,6 +2,7 @@
 
 Each answers one of the plain-English example questions with a fixed
 definition; ties break on the name, ascending. Parameters are bound values.
+All but N3 (which groups by product) take the fact table or the sales rollup.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rounding import percent, round_money
+from ..operators.rollup import ids, measures, returned, revenue, rows, rows_where, with_revenue
 from ..operators.summaries import positive
 from ..schema import WEEKEND_DAYS
 
@@ -22,13 +24,11 @@ def in_quarter(quarter: int) -> Column:
 
 def region_return_rate(sales: DataFrame, quarter: int | None = None, k: int = 1) -> DataFrame:
     """region(s) with the highest return rate, optionally in a quarter."""
-    df = sales if quarter is None else sales.filter(in_quarter(quarter))
+    m = measures(sales)
+    df = m if quarter is None else m.filter(in_quarter(quarter))
     return (
         df.groupBy("region")
-        .agg(
-            F.count_if(F.col("is_returned")).alias("returns"),
-            F.count(F.lit(1)).alias("total_orders"),
-        )
+        .agg(returned().alias("returns"), rows().alias("total_orders"))
         .select(
             "region", "returns", "total_orders",
             percent(F.col("returns"), F.col("total_orders"), 2).alias("return_rate_pct"),
@@ -58,13 +58,10 @@ def monthly_in_quarter(sales: DataFrame, year: int, quarter: int) -> DataFrame:
     to three month directories before any file is opened.
     """
     return (
-        positive(sales)
+        with_revenue(measures(sales))
         .filter((F.col("year") == F.lit(year)) & in_quarter(quarter))
         .groupBy("year", "month")
-        .agg(
-            round_money(F.sum("net_revenue"), 2).alias("monthly_revenue"),
-            F.count("transaction_id").alias("total_orders"),
-        )
+        .agg(round_money(revenue(), 2).alias("monthly_revenue"), ids().alias("total_orders"))
         .orderBy("year", "month")
     )
 
@@ -72,9 +69,10 @@ def monthly_in_quarter(sales: DataFrame, year: int, quarter: int) -> DataFrame:
 def weekend_payment(sales: DataFrame, k: int = 1) -> DataFrame:
     """Most used payment method(s) on Saturdays and Sundays."""
     return (
-        sales.filter(F.col("weekday").isin(*WEEKEND_DAYS))
+        measures(sales)
+        .filter(F.col("weekday").isin(*WEEKEND_DAYS))
         .groupBy("payment_method")
-        .agg(F.count(F.lit(1)).alias("num_transactions"))
+        .agg(rows().alias("num_transactions"))
         .orderBy(F.desc("num_transactions"), F.asc("payment_method"))
         .limit(k)
     )
@@ -82,9 +80,9 @@ def weekend_payment(sales: DataFrame, k: int = 1) -> DataFrame:
 
 def premium_share(sales: DataFrame, bucket: str = "Premium") -> DataFrame:
     """Share of all orders that fall in one revenue bucket."""
-    return sales.agg(
-        F.count_if(F.col("revenue_bucket") == F.lit(bucket)).alias("premium_orders"),
-        F.count(F.lit(1)).alias("total_orders"),
+    return measures(sales).agg(
+        rows_where(F.col("revenue_bucket") == F.lit(bucket)).alias("premium_orders"),
+        rows().alias("total_orders"),
     ).select(
         "premium_orders", "total_orders",
         percent(F.col("premium_orders"), F.col("total_orders"), 2).alias("premium_share_pct"),

@@ -1,8 +1,9 @@
 """Named queries over a folder of star-schema test tables.
 
 Cleaning-step keys run their operator on the raw view (each preceded only by
-the steps it needs as input). Report keys read the cleaned fact table, which
-is written once per application (see ``pipeline.star_sales``). Outputs use
+the steps it needs as input). Reports that group by product read the cleaned
+fact table; all other reports read the sales rollup. Both are written once
+per application (``pipeline.star_sales`` / ``star_rollup``). Outputs use
 portable types: DATE as ISO text, DECIMAL as the nearest DOUBLE.
 """
 
@@ -22,7 +23,7 @@ from ..sources.testdata import ORDER_COLUMNS, PARAM_CATEGORY, PARAM_QUARTER, PAR
 from . import dashboard as D
 from . import questions as N
 from . import reports as Q
-from .pipeline import star_raw, star_sales
+from .pipeline import star_raw, star_rollup, star_sales
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +72,13 @@ def _on_sales(report: Callable[[DataFrame], DataFrame]) -> Query:
     return q
 
 
+def _on_rollup(report: Callable[[DataFrame], DataFrame]) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return report(star_rollup(spark, sf_dir))
+
+    return q
+
+
 def _adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_views(spark, star_sales(spark, sf_dir))
     return sql(spark, ADHOC_SQL, category=PARAM_CATEGORY)
@@ -89,40 +97,40 @@ QUERIES: dict[str, Query] = {
     "clean_sales": _ordered(C.clean_sales),
     "quality_counts": _ordered(C.quality_counts),
     # A1-A3, P1
-    "monthly_category_summary": _on_sales(A.monthly_category_summary),
-    "regional_summary": _on_sales(A.regional_summary),
+    "monthly_category_summary": _on_rollup(A.monthly_category_summary),
+    "regional_summary": _on_rollup(A.regional_summary),
     "product_summary": _on_sales(A.product_summary),
-    "run_summary": _on_sales(A.run_summary),
+    "run_summary": _on_rollup(A.run_summary),
     # Q1-Q8
-    "rpt_overview": _on_sales(Q.overview),
-    "rpt_monthly": _on_sales(Q.monthly_trend),
-    "rpt_top_categories": _on_sales(Q.top_categories),
-    "rpt_regional": _on_sales(Q.regional_performance),
+    "rpt_overview": _on_rollup(Q.overview),
+    "rpt_monthly": _on_rollup(Q.monthly_trend),
+    "rpt_top_categories": _on_rollup(Q.top_categories),
+    "rpt_regional": _on_rollup(Q.regional_performance),
     "rpt_top_products_units": _on_sales(Q.top_products_by_units),
-    "rpt_payment_share": _on_sales(Q.payment_share),
-    "rpt_day_type": _on_sales(Q.weekend_split),
-    "rpt_buckets": _on_sales(Q.revenue_buckets),
+    "rpt_payment_share": _on_rollup(Q.payment_share),
+    "rpt_day_type": _on_rollup(Q.weekend_split),
+    "rpt_buckets": _on_rollup(Q.revenue_buckets),
     # D1-D13
-    "dash_kpis": _on_sales(D.kpis),
-    "dash_monthly": _on_sales(D.monthly),
-    "dash_category": _on_sales(D.category_revenue),
-    "dash_payment": _on_sales(D.payment_counts),
-    "dash_day_type": _on_sales(D.day_type_split),
-    "dash_category_list": _on_sales(D.category_list),
+    "dash_kpis": _on_rollup(D.kpis),
+    "dash_monthly": _on_rollup(D.monthly),
+    "dash_category": _on_rollup(D.category_revenue),
+    "dash_payment": _on_rollup(D.payment_counts),
+    "dash_day_type": _on_rollup(D.day_type_split),
+    "dash_category_list": _on_rollup(D.category_list),
     "dash_top_products": _on_sales(D.top_products),
     "dash_top_products_cat": _on_sales(lambda s: D.top_products(s, category=PARAM_CATEGORY)),
     "dash_discount_scatter": _on_sales(D.discount_scatter),
-    "dash_buckets": _on_sales(D.bucket_distribution),
-    "dash_regional": _on_sales(D.regional_table),
-    "dash_heat_long": _on_sales(D.heat_long),
-    "dash_heat_pivot": _on_sales(D.heat_pivot),
+    "dash_buckets": _on_rollup(D.bucket_distribution),
+    "dash_regional": _on_rollup(D.regional_table),
+    "dash_heat_long": _on_rollup(D.heat_long),
+    "dash_heat_pivot": _on_rollup(D.heat_pivot),
     # N1-N6
-    "q_region_return": _on_sales(N.region_return_rate),
-    "q_region_return_quarter": _on_sales(lambda s: N.region_return_rate(s, quarter=PARAM_QUARTER)),
+    "q_region_return": _on_rollup(N.region_return_rate),
+    "q_region_return_quarter": _on_rollup(lambda s: N.region_return_rate(s, quarter=PARAM_QUARTER)),
     "q_top_products_in_category": _on_sales(lambda s: N.top_products_in_category(s, PARAM_CATEGORY)),
-    "q_monthly_in_quarter": _on_sales(lambda s: N.monthly_in_quarter(s, PARAM_YEAR, PARAM_QUARTER)),
-    "q_weekend_payment": _on_sales(N.weekend_payment),
-    "q_premium_share": _on_sales(N.premium_share),
+    "q_monthly_in_quarter": _on_rollup(lambda s: N.monthly_in_quarter(s, PARAM_YEAR, PARAM_QUARTER)),
+    "q_weekend_payment": _on_rollup(N.weekend_payment),
+    "q_premium_share": _on_rollup(N.premium_share),
     # S5
     "adhoc_sql": _adhoc,
 }

@@ -1,8 +1,11 @@
-"""Q1-Q8 — the reporting query pack over the ``sales`` fact table.
+"""Q1-Q8 — the reporting query pack.
 
 Money is rounded to 2 decimals and percentages to 2 decimals, half away from
 zero on exact values. Top-k reports break ties on the name so that the rows
 kept by LIMIT are deterministic; they plan as TakeOrderedAndProject.
+
+Every report except Q5 (which groups by product) takes the fact table or the
+sales rollup (``operators.rollup``) and gives the same result from either.
 """
 
 from __future__ import annotations
@@ -11,6 +14,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rounding import mean_money, mean_percent, percent, round_money
+from ..operators.rollup import (
+    discount,
+    discount_count,
+    ids,
+    measures,
+    returned,
+    revenue,
+    revenue_count,
+    rows,
+    with_revenue,
+)
 from ..operators.summaries import positive
 from ..schema import WEEKEND_DAYS
 
@@ -21,24 +35,20 @@ def day_type(weekday: Column) -> Column:
 
 def overview(sales: DataFrame) -> DataFrame:
     """Q1: orders, revenue, mean order value and return rate over all rows."""
-    nr = F.col("net_revenue")
-    return sales.agg(
-        F.count("transaction_id").alias("total_orders"),
-        round_money(F.sum(nr), 2).alias("total_net_revenue"),
-        mean_money(F.sum(nr), F.count(nr), 2).alias("avg_order_value"),
-        percent(F.count_if(F.col("is_returned")), F.count(F.lit(1)), 2).alias("return_rate_pct"),
+    return measures(sales).agg(
+        ids().alias("total_orders"),
+        round_money(revenue(), 2).alias("total_net_revenue"),
+        mean_money(revenue(), revenue_count(), 2).alias("avg_order_value"),
+        percent(returned(), rows(), 2).alias("return_rate_pct"),
     )
 
 
 def monthly_trend(sales: DataFrame) -> DataFrame:
     """Q2: revenue and orders per month, rows with revenue."""
     return (
-        positive(sales)
+        with_revenue(measures(sales))
         .groupBy("year", "month")
-        .agg(
-            round_money(F.sum("net_revenue"), 2).alias("monthly_revenue"),
-            F.count("transaction_id").alias("total_orders"),
-        )
+        .agg(round_money(revenue(), 2).alias("monthly_revenue"), ids().alias("total_orders"))
         .orderBy("year", "month")
     )
 
@@ -46,12 +56,12 @@ def monthly_trend(sales: DataFrame) -> DataFrame:
 def top_categories(sales: DataFrame, k: int = 5) -> DataFrame:
     """Q3: top-k categories by revenue with mean discount in percent."""
     return (
-        positive(sales)
+        with_revenue(measures(sales))
         .groupBy("category")
         .agg(
-            round_money(F.sum("net_revenue"), 2).alias("total_revenue"),
-            F.count("transaction_id").alias("total_orders"),
-            mean_percent(F.sum("discount_pct"), F.count("discount_pct"), 2).alias("avg_discount_pct"),
+            round_money(revenue(), 2).alias("total_revenue"),
+            ids().alias("total_orders"),
+            mean_percent(discount(), discount_count(), 2).alias("avg_discount_pct"),
         )
         .orderBy(F.desc("total_revenue"), F.asc("category"))
         .limit(k)
@@ -61,11 +71,12 @@ def top_categories(sales: DataFrame, k: int = 5) -> DataFrame:
 def regional_performance(sales: DataFrame) -> DataFrame:
     """Q4: revenue, orders and return rate by region over all rows."""
     return (
-        sales.groupBy("region")
+        measures(sales)
+        .groupBy("region")
         .agg(
-            round_money(F.sum("net_revenue"), 2).alias("total_revenue"),
-            F.count("transaction_id").alias("total_orders"),
-            percent(F.count_if(F.col("is_returned")), F.count(F.lit(1)), 2).alias("return_rate_pct"),
+            round_money(revenue(), 2).alias("total_revenue"),
+            ids().alias("total_orders"),
+            percent(returned(), rows(), 2).alias("return_rate_pct"),
         )
         .orderBy(F.desc("total_revenue"), F.asc("region"))
     )
@@ -91,10 +102,11 @@ def payment_share(sales: DataFrame) -> DataFrame:
     The total is an uncorrelated scalar subquery (a count Spark runs once and
     plugs in as a literal), not a cross join.
     """
-    total = sales.select(F.count(F.lit(1))).scalar()
+    m = measures(sales)
+    total = m.select(rows()).scalar()
     return (
-        sales.groupBy("payment_method")
-        .agg(F.count(F.lit(1)).alias("num_transactions"))
+        m.groupBy("payment_method")
+        .agg(rows().alias("num_transactions"))
         # Bind the subquery to a column once; the rounding expression reads
         # its denominator several times and would otherwise plan one
         # subquery (one extra job) per reference.
@@ -108,12 +120,12 @@ def payment_share(sales: DataFrame) -> DataFrame:
 def weekend_split(sales: DataFrame) -> DataFrame:
     """Q7: weekend vs weekday orders, revenue, mean order value."""
     return (
-        positive(sales)
+        with_revenue(measures(sales))
         .groupBy(day_type(F.col("weekday")).alias("day_type"))
         .agg(
-            F.count("transaction_id").alias("total_orders"),
-            round_money(F.sum("net_revenue"), 2).alias("total_revenue"),
-            mean_money(F.sum("net_revenue"), F.count("net_revenue"), 2).alias("avg_order_value"),
+            ids().alias("total_orders"),
+            round_money(revenue(), 2).alias("total_revenue"),
+            mean_money(revenue(), revenue_count(), 2).alias("avg_order_value"),
         )
     )
 
@@ -121,12 +133,12 @@ def weekend_split(sales: DataFrame) -> DataFrame:
 def revenue_buckets(sales: DataFrame) -> DataFrame:
     """Q8: transactions, revenue, mean order value per revenue bucket."""
     return (
-        positive(sales)
+        with_revenue(measures(sales))
         .groupBy("revenue_bucket")
         .agg(
-            F.count(F.lit(1)).alias("num_transactions"),
-            round_money(F.sum("net_revenue"), 2).alias("total_revenue"),
-            mean_money(F.sum("net_revenue"), F.count("net_revenue"), 2).alias("avg_order_value"),
+            rows().alias("num_transactions"),
+            round_money(revenue(), 2).alias("total_revenue"),
+            mean_money(revenue(), revenue_count(), 2).alias("avg_order_value"),
         )
         .orderBy(F.desc("avg_order_value"), F.asc("revenue_bucket"))
     )
