@@ -54,19 +54,26 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_summaries(sales: DataFrame, base: str, mode: str = "overwrite") -> dict[str, str]:
-    """The three summary tables, each replaced; returns name -> path."""
+def write_summaries(sales: DataFrame, base: str, mode: str = "overwrite",
+                    rollup: DataFrame | None = None) -> dict[str, str]:
+    """The three summary tables, each replaced; returns name -> path.
+
+    With a written ``rollup``, A1 and A2 are computed from it (a table bounded
+    by the key domains) and only A3, which groups by product, scans the fact
+    table.
+    """
     from ..operators.summaries import monthly_category_summary, product_summary, regional_summary
 
+    small = rollup if rollup is not None else sales
     builders = {
-        "monthly_category_summary": monthly_category_summary,
-        "regional_summary": regional_summary,
-        "product_summary": product_summary,
+        "monthly_category_summary": lambda: monthly_category_summary(small),
+        "regional_summary": lambda: regional_summary(small),
+        "product_summary": lambda: product_summary(sales),
     }
     out = {}
     for name, build in builders.items():
         p = f"{base.rstrip('/')}/{name}"
-        write_table(build(sales), p, mode)
+        write_table(build(), p, mode)
         out[name] = p
     return out
 

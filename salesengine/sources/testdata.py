@@ -5,7 +5,9 @@ This view maps each line item to one raw sale and deliberately dirties it, so
 every cleaning step has real work: transaction ids repeat (line numbers are
 per order, so about a quarter of the rows share a key), some dates are
 unparseable, some prices are zero, discounts leave [0, 1], categories carry
-stray spaces and upper case, regions are lower case.
+stray spaces and upper case, regions are lower case. Every line item of the
+whole tables becomes a row: the two part-key moduli below only choose which
+rows get a dirty value, they never filter rows out.
 
 Joins are plain equi-joins on the star keys; no side is forced to broadcast.
 """

@@ -115,3 +115,15 @@ def test_read_sales_rfc4180_quotes(spark, tmp_out):
     out = os.path.join(tmp_out, "rt")
     write_csv(read_sales(spark, p, with_order=False), out)
     assert read_sales(spark, out).collect()[0].product_name == 'Mat, "Pro" 5kg'
+
+
+def test_run_writes_rollup_and_summaries_agree(spark, tmp_out):
+    from salesengine.operators.summaries import monthly_category_summary, regional_summary
+
+    raw = os.path.join(tmp_out, "raw")
+    write_csv(generate_sales(spark, 3000), raw)
+    res = run(spark, raw, os.path.join(tmp_out, "out"), quality=False)
+    assert res.rollup.agg({"n_rows": "sum"}).collect()[0][0] == 3000
+    for name, f in [("monthly_category_summary", monthly_category_summary), ("regional_summary", regional_summary)]:
+        written = sorted(map(tuple, spark.read.parquet(res.summary_paths[name]).collect()))
+        assert written == sorted(map(tuple, f(res.sales).collect()))
