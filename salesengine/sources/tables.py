@@ -23,6 +23,18 @@ def write_sales(sales: DataFrame, path: str, mode: str = "overwrite") -> None:
     rebalanced_for_write(sales).write.mode(mode).partitionBy(*SALES_PARTITION_COLUMNS).parquet(path)
 
 
+def write_staged(staged: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """S3 with the data-quality split: write a ``clean_with_status`` result
+    partitioned by status, year, month in one job; returns the fact table's
+    path (the ``dq_status=ok`` directory, whose year/month layout is that of
+    ``write_sales``). Rejected rows land beside it, under their status."""
+    from ..operators.clean import OK, STATUS
+
+    keys = [STATUS, *SALES_PARTITION_COLUMNS]
+    staged.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).parquet(path)
+    return f"{path.rstrip('/')}/{STATUS}={OK}"
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
                mode: str = "overwrite", partitions: int = 16, batch_size: int = 10000) -> None:
     """S3/S4 for a relational target: replace ``table`` over JDBC.

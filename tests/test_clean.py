@@ -225,3 +225,20 @@ def test_fact_write_is_rebalanced(spark):
     sales = C.clean_sales(raw(spark, {}), ORDER)
     plan = rebalanced_for_write(sales)._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions [year" in plan
+
+
+def test_status_split_matches_clean_and_counters(spark):
+    rows = [
+        {"transaction_id": "A"}, {"transaction_id": "A"},
+        {"transaction_id": "B", "date": "bad"},
+        {"transaction_id": "C", "unit_price": Decimal("0")},
+        {"transaction_id": "D"}, {"transaction_id": "E", "date": None},
+        {"transaction_id": "F", "date": "2023-02-30"}, {"transaction_id": "F", "date": "2023-01-01"},
+    ]
+    df = raw(spark, *rows)
+    staged = C.clean_with_status(df, ORDER)
+    ok = staged.filter(F.col(C.STATUS) == C.OK).select(*SALES_COLUMNS)
+    assert sorted(map(tuple, ok.collect())) == sorted(map(tuple, C.clean_sales(df, ORDER).collect()))
+    a = C.status_counts(staged).collect()[0].asDict()
+    b = C.quality_counts(df, ORDER).collect()[0].asDict()
+    assert a == b == {"raw_rows": 8, "duplicates": 2, "bad_dates": 3, "bad_prices": 1, "clean_rows": 2}

@@ -94,6 +94,27 @@ def test_run_end_to_end(spark, tmp_out):
     assert (q.raw_rows, q.duplicates, q.bad_dates, q.bad_prices, q.clean_rows) == (4000, 0, 0, 0, 4000)
 
 
+def test_run_dirty_input_one_pass(spark, tmp_out):
+    from salesengine.operators.clean import quality_counts
+
+    d = os.path.join(tmp_out, "dirty")
+    os.makedirs(d)
+    write_text(os.path.join(d, "a.csv"), [
+        "A,2023-01-01,P, sPORTS ,north,1,1.00,0.5,1.00,UPI,False",
+        "A,2023-01-02,P,Sports,North,1,1.00,0.5,9.00,UPI,False",
+        "B,not-a-date,P,Sports,North,1,1.00,0.5,1.00,UPI,False",
+        "C,2023-01-03,P,Sports,North,1,0,0.5,1.00,UPI,False",
+        "D,2023-01-04,P,Sports,North,1,1.00,1.5,600.00,Cash,True",
+    ])
+    res = run(spark, d, os.path.join(tmp_out, "out"))
+    q = res.quality.collect()[0].asDict()
+    assert q == quality_counts(read_sales(spark, d), CSV_ORDER_COLUMNS).collect()[0].asDict()
+    assert q == {"raw_rows": 5, "duplicates": 1, "bad_dates": 1, "bad_prices": 1, "clean_rows": 2}
+    got = sorted(map(tuple, res.sales.collect()))
+    assert got == sorted(map(tuple, clean_sales(read_sales(spark, d), CSV_ORDER_COLUMNS).collect()))
+    assert {r.final_amount for r in res.sales.collect()} == {Decimal("1.00"), Decimal("600.00")}
+
+
 def test_sql_binds_parameters(spark, tmp_out):
     from pyspark.sql import functions as F
 
