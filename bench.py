@@ -67,7 +67,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.01").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cpus, app="salesengine-bench", shuffle_partitions=int(cpus) * 2)
+    conf = {}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):  # per-stage times for diagnosis
+        conf = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]}
+    spark = local_session(cpus, app="salesengine-bench", shuffle_partitions=int(cpus) * 2, **conf)
     if warm_dir and warm_dir != sf_dir and os.path.isdir(warm_dir):
         suite(spark, warm_dir)
     times = suite(spark, sf_dir)

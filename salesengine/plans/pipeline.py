@@ -1,9 +1,10 @@
-"""The batch job: read -> clean -> write fact table -> write summaries.
+"""The batch job: read -> clean -> write fact table -> rollup -> summaries.
 
-Reports never re-run the cleaning: they read the written, partitioned Parquet
-fact table (column pruning, pushed filters, partition pruning on year/month).
-The written table also cuts the lineage, so a lost executor during a report
-recomputes from Parquet, not from the raw input and the dedupe shuffle.
+Reports never re-run the cleaning: they read the written tables (the
+partitioned Parquet fact table, or the sales rollup), with column pruning,
+pushed filters and partition pruning. The written tables also cut the
+lineage, so a lost executor during a report recomputes from Parquet, not from
+the raw input and the dedupe shuffle.
 """
 
 from __future__ import annotations
@@ -15,12 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.clean import clean_sales, clean_with_status, status_counts
 from ..operators.rollup import sales_rollup
+from ..session import new_table_path, size_shuffle_partitions
 from ..sources.csv import CSV_ORDER_COLUMNS, read_sales
+from ..sources.scan import input_bytes
 from ..sources.tables import read_sales_table, write_sales, write_staged, write_summaries, write_table
 from ..sources.testdata import ORDER_COLUMNS as STAR_ORDER_COLUMNS
 from ..sources.testdata import raw_sales_from_star
-from ..session import new_table_path, size_shuffle_partitions
-from ..sources.scan import input_bytes
 
 
 @dataclass
@@ -68,23 +69,18 @@ def star_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     return raw_sales_from_star(spark, sf_dir), list(STAR_ORDER_COLUMNS)
 
 
-def fact_table(spark: SparkSession, path: str) -> DataFrame:
-    """One DataFrame per written fact table, shared by every report: its file
-    index (the listing of all year/month directories) is built once, not per
-    query."""
+def _shared(spark: SparkSession, path: str, read) -> DataFrame:
+    """One DataFrame per written table, shared by every report: its file index
+    (the listing of all its directories) is built once, not per query."""
     with _lock:
         df = _tables.get(path)
         if df is None or df.sparkSession is not spark:
-            df = _tables[path] = read_sales_table(spark, path)
+            df = _tables[path] = read(spark, path)
     return df
 
 
-def _rollup_table(spark: SparkSession, path: str) -> DataFrame:
-    with _lock:
-        df = _tables.get(path)
-        if df is None or df.sparkSession is not spark:
-            df = _tables[path] = spark.read.parquet(path)
-    return df
+def fact_table(spark: SparkSession, path: str) -> DataFrame:
+    return _shared(spark, path, read_sales_table)
 
 
 def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple[str, str, str]:
@@ -112,4 +108,4 @@ def star_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
             path = new_table_path(spark, "rollup")
             write_table(sales_rollup(star_sales(spark, sf_dir)), path)
             _written[_key(spark, sf_dir, "rollup")] = path
-    return _rollup_table(spark, path)
+    return _shared(spark, path, lambda sp, p: sp.read.parquet(p))
