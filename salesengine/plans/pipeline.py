@@ -18,7 +18,7 @@ from ..operators.clean import clean_sales, clean_with_status, status_counts
 from ..operators.rollup import sales_rollup
 from ..session import new_table_path, size_shuffle_partitions
 from ..sources.csv import CSV_ORDER_COLUMNS, read_sales
-from ..sources.scan import input_bytes
+from ..sources.scan import input_bytes, spread
 from ..sources.tables import read_sales_table, write_sales, write_staged, write_summaries, write_table
 from ..sources.testdata import ORDER_COLUMNS as STAR_ORDER_COLUMNS
 from ..sources.testdata import raw_sales_from_star
@@ -49,7 +49,10 @@ def run(spark: SparkSession, raw_path: str | list[str], out_path: str, quality:
     size_shuffle_partitions(spark, input_bytes(spark, raw_path))
     base = out_path.rstrip("/")
     staged_path = f"{base}/staged"
-    sales_path = write_staged(clean_with_status(read_sales(spark, raw_path), CSV_ORDER_COLUMNS), staged_path)
+    # The order columns are fixed by the scan; spreading afterwards only
+    # matters for unsplittable input (e.g. one large gzip file).
+    raw = spread(read_sales(spark, raw_path))
+    sales_path = write_staged(clean_with_status(raw, CSV_ORDER_COLUMNS), staged_path)
     sales = read_sales_table(spark, sales_path)
     rollup_path = f"{base}/sales_rollup"
     write_table(sales_rollup(sales), rollup_path)

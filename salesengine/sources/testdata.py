@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import MONEY, PRICE, RATIO
-from .scan import spread
 
 # Columns that order the copies of one transaction id ("first" row wins).
 ORDER_COLUMNS = ["_ord_ship", "_ord_part", "_ord_supp"]
@@ -62,24 +61,33 @@ def raw_sales_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = load_tables(spark, sf_dir, ["lineitem", "orders", "part", "customer", "nation", "region"])
     li, o, p, c, n, r = (t[k] for k in ["lineitem", "orders", "part", "customer", "nation", "region"])
 
-    # Fact-first: the line items stream through one join per dimension. Each
-    # dimension side is broadcast only if its own size estimate is under the
-    # broadcast threshold (nation/region always; orders/customer/part only at
-    # small scale), otherwise the join is a sort-merge join that AQE can
-    # still switch or skew-split at runtime. Joining the dimensions to each
-    # other first would make the fact side look smallest (join outputs are
-    # estimated as a product) and get it broadcast instead.
+    # Orders get their region first (orders x customer x nation x region: a
+    # quarter of the fact rows, and nation/region are broadcast by size), then
+    # the line items join them once on the order key and the parts on the
+    # part key. The order-key join carries a merge hint: the fact side must
+    # never be the broadcast side (join outputs are estimated as products, so
+    # without the hint a small fact table looks smaller than the joined
+    # dimension), and at cluster scale both sides are far past any broadcast
+    # bound anyway. The sort-merge join spills instead of failing and its
+    # shuffle spreads a single-split input over all cores. The part join is
+    # left to size-based selection (broadcast when part is small).
+    geo = (
+        c.select("c_custkey", "c_nationkey")
+        .join(n.select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(r.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select("c_custkey", "r_name")
+    )
+    orders = (
+        o.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+        .join(geo, F.col("o_custkey") == F.col("c_custkey"))
+        .select("o_orderkey", "o_orderdate", "o_orderpriority", "r_name")
+    )
     lines = li.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate",
     )
     base = (
-        spread(lines)
-        .join(o.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"),
-              F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(c.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(n.select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(r.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
+        lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(p.select("p_partkey", "p_name", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
     )
 
