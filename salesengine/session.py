@@ -56,15 +56,20 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{base}/salesengine/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def size_shuffle_partitions(spark: SparkSession, input_bytes: int, per_partition: int = 256 << 20) -> int:
+def size_shuffle_partitions(spark: SparkSession, input_bytes: int, per_partition: int = 1 << 30,
+                            max_partitions: int = 200_000) -> int:
     """Start shuffles with enough partitions for ``input_bytes`` of input.
 
     AQE can only coalesce shuffle partitions downwards, so a 100 TB dedupe
     shuffle that starts at the default 200 partitions (500 GB each) spills
     and crawls. This raises ``initialPartitionNum`` to input / per_partition
-    (never lowers a larger setting); AQE then merges what turns out small.
+    (1 GB: sort-based shuffle and aggregation spill what does not fit), never
+    lowers a larger setting, and stays at or below ``max_partitions``, because
+    shuffle bookkeeping grows with map tasks x reduce partitions. AQE then
+    merges what turns out small.
     """
-    want = max(spark.sparkContext.defaultParallelism, math.ceil(input_bytes / per_partition))
+    want = min(max_partitions,
+               max(spark.sparkContext.defaultParallelism, math.ceil(input_bytes / per_partition)))
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     have = max(int(spark.conf.get(key, None) or 0), int(spark.conf.get("spark.sql.shuffle.partitions")))
     if want > have:

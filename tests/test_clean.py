@@ -190,9 +190,10 @@ def test_size_shuffle_partitions_only_raises(spark):
     before = spark.conf.get(key, None)
     try:
         assert size_shuffle_partitions(spark, 10) >= 8
-        assert size_shuffle_partitions(spark, 100 * (256 << 20)) == 100
+        assert size_shuffle_partitions(spark, 100 * (1 << 30)) == 100
         assert spark.conf.get(key) == "100"
         assert size_shuffle_partitions(spark, 10) == 100  # never lowers
+        assert size_shuffle_partitions(spark, 10**15, max_partitions=5000) == 5000
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
