@@ -1,4 +1,4 @@
-"""The sales rollup: additive measures at the grain of every non-product report.
+"""Rollups: additive measures at the grain of the reports.
 
 At cluster scale a dashboard that scans the fact table once per chart costs
 minutes per chart. The rollup groups the fact table once by the report keys
@@ -8,8 +8,13 @@ with identical results. Its size is bounded by the key domains (months x
 weekdays x categories x regions x payment methods x buckets x flags), not by
 the number of sales.
 
-Reports accept either frame: ``measures(df)`` turns the fact table into
-per-row measures (a narrow projection) and passes a rollup through unchanged.
+The product rollup does the same for the reports that group by product
+(keys product_name, category, has_revenue); it is bounded by the number of
+products.
+
+Reports accept any frame that carries their keys: ``measures(df)`` turns the
+fact table into per-row measures (a narrow projection) and passes a rollup
+through unchanged.
 """
 
 from __future__ import annotations
@@ -21,13 +26,15 @@ ROLLUP_KEYS = [
     "year", "month", "quarter", "weekday", "category", "region", "payment_method",
     "revenue_bucket", "is_returned", "has_revenue",
 ]
-MEASURES = ["n_rows", "n_ids", "n_revenue", "sum_revenue", "n_discount", "sum_discount"]
+PRODUCT_KEYS = ["product_name", "category", "has_revenue"]
+MEASURES = ["n_rows", "n_ids", "n_revenue", "sum_revenue", "n_discount", "sum_discount", "sum_quantity"]
 
 
 def row_measures(sales: DataFrame) -> DataFrame:
     """The fact table at its finest grain, as keys plus additive measures."""
     nr, disc = F.col("net_revenue"), F.col("discount_pct")
     return sales.select(
+        "product_name",
         *[c for c in ROLLUP_KEYS if c != "has_revenue"],
         (nr > 0).alias("has_revenue"),
         F.lit(1).cast("long").alias("n_rows"),
@@ -36,6 +43,7 @@ def row_measures(sales: DataFrame) -> DataFrame:
         nr.alias("sum_revenue"),
         disc.isNotNull().cast("long").alias("n_discount"),
         disc.alias("sum_discount"),
+        F.col("quantity").cast("long").alias("sum_quantity"),
         F.col("date").alias("min_date"),
         F.col("date").alias("max_date"),
     )
@@ -51,6 +59,11 @@ def sales_rollup(sales: DataFrame) -> DataFrame:
     )
 
 
+def product_rollup(sales: DataFrame) -> DataFrame:
+    """Group the fact table by PRODUCT_KEYS."""
+    return row_measures(sales).groupBy(*PRODUCT_KEYS).agg(*[F.sum(c).alias(c) for c in MEASURES])
+
+
 def measures(df: DataFrame) -> DataFrame:
     """A rollup as is; a fact table as per-row measures."""
     return df if "n_rows" in df.columns else row_measures(df)
@@ -107,6 +120,11 @@ def rows_where(cond: Column) -> Column:
     return _count(F.when(cond, F.col("n_rows")))
 
 
+def quantity() -> Column:
+    """SUM(quantity)"""
+    return F.sum("sum_quantity")
+
+
 def with_revenue(m: DataFrame) -> DataFrame:
     """Rows with net_revenue > 0."""
     return m.filter(F.col("has_revenue"))

@@ -3,8 +3,8 @@
 All are partial+final hash aggregates over a handful of keys, so the shuffle
 carries one row per key per map task. Summary tables drop null group keys
 (they are excluded from grouped summaries); the SQL-style reports keep them.
-A1, A2 and P1 take the fact table or the sales rollup; A3 groups by product
-and needs the fact table.
+Each takes the fact table or a rollup (A3, which groups by product, the
+product rollup; the others the sales rollup).
 """
 
 from __future__ import annotations
@@ -13,12 +13,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rounding import as_double, mean, mean_money, percent
-from .rollup import flagged, ids, measures, returned, revenue, revenue_count, rows, with_revenue
-
-
-def positive(sales: DataFrame) -> DataFrame:
-    """Rows with revenue (net_revenue > 0); pushed down to the Parquet scan."""
-    return sales.filter(F.col("net_revenue") > 0)
+from .rollup import (
+    discount,
+    discount_count,
+    flagged,
+    ids,
+    measures,
+    quantity,
+    returned,
+    revenue,
+    revenue_count,
+    rows,
+    with_revenue,
+)
 
 
 def _keys_present(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -62,12 +69,12 @@ def product_summary(sales: DataFrame) -> DataFrame:
     """A3: revenue, units and mean discount by product, by revenue desc."""
     keys = ["product_name", "category"]
     return (
-        _keys_present(positive(sales), keys)
+        _keys_present(with_revenue(measures(sales)), keys)
         .groupBy(*keys)
         .agg(
-            as_double(F.sum("net_revenue")).alias("total_revenue"),
-            F.sum("quantity").cast("long").alias("units_sold"),
-            mean(F.sum("discount_pct"), F.count("discount_pct"), scale=4).alias("avg_discount"),
+            as_double(revenue()).alias("total_revenue"),
+            quantity().alias("units_sold"),
+            mean(discount(), discount_count(), scale=4).alias("avg_discount"),
         )
         .orderBy(F.desc("total_revenue"), *keys)
     )

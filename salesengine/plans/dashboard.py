@@ -4,8 +4,9 @@ Money is rounded to whole units and percentages to 1 decimal. The two local
 post-steps of a dashboard (the MM/YYYY label and the region x category pivot)
 are part of the plan, so nothing is finished on the driver.
 
-Datasets that do not group by product (all but D7-D9) take the fact table or
-the sales rollup and give the same result from either.
+Every dataset takes the fact table or a rollup (the sales rollup, or for
+D7-D9, which group by product, the product rollup) and gives the same result
+from either.
 """
 
 from __future__ import annotations
@@ -16,8 +17,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rounding import mean_money, mean_percent, percent, round_money
-from ..operators.rollup import ids, measures, returned, revenue, revenue_count, rows, with_revenue
-from ..operators.summaries import positive
+from ..operators.rollup import (
+    discount,
+    discount_count,
+    ids,
+    measures,
+    quantity,
+    returned,
+    revenue,
+    revenue_count,
+    rows,
+    with_revenue,
+)
 from .reports import day_type
 
 
@@ -83,15 +94,15 @@ def top_products(sales: DataFrame, category: str | None = None, k: int = 15) ->
     The category is compared as a bound value (pushed to the scan as an
     equality filter), never spliced into SQL text.
     """
-    df = positive(sales)
+    df = with_revenue(measures(sales))
     if category is not None:
         df = df.filter(F.col("category") == F.lit(category))
     return (
         df.groupBy("product_name", "category")
         .agg(
-            F.sum("quantity").cast("long").alias("units_sold"),
-            round_money(F.sum("net_revenue"), 0).alias("total_revenue"),
-            mean_percent(F.sum("discount_pct"), F.count("discount_pct"), 1).alias("avg_discount"),
+            quantity().alias("units_sold"),
+            round_money(revenue(), 0).alias("total_revenue"),
+            mean_percent(discount(), discount_count(), 1).alias("avg_discount"),
         )
         .orderBy(F.desc("total_revenue"), F.asc("product_name"), F.asc("category"))
         .limit(k)
@@ -101,12 +112,12 @@ def top_products(sales: DataFrame, category: str | None = None, k: int = 15) ->
 def discount_scatter(sales: DataFrame) -> DataFrame:
     """Mean discount, revenue and units per product."""
     return (
-        positive(sales)
+        with_revenue(measures(sales))
         .groupBy("product_name", "category")
         .agg(
-            mean_percent(F.sum("discount_pct"), F.count("discount_pct"), 1).alias("avg_discount"),
-            round_money(F.sum("net_revenue"), 0).alias("total_revenue"),
-            F.sum("quantity").cast("long").alias("units_sold"),
+            mean_percent(discount(), discount_count(), 1).alias("avg_discount"),
+            round_money(revenue(), 0).alias("total_revenue"),
+            quantity().alias("units_sold"),
         )
     )
 

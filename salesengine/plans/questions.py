@@ -2,7 +2,8 @@
 
 Each answers one of the plain-English example questions with a fixed
 definition; ties break on the name, ascending. Parameters are bound values.
-All but N3 (which groups by product) take the fact table or the sales rollup.
+Each takes the fact table or a rollup (the product rollup for N3, which
+groups by product; the sales rollup for the rest).
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions.rounding import percent, round_money
 from ..operators.rollup import ids, measures, returned, revenue, rows, rows_where, with_revenue
-from ..operators.summaries import positive
 from ..schema import WEEKEND_DAYS
 
 
@@ -41,10 +41,10 @@ def region_return_rate(sales: DataFrame, quarter: int | None = None, k: int = 1)
 def top_products_in_category(sales: DataFrame, category: str, k: int = 3) -> DataFrame:
     """Top-k products by revenue within one category."""
     return (
-        positive(sales)
+        with_revenue(measures(sales))
         .filter(F.col("category") == F.lit(category))
         .groupBy("product_name", "category")
-        .agg(F.sum("net_revenue").alias("_rev"))
+        .agg(revenue().alias("_rev"))
         .orderBy(F.desc("_rev"), F.asc("product_name"))
         .limit(k)
         .select("product_name", "category", round_money(F.col("_rev"), 2).alias("total_revenue"))

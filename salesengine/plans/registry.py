@@ -1,9 +1,11 @@
 """Named queries over a folder of star-schema test tables.
 
 Cleaning-step keys run their operator on the raw view (each preceded only by
-the steps it needs as input). Reports that group by product read the cleaned
-fact table; all other reports read the sales rollup. Both are written once
-per application (``pipeline.star_sales`` / ``star_rollup``). Outputs use
+the steps it needs as input). Reports that group by product read the product
+rollup, all other reports the sales rollup; both are derived from the
+cleaned fact table, and all three are written once per application
+(``pipeline.star_sales`` / ``star_rollup`` / ``star_products``). Ad-hoc SQL
+runs on the fact table. Outputs use
 portable types: DATE as ISO text, DECIMAL as the nearest DOUBLE.
 """
 
@@ -23,7 +25,7 @@ from ..sources.testdata import ORDER_COLUMNS, PARAM_CATEGORY, PARAM_QUARTER, PAR
 from . import dashboard as D
 from . import questions as N
 from . import reports as Q
-from .pipeline import star_raw, star_rollup, star_sales
+from .pipeline import star_products, star_raw, star_rollup, star_sales
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,9 +67,9 @@ def _ordered(step: Callable[[DataFrame, list[str]], DataFrame]) -> Query:
     return q
 
 
-def _on_sales(report: Callable[[DataFrame], DataFrame]) -> Query:
+def _on_products(report: Callable[[DataFrame], DataFrame]) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return report(star_sales(spark, sf_dir))
+        return report(star_products(spark, sf_dir))
 
     return q
 
@@ -99,14 +101,14 @@ QUERIES: dict[str, Query] = {
     # A1-A3, P1
     "monthly_category_summary": _on_rollup(A.monthly_category_summary),
     "regional_summary": _on_rollup(A.regional_summary),
-    "product_summary": _on_sales(A.product_summary),
+    "product_summary": _on_products(A.product_summary),
     "run_summary": _on_rollup(A.run_summary),
     # Q1-Q8
     "rpt_overview": _on_rollup(Q.overview),
     "rpt_monthly": _on_rollup(Q.monthly_trend),
     "rpt_top_categories": _on_rollup(Q.top_categories),
     "rpt_regional": _on_rollup(Q.regional_performance),
-    "rpt_top_products_units": _on_sales(Q.top_products_by_units),
+    "rpt_top_products_units": _on_products(Q.top_products_by_units),
     "rpt_payment_share": _on_rollup(Q.payment_share),
     "rpt_day_type": _on_rollup(Q.weekend_split),
     "rpt_buckets": _on_rollup(Q.revenue_buckets),
@@ -117,9 +119,9 @@ QUERIES: dict[str, Query] = {
     "dash_payment": _on_rollup(D.payment_counts),
     "dash_day_type": _on_rollup(D.day_type_split),
     "dash_category_list": _on_rollup(D.category_list),
-    "dash_top_products": _on_sales(D.top_products),
-    "dash_top_products_cat": _on_sales(lambda s: D.top_products(s, category=PARAM_CATEGORY)),
-    "dash_discount_scatter": _on_sales(D.discount_scatter),
+    "dash_top_products": _on_products(D.top_products),
+    "dash_top_products_cat": _on_products(lambda s: D.top_products(s, category=PARAM_CATEGORY)),
+    "dash_discount_scatter": _on_products(D.discount_scatter),
     "dash_buckets": _on_rollup(D.bucket_distribution),
     "dash_regional": _on_rollup(D.regional_table),
     "dash_heat_long": _on_rollup(D.heat_long),
@@ -127,7 +129,7 @@ QUERIES: dict[str, Query] = {
     # N1-N6
     "q_region_return": _on_rollup(N.region_return_rate),
     "q_region_return_quarter": _on_rollup(lambda s: N.region_return_rate(s, quarter=PARAM_QUARTER)),
-    "q_top_products_in_category": _on_sales(lambda s: N.top_products_in_category(s, PARAM_CATEGORY)),
+    "q_top_products_in_category": _on_products(lambda s: N.top_products_in_category(s, PARAM_CATEGORY)),
     "q_monthly_in_quarter": _on_rollup(lambda s: N.monthly_in_quarter(s, PARAM_YEAR, PARAM_QUARTER)),
     "q_weekend_payment": _on_rollup(N.weekend_payment),
     "q_premium_share": _on_rollup(N.premium_share),

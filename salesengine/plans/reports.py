@@ -4,8 +4,9 @@ Money is rounded to 2 decimals and percentages to 2 decimals, half away from
 zero on exact values. Top-k reports break ties on the name so that the rows
 kept by LIMIT are deterministic; they plan as TakeOrderedAndProject.
 
-Every report except Q5 (which groups by product) takes the fact table or the
-sales rollup (``operators.rollup``) and gives the same result from either.
+Every report takes the fact table or a rollup (``operators.rollup``: the
+sales rollup, or for Q5, which groups by product, the product rollup) and
+gives the same result from either.
 """
 
 from __future__ import annotations
@@ -19,13 +20,13 @@ from ..operators.rollup import (
     discount_count,
     ids,
     measures,
+    quantity,
     returned,
     revenue,
     revenue_count,
     rows,
     with_revenue,
 )
-from ..operators.summaries import positive
 from ..schema import WEEKEND_DAYS
 
 
@@ -85,12 +86,9 @@ def regional_performance(sales: DataFrame) -> DataFrame:
 def top_products_by_units(sales: DataFrame, k: int = 10) -> DataFrame:
     """Q5: top-k products by units sold, rows with revenue."""
     return (
-        positive(sales)
+        with_revenue(measures(sales))
         .groupBy("product_name", "category")
-        .agg(
-            F.sum("quantity").cast("long").alias("units_sold"),
-            round_money(F.sum("net_revenue"), 2).alias("total_revenue"),
-        )
+        .agg(quantity().alias("units_sold"), round_money(revenue(), 2).alias("total_revenue"))
         .orderBy(F.desc("units_sold"), F.asc("product_name"), F.asc("category"))
         .limit(k)
     )

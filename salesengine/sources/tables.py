@@ -67,18 +67,17 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_summaries(sales: DataFrame, base: str, mode: str = "overwrite",
-                    rollup: DataFrame | None = None) -> dict[str, str]:
+                    rollup: DataFrame | None = None, products: DataFrame | None = None) -> dict[str, str]:
     """The three summary tables, each replaced; returns name -> path.
 
-    With a written ``rollup``, A1 and A2 are computed from it (a table bounded
-    by the key domains) and only A3, which groups by product, scans the fact
-    table.
+    With written rollups, A1 and A2 come from the sales rollup and A3 from the
+    product rollup (tables bounded by the key domains / product count), so
+    the fact table is not scanned again.
     """
-    small = rollup if rollup is not None else sales
     builders = {
-        "monthly_category_summary": lambda: monthly_category_summary(small),
-        "regional_summary": lambda: regional_summary(small),
-        "product_summary": lambda: product_summary(sales),
+        "monthly_category_summary": lambda: monthly_category_summary(rollup if rollup is not None else sales),
+        "regional_summary": lambda: regional_summary(rollup if rollup is not None else sales),
+        "product_summary": lambda: product_summary(products if products is not None else sales),
     }
     out = {}
     for name, build in builders.items():

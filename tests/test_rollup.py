@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from salesengine.operators import summaries as A
-from salesengine.operators.rollup import ROLLUP_KEYS, sales_rollup
+from salesengine.operators.rollup import ROLLUP_KEYS, product_rollup, sales_rollup
 from salesengine.plans import dashboard as D
 from salesengine.plans import questions as N
 from salesengine.plans import reports as Q
@@ -25,6 +25,23 @@ REPORTS = {
 }
 
 
+PRODUCT_REPORTS = {
+    "A3": A.product_summary, "Q5": Q.top_products_by_units, "D7": D.top_products,
+    "D8": lambda s: D.top_products(s, category="Economy"), "D9": D.discount_scatter,
+    "N3": lambda s: N.top_products_in_category(s, "Economy"),
+}
+
+
+@pytest.mark.parametrize("name", sorted(PRODUCT_REPORTS))
+def test_product_rollup_equals_fact_table(spark, name):
+    sales = star_sales(spark, SF_SMALL)
+    products = product_rollup(sales)
+    f = PRODUCT_REPORTS[name]
+    a, b = f(sales), f(products)
+    assert a.columns == b.columns
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+
+
 @pytest.fixture(scope="module")
 def tables(spark):
     sales = star_sales(spark, SF_SMALL)
