@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schema import MAX_DATE, MIN_DATE
+from ..schema import MAX_DATE, MIN_DATE, WEEKEND_DAYS
 
 # ISO calendar date with 4-digit year and 1- or 2-digit month and day.
 ISO_DATE_PATTERN = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
@@ -25,3 +25,8 @@ def parse_iso_date(c: Column) -> Column:
 def weekday_name(d: Column) -> Column:
     """Full English day name, e.g. ``Saturday``."""
     return F.date_format(d, "EEEE")
+
+
+def day_type(weekday: Column) -> Column:
+    """``Weekend`` for Saturday/Sunday, else ``Weekday`` (a missing day too)."""
+    return F.when(weekday.isin(*WEEKEND_DAYS), F.lit("Weekend")).otherwise(F.lit("Weekday"))

@@ -5,8 +5,9 @@ minutes per chart. The rollup groups the fact table once by the report keys
 below and keeps only additive measures (counts, exact DECIMAL sums, min/max
 date), so every report that does not group by product can be answered from it
 with identical results. Its size is bounded by the key domains (months x
-weekdays x categories x regions x payment methods x buckets x flags), not by
-the number of sales.
+weekend/weekday x categories x regions x payment methods x buckets x flags),
+not by the number of sales. Quarter follows from month, so it adds no rows;
+the weekday enters only as weekend/weekday, all any report asks of it.
 
 The product rollup does the same for the reports that group by product
 (keys product_name, category, has_revenue); it is bounded by the number of
@@ -22,8 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import day_type
+
 ROLLUP_KEYS = [
-    "year", "month", "quarter", "weekday", "category", "region", "payment_method",
+    "year", "month", "quarter", "day_type", "category", "region", "payment_method",
     "revenue_bucket", "is_returned", "has_revenue",
 ]
 PRODUCT_KEYS = ["product_name", "category", "has_revenue"]
@@ -35,7 +38,8 @@ def row_measures(sales: DataFrame) -> DataFrame:
     nr, disc = F.col("net_revenue"), F.col("discount_pct")
     return sales.select(
         "product_name",
-        *[c for c in ROLLUP_KEYS if c != "has_revenue"],
+        *[c for c in ROLLUP_KEYS if c not in ("day_type", "has_revenue")],
+        day_type(F.col("weekday")).alias("day_type"),
         (nr > 0).alias("has_revenue"),
         F.lit(1).cast("long").alias("n_rows"),
         F.col("transaction_id").isNotNull().cast("long").alias("n_ids"),

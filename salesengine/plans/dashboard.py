@@ -29,7 +29,6 @@ from ..operators.rollup import (
     rows,
     with_revenue,
 )
-from .reports import day_type
 
 
 def kpis(sales: DataFrame) -> DataFrame:
@@ -78,7 +77,7 @@ def day_type_split(sales: DataFrame) -> DataFrame:
     """Weekday vs weekend orders and revenue."""
     return (
         with_revenue(measures(sales))
-        .groupBy(day_type(F.col("weekday")).alias("day_type"))
+        .groupBy("day_type")
         .agg(rows().alias("orders"), round_money(revenue(), 0).alias("revenue"))
     )
 

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from ..functions.rounding import percent, round_money
 from ..operators.rollup import ids, measures, returned, revenue, rows, rows_where, with_revenue
-from ..schema import WEEKEND_DAYS
 
 
 def in_quarter(quarter: int) -> Column:
@@ -70,7 +69,7 @@ def weekend_payment(sales: DataFrame, k: int = 1) -> DataFrame:
     """Most used payment method(s) on Saturdays and Sundays."""
     return (
         measures(sales)
-        .filter(F.col("weekday").isin(*WEEKEND_DAYS))
+        .filter(F.col("day_type") == F.lit("Weekend"))
         .groupBy("payment_method")
         .agg(rows().alias("num_transactions"))
         .orderBy(F.desc("num_transactions"), F.asc("payment_method"))

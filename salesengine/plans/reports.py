@@ -11,7 +11,7 @@ gives the same result from either.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rounding import mean_money, mean_percent, percent, round_money
@@ -27,11 +27,6 @@ from ..operators.rollup import (
     rows,
     with_revenue,
 )
-from ..schema import WEEKEND_DAYS
-
-
-def day_type(weekday: Column) -> Column:
-    return F.when(weekday.isin(*WEEKEND_DAYS), F.lit("Weekend")).otherwise(F.lit("Weekday"))
 
 
 def overview(sales: DataFrame) -> DataFrame:
@@ -119,7 +114,7 @@ def weekend_split(sales: DataFrame) -> DataFrame:
     """Q7: weekend vs weekday orders, revenue, mean order value."""
     return (
         with_revenue(measures(sales))
-        .groupBy(day_type(F.col("weekday")).alias("day_type"))
+        .groupBy("day_type")
         .agg(
             ids().alias("total_orders"),
             round_money(revenue(), 2).alias("total_revenue"),
