@@ -49,7 +49,9 @@ def run(spark: SparkSession, raw_path: str | list[str], out_path: str, quality:
     columns: no second pass over the raw input, and exact under task retries
     (a real aggregation over written data, not accumulator metrics).
     """
-    size_shuffle_partitions(spark, input_bytes(spark, raw_path))
+    size = input_bytes(spark, raw_path)
+    if size is not None:
+        size_shuffle_partitions(spark, size)
     base = out_path.rstrip("/")
     staged_path = f"{base}/staged"
     # The order columns are fixed by the scan; spreading afterwards only

@@ -148,3 +148,11 @@ def test_run_writes_rollup_and_summaries_agree(spark, tmp_out):
     for name, f in [("monthly_category_summary", monthly_category_summary), ("regional_summary", regional_summary)]:
         written = sorted(map(tuple, spark.read.parquet(res.summary_paths[name]).collect()))
         assert written == sorted(map(tuple, f(res.sales).collect()))
+
+
+def test_input_bytes(spark, tmp_out):
+    from salesengine.sources.scan import input_bytes
+
+    p = write_text(os.path.join(tmp_out, "s.csv"), ["T1,2023-01-01,A,Sports,North,1,1.00,0,1.00,UPI,False"])
+    assert input_bytes(spark, p) == os.path.getsize(p)
+    assert input_bytes(spark, [p, p]) == 2 * os.path.getsize(p)
