@@ -82,7 +82,7 @@ def _on_rollup(report: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_views(spark, star_sales(spark, sf_dir))
+    register_views(spark, star_sales(spark, sf_dir), star_rollup(spark, sf_dir), star_products(spark, sf_dir))
     return sql(spark, ADHOC_SQL, category=PARAM_CATEGORY)
 
 

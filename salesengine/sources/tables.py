@@ -87,17 +87,36 @@ def write_summaries(sales: DataFrame, base: str, mode: str = "overwrite",
     return out
 
 
-def register_views(spark: SparkSession, sales: DataFrame, summaries: dict[str, DataFrame] | None = None) -> None:
-    """Temp views ``sales`` and the summary tables for ad-hoc SQL."""
+def register_views(spark: SparkSession, sales: DataFrame, rollup: DataFrame | None = None,
+                   products: DataFrame | None = None) -> None:
+    """Temp views for ad-hoc SQL: ``sales``, the summary tables (computed from
+    the rollups when given, so querying them does not scan the fact table),
+    and ``sales_rollup`` / ``product_rollup`` when given."""
     sales.createOrReplaceTempView("sales")
-    if summaries is None:
-        summaries = {
-            "monthly_category_summary": monthly_category_summary(sales),
-            "regional_summary": regional_summary(sales),
-            "product_summary": product_summary(sales),
-        }
-    for name, df in summaries.items():
+    monthly_category_summary(rollup if rollup is not None else sales).createOrReplaceTempView(
+        "monthly_category_summary")
+    regional_summary(rollup if rollup is not None else sales).createOrReplaceTempView("regional_summary")
+    product_summary(products if products is not None else sales).createOrReplaceTempView("product_summary")
+    if rollup is not None:
+        rollup.createOrReplaceTempView("sales_rollup")
+    if products is not None:
+        products.createOrReplaceTempView("product_rollup")
+
+
+def open_tables(spark: SparkSession, out_path: str) -> dict[str, DataFrame]:
+    """Register the tables a ``run()`` wrote under ``out_path`` as temp views
+    (``sales``, ``sales_rollup``, ``product_rollup`` and the three summary
+    tables) and return them by name."""
+    base = out_path.rstrip("/")
+    tables = {
+        "sales": read_sales_table(spark, f"{base}/staged/{STATUS}={OK}"),
+        "sales_rollup": spark.read.parquet(f"{base}/sales_rollup"),
+        "product_rollup": spark.read.parquet(f"{base}/product_rollup"),
+        **{name: spark.read.parquet(f"{base}/{name}") for name in SUMMARY_TABLES},
+    }
+    for name, df in tables.items():
         df.createOrReplaceTempView(name)
+    return tables
 
 
 def sql(spark: SparkSession, text: str, **args) -> DataFrame:

@@ -156,3 +156,17 @@ def test_input_bytes(spark, tmp_out):
     p = write_text(os.path.join(tmp_out, "s.csv"), ["T1,2023-01-01,A,Sports,North,1,1.00,0,1.00,UPI,False"])
     assert input_bytes(spark, p) == os.path.getsize(p)
     assert input_bytes(spark, [p, p]) == 2 * os.path.getsize(p)
+
+
+def test_open_tables_after_run(spark, tmp_out):
+    from salesengine.sources.tables import open_tables
+
+    raw = os.path.join(tmp_out, "raw")
+    write_csv(generate_sales(spark, 2000), raw)
+    out = os.path.join(tmp_out, "out")
+    run(spark, raw, out, quality=False)
+    t = open_tables(spark, out)
+    assert set(t) == {"sales", "sales_rollup", "product_rollup", *SUMMARY_TABLES}
+    n = sql(spark, "SELECT sum(n_rows) AS n FROM sales_rollup WHERE category = :c", c="Sports").collect()[0].n
+    assert n == sql(spark, "SELECT count(*) AS n FROM sales WHERE category = :c", c="Sports").collect()[0].n
+    assert spark.table("regional_summary").count() == 5
