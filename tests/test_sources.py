@@ -170,3 +170,16 @@ def test_open_tables_after_run(spark, tmp_out):
     n = sql(spark, "SELECT sum(n_rows) AS n FROM sales_rollup WHERE category = :c", c="Sports").collect()[0].n
     assert n == sql(spark, "SELECT count(*) AS n FROM sales WHERE category = :c", c="Sports").collect()[0].n
     assert spark.table("regional_summary").count() == 5
+
+
+def test_cli_generate_and_run(spark, tmp_out, capsys):
+    import json
+
+    from salesengine.__main__ import main
+
+    main(["--raw", os.path.join(tmp_out, "raw"), "--out", os.path.join(tmp_out, "out"), "--generate", "1500"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["quality"] == {"raw_rows": 1500, "duplicates": 0, "bad_dates": 0, "bad_prices": 0,
+                              "clean_rows": 1500}
+    assert out["summary"]["total_records"] == 1500
+    assert out["summary"]["min_date"] >= "2023-01-01" and out["summary"]["max_date"] <= "2023-12-31"
