@@ -1,2 +1,2 @@
-"""Query plans: reporting pack (Q1-Q8), dashboard datasets (D1-D13),
-question reports (N1-N6) and the batch pipeline."""
+"""Query plans: reporting pack (Q1-Q8), dashboard datasets (D1-D13), question
+reports (N1-N6), the batch pipeline, and the registry of named queries."""
