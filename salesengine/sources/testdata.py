@@ -9,7 +9,7 @@ stray spaces and upper case, regions are lower case. Every line item of the
 whole tables becomes a row: the two part-key moduli below only choose which
 rows get a dirty value, they never filter rows out.
 
-Joins are plain equi-joins on the star keys; no side is forced to broadcast.
+Joins are plain equi-joins on the star keys; the fact side is never broadcast.
 """
 
 from __future__ import annotations
