@@ -22,9 +22,14 @@ def parse_iso_date(c: Column) -> Column:
     return F.when(ok, d)
 
 
+# --- Fixed values: English day names in dayofweek() order (1 = Sunday) ---------
+DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+
+
 def weekday_name(d: Column) -> Column:
-    """Full English day name, e.g. ``Saturday``."""
-    return F.date_format(d, "EEEE")
+    """Full English day name, e.g. ``Saturday`` (an index into DAY_NAMES,
+    no date formatter per row)."""
+    return F.element_at(F.array(*[F.lit(n) for n in DAY_NAMES]), F.dayofweek(d))
 
 
 def day_type(weekday: Column) -> Column:

@@ -243,3 +243,12 @@ def test_status_split_matches_clean_and_counters(spark):
     a = C.status_counts(staged).collect()[0].asDict()
     b = C.quality_counts(df, ORDER).collect()[0].asDict()
     assert a == b == {"raw_rows": 8, "duplicates": 2, "bad_dates": 3, "bad_prices": 1, "clean_rows": 2}
+
+
+@pytest.mark.parametrize("value", [
+    "ǆemal", "ﬁne", "a  b", "ÉCOLE élan", "x--y", "ab1cd", "straße", "-a", "a-", "123",
+    "\x1cnorth\x1f", "　south\xa0", "mIDDLE  eAST", "t-shirt x", "o'neil",
+])
+def test_title_case_matches_python(spark, value):
+    out = C.normalise_text(raw(spark, {"category": value})).collect()[0].category
+    assert out == value.strip().title()
