@@ -36,9 +36,13 @@ def read_sales(spark: SparkSession, path: str | list[str], with_order: bool = Tr
     cols = []
     for f in RAW_SALES.fields:
         c = F.col(f.name)
-        c = F.when(~c.isin(*MISSING_TOKENS), c)
-        if f.dataType != T.StringType():
-            c = F.when(F.trim(c) != "", F.trim(c)).try_cast(f.dataType)
+        if f.dataType == T.StringType():
+            c = F.when(~c.isin(*MISSING_TOKENS), c)
+        else:
+            # No missing token parses as a number or a boolean, and the cast
+            # trims surrounding whitespace itself, so try_cast alone maps
+            # tokens, blanks and malformed cells to null.
+            c = c.try_cast(f.dataType)
         cols.append(c.alias(f.name))
     if with_order:
         cols += [

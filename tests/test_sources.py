@@ -183,3 +183,18 @@ def test_cli_generate_and_run(spark, tmp_out, capsys):
                               "clean_rows": 1500}
     assert out["summary"]["total_records"] == 1500
     assert out["summary"]["min_date"] >= "2023-01-01" and out["summary"]["max_date"] <= "2023-12-31"
+
+
+def test_read_sales_all_tokens_in_typed_columns(spark, tmp_out):
+    from salesengine.schema import MISSING_TOKENS
+
+    lines = [f"T{i},2023-01-01,P,Sports,North,{t},{t},{t},{t},UPI,{t}" for i, t in enumerate(MISSING_TOKENS)
+             if "," not in t]
+    lines.append("P, 2023-01-01,P,Sports,North, 3 ,\t1.50 , 0.25 ,1.00,UPI, True ")
+    rows = {r.transaction_id: r for r in read_sales(spark, write_text(os.path.join(tmp_out, "t.csv"), lines)).collect()}
+    for i, t in enumerate(MISSING_TOKENS):
+        r = rows[f"T{i}"]
+        assert (r.quantity, r.unit_price, r.discount_pct, r.final_amount, r.is_returned) == (None,) * 5, t
+    p = rows["P"]
+    assert (p.quantity, p.unit_price, p.discount_pct, p.is_returned) == (3, Decimal("1.50"), Decimal("0.2500"), True)
+    assert p.date == " 2023-01-01"  # text keeps its spaces; T2 rejects it later
