@@ -15,9 +15,12 @@ def parse_iso_date(c: Column) -> Column:
     """String -> DATE; anything not an ISO date in range becomes null.
 
     The format is fixed, never inferred from a "first row" (which has no
-    meaning on a distributed scan). ``try_to_date`` keeps ANSI mode on.
+    meaning on a distributed scan). ``try_cast`` keeps ANSI mode on.
     """
-    d = F.try_to_date(c, "yyyy-M-d")
+    # Behind the shape check the text is exactly yyyy-[m]m-[d]d, which the
+    # plain string-to-date cast parses with Spark's hand-written parser (no
+    # pattern formatter per row); an impossible day such as 02-30 is null.
+    d = c.try_cast("date")
     ok = c.rlike(ISO_DATE_PATTERN) & d.between(F.lit(MIN_DATE).cast("date"), F.lit(MAX_DATE).cast("date"))
     return F.when(ok, d)
 

@@ -77,16 +77,17 @@ def test_dedupe_then_bad_date_drops_key(spark):
 
 
 # --- T2 ------------------------------------------------------------------------
-KEPT = ["2023-01-01", "2023-1-2"]
+KEPT = ["2023-01-01", "2023-1-2", "2024-02-29"]
 DROPPED = ["2023-02-30", "01/05/2023", "2023-01-03 10:00:00", " 2023-01-06", "20230104", "2023-01",
-           "2023-001-01", "", None, "1500-01-01"]
+           "2023-001-01", "", None, "1500-01-01", "2023-04-31", "2023-13-01", "2023-00-10", "2023-02-29",
+           "2023-01-01 ", "2023-01-01T00:00", "0000-01-01", "9999-12-31"]
 
 
 def test_parse_dates_keeps_and_drops(spark):
     rows = [{"transaction_id": f"T{i}", "date": d} for i, d in enumerate(KEPT + DROPPED)]
     out = C.parse_dates(raw(spark, *rows))
     got = sorted(r.date for r in out.collect())
-    assert got == [dt.date(2023, 1, 1), dt.date(2023, 1, 2)]
+    assert got == [dt.date(2023, 1, 1), dt.date(2023, 1, 2), dt.date(2024, 2, 29)]
 
 
 # --- T3 / T4 -------------------------------------------------------------------
