@@ -1,8 +1,8 @@
 """Exact rounding on integer units, DOUBLE out.
 
 Values are rounded half away from zero on their exact decimal value, the way a
-SQL NUMERIC ``ROUND`` does. Working on integer units (DECIMAL(38,0)) keeps the
-result independent of float error, task order and engine. Everything here is a
+SQL NUMERIC ``ROUND`` does. Working on integer units (DECIMAL(38,0), up to
+10^38) keeps the result independent of float error, task order and engine. Everything here is a
 plain Column expression, so it stays inside whole-stage codegen.
 """
 
@@ -37,9 +37,13 @@ def round_ratio(num: Column | str, den: Column | str, digits: int, num_scale: in
         bot = bot * F.lit(10 ** (-shift))
     top = top.cast(_WIDE)
     bot = bot.cast(_WIDE)
-    q = F.signum(top).cast("long") * F.call_function(
-        "div", (F.abs(top) * 2 + bot).cast(_WIDE), (bot * 2).cast(_WIDE)
-    )
+    # floor((2|top| + bot) / 2bot), kept in DECIMAL(38,0): subtracting the
+    # exact remainder first makes the division exact. (``div`` would return
+    # a LONG and wrap silently past 9.2e18 units.)
+    a = (F.abs(top) * 2 + bot).cast(_WIDE)
+    b = (bot * 2).cast(_WIDE)
+    q = ((a - a % b) / b).cast(_WIDE)
+    q = F.when(top < 0, -q).otherwise(q)
     return F.when(bot != 0, q.cast("double") / F.lit(float(10**digits)))
 
 

@@ -108,3 +108,18 @@ def test_pivot_odd_category_names(spark):
     rows = [sale("1", "North", "a.b", "10.00"), sale("2", "North", "x`y & z", "20.00")]
     out = D.heat_pivot(spark.createDataFrame(rows, SALES)).collect()[0]
     assert out.asDict() == {"region": "North", "a.b": 10.0, "x`y & z": 20.0}
+
+
+def test_rounding_zero_denominator_and_large_values(spark):
+    from salesengine.functions.rounding import mean_money, round_ratio
+
+    r = spark.range(1).select(
+        percent(F.lit(3), F.lit(0), 2).alias("p"),
+        mean_money(F.lit(Decimal("10.00")), F.lit(0), 2).alias("m"),
+        round_ratio(F.lit(Decimal(10**20 + 5)), F.lit(10), 0).alias("big"),
+        round_ratio(F.lit(-15), F.lit(10), 0).alias("neg"),
+        percent(F.lit(None).cast("long"), F.lit(5), 2).alias("nul"),
+    ).collect()[0]
+    assert r.p is None and r.m is None and r.nul is None
+    assert r.big == float(10**19 + 1)  # (10^20 + 5) / 10 = 10^19 + 0.5 -> away from zero
+    assert r.neg == -2.0
