@@ -2,7 +2,10 @@
 
 Values are rounded half away from zero on their exact decimal value, the way a
 SQL NUMERIC ``ROUND`` does. Working on integer units (DECIMAL(38,0), up to
-10^38) keeps the result independent of float error, task order and engine. Everything here is a
+10^38) keeps the result independent of float error, task order and engine.
+The rounded integer is converted to DOUBLE once and divided by 10^digits once;
+beyond 2^53 units (9e13 currency units at 2 decimals) that can differ in the
+last bit from the DOUBLE nearest the decimal, identically in every engine. Everything here is a
 plain Column expression, so it stays inside whole-stage codegen.
 """
 

@@ -123,3 +123,28 @@ def test_rounding_zero_denominator_and_large_values(spark):
     assert r.p is None and r.m is None and r.nul is None
     assert r.big == float(10**19 + 1)  # (10^20 + 5) / 10 = 10^19 + 0.5 -> away from zero
     assert r.neg == -2.0
+
+
+def test_round_ratio_matches_exact_decimal_rounding(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Context, Decimal as D
+
+    from salesengine.functions.rounding import round_ratio
+
+    rnd = random.Random(7)
+    cases = []
+    for _ in range(500):
+        num = rnd.choice([rnd.randint(-10**6, 10**6), rnd.randint(-10**30, 10**30), rnd.randint(0, 10**18) * 5])
+        den = rnd.choice([rnd.randint(1, 1000), rnd.randint(1, 10**12), 2, 8, 10])
+        digits, scale = rnd.choice([(0, 0), (2, 0), (1, 2), (2, 2), (0, 2), (1, 4), (2, 4)])
+        cases.append((D(num), D(den), digits, scale))
+    df = spark.createDataFrame([(a, b) for a, b, _, _ in cases], "num decimal(38,0), den decimal(38,0)")
+    exprs = [round_ratio(F.col("num"), F.col("den"), d, s).alias(f"r_{d}_{s}") for d, s in sorted({(d, s) for *_, d, s in cases})]
+    got = df.select("num", "den", *exprs).collect()
+    ctx = Context(prec=100)
+    for (num, den, d, s), row in zip(cases, got):
+        # The contract: the exact value rounded half away from zero to d
+        # decimals, as an integer count of 10^-d units, converted to DOUBLE
+        # once and divided by 10^d once (both correctly rounded).
+        units = ctx.divide(num * D(10) ** d, den * D(10) ** s).to_integral_value(rounding=ROUND_HALF_UP)
+        assert row[f"r_{d}_{s}"] == float(int(units)) / float(10**d), (num, den, d, s)
