@@ -253,3 +253,18 @@ def test_status_split_matches_clean_and_counters(spark):
 def test_title_case_matches_python(spark, value):
     out = C.normalise_text(raw(spark, {"category": value})).collect()[0].category
     assert out == value.strip().title()
+
+
+def test_normalise_matches_python_on_random_text(spark):
+    import random
+
+    from salesengine.functions.text import normalise
+
+    alphabet = list("abcXYZ") + ["é", "É", "ß", "ǆ", "ǅ", "ﬁ", "Ω", "ω", "5", "0", " ", " ", "-", "'", "&", ".",
+                                  "\t", "\n", "\xa0", "　", "\x1c"]
+    rnd = random.Random(11)
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12))) for _ in range(600)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(normalise(F.col("t"))).collect()]
+    bad = [(t, g, t.strip().title()) for t, g in zip(texts, got) if g != t.strip().title()]
+    assert not bad, bad[:5]
