@@ -268,3 +268,36 @@ def test_normalise_matches_python_on_random_text(spark):
     got = [r[0] for r in df.select(normalise(F.col("t"))).collect()]
     bad = [(t, g, t.strip().title()) for t, g in zip(texts, got) if g != t.strip().title()]
     assert not bad, bad[:5]
+
+
+def test_parse_dates_random_against_rule(spark):
+    import random
+    import re
+
+    from salesengine.functions.dates import parse_iso_date
+    from salesengine.schema import MAX_DATE, MIN_DATE
+
+    rnd = random.Random(5)
+
+    def sample():
+        y = rnd.choice([rnd.randint(1990, 2030), rnd.randint(1600, 1700), rnd.randint(2250, 2300), 0, 9999])
+        m, d = rnd.randint(0, 13), rnd.randint(0, 32)
+        fm, fd = rnd.choice(["{:02d}", "{}", "{:03d}"]), rnd.choice(["{:02d}", "{}"])
+        s = f"{y:04d}-" + fm.format(m) + "-" + fd.format(d)
+        return rnd.choice([s, s, s, " " + s, s + " ", s.replace("-", "/"), s[:-1], s + "T00:00"])
+
+    def rule(s):
+        if not re.fullmatch(r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}", s):
+            return None
+        y, m, d = map(int, s.split("-"))
+        try:
+            v = dt.date(y, m, d)
+        except ValueError:
+            return None
+        return v.isoformat() if MIN_DATE <= v.isoformat() <= MAX_DATE else None
+
+    texts = [sample() for _ in range(800)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(F.date_format(parse_iso_date(F.col("t")), "yyyy-MM-dd")).collect()]
+    bad = [(t, g, rule(t)) for t, g in zip(texts, got) if g != rule(t)]
+    assert not bad, bad[:5]
