@@ -301,3 +301,43 @@ def test_parse_dates_random_against_rule(spark):
     got = [r[0] for r in df.select(F.date_format(parse_iso_date(F.col("t")), "yyyy-MM-dd")).collect()]
     bad = [(t, g, rule(t)) for t, g in zip(texts, got) if g != rule(t)]
     assert not bad, bad[:5]
+
+
+def test_dedupe_and_status_brute_force(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = []
+    for i in range(3000):
+        key = "HOT" if rnd.random() < 0.33 else rnd.choice([None, None] + [f"K{j}" for j in range(400)])
+        rows.append({
+            "transaction_id": key,
+            "date": rnd.choice(["2023-01-05", "2023-02-30", "bad", "2023-7-9"]),
+            "unit_price": rnd.choice([Decimal("1.00"), Decimal("0"), None]),
+            "final_amount": Decimal(rnd.randint(-2, 900)),
+        })
+    order = list(range(3000))
+    rnd.shuffle(order)
+    df = raw(spark, *rows)
+    df = df.withColumn("_o", F.element_at(F.array(*[F.lit(o) for o in order]), F.col("_o") + 1)).repartition(12)
+
+    # Brute force: per key the row with the smallest order value, then T2, then T5.
+    first = {}
+    for r, o in zip(rows, order):
+        k = r["transaction_id"]
+        if k not in first or o < first[k][1]:
+            first[k] = (r, o)
+
+    def status(r):
+        if r["date"] not in ("2023-01-05", "2023-7-9"):
+            return C.BAD_DATE
+        bad = (r["unit_price"] is not None and r["unit_price"] <= 0) or r["final_amount"] < 0
+        return C.BAD_PRICE if bad else C.OK
+
+    want = sorted((k or "", status(r), r["final_amount"]) for k, (r, _) in first.items())
+    staged = C.clean_with_status(df, ORDER)
+    got = sorted((r.transaction_id or "", r.dq_status, r.final_amount)
+                 for r in staged.select("transaction_id", C.STATUS, "final_amount").collect())
+    assert got == want
+    counts = C.status_counts(staged).collect()[0]
+    assert counts.raw_rows == 3000 and counts.duplicates == 3000 - len(first)
