@@ -200,8 +200,9 @@ DAY_TYPE = "CASE WHEN weekday IN ('Saturday', 'Sunday') THEN 'Weekend' ELSE 'Wee
 RET = "count(*) FILTER (WHERE is_returned)"
 
 
-def _report_queries() -> dict[str, str]:
-    s = WITH_SALES
+def _report_queries(s: str = WITH_SALES) -> dict[str, str]:
+    """Report SQL over a ``sales`` relation; ``s`` is the WITH clause that
+    defines it (by default: the raw view plus the cleaning chain)."""
     nr = "sum(net_revenue)"
     return {
         # A1-A3, P1
@@ -238,14 +239,14 @@ SELECT year, month, {rmoney(nr, 2)} AS monthly_revenue, count(transaction_id) AS
         "rpt_top_categories": f"""{s}
 SELECT category, {rmoney(nr, 2)} AS total_revenue, count(transaction_id) AS total_orders,
        {mpct('sum(discount_pct)', 'count(discount_pct)', 2)} AS avg_discount_pct
-{POS} GROUP BY category ORDER BY total_revenue DESC, category LIMIT 5""",
+{POS} GROUP BY category ORDER BY total_revenue DESC, category NULLS LAST LIMIT 5""",
         "rpt_regional": f"""{s}
 SELECT region, {rmoney(nr, 2)} AS total_revenue, count(transaction_id) AS total_orders,
        {pct(RET, 'count(*)', 2)} AS return_rate_pct
 FROM sales GROUP BY region ORDER BY total_revenue DESC, region""",
         "rpt_top_products_units": f"""{s}
 SELECT product_name, category, CAST(sum(quantity) AS BIGINT) AS units_sold, {rmoney(nr, 2)} AS total_revenue
-{POS} GROUP BY product_name, category ORDER BY units_sold DESC, product_name, category LIMIT 10""",
+{POS} GROUP BY product_name, category ORDER BY units_sold DESC, product_name NULLS LAST, category NULLS LAST LIMIT 10""",
         "rpt_payment_share": f"""{s}
 SELECT payment_method, count(*) AS num_transactions,
        {pct('count(*)', '(SELECT count(*) FROM sales)', 2)} AS pct_share
@@ -278,12 +279,12 @@ SELECT DISTINCT category FROM sales ORDER BY category""",
         "dash_top_products": f"""{s}
 SELECT product_name, category, CAST(sum(quantity) AS BIGINT) AS units_sold, {rmoney(nr, 0)} AS total_revenue,
        {mpct('sum(discount_pct)', 'count(discount_pct)', 1)} AS avg_discount
-{POS} GROUP BY product_name, category ORDER BY total_revenue DESC, product_name, category LIMIT 15""",
+{POS} GROUP BY product_name, category ORDER BY total_revenue DESC, product_name NULLS LAST, category NULLS LAST LIMIT 15""",
         "dash_top_products_cat": f"""{s}
 SELECT product_name, category, CAST(sum(quantity) AS BIGINT) AS units_sold, {rmoney(nr, 0)} AS total_revenue,
        {mpct('sum(discount_pct)', 'count(discount_pct)', 1)} AS avg_discount
 FROM sales WHERE category = 'Economy' AND net_revenue > 0
-GROUP BY product_name, category ORDER BY total_revenue DESC, product_name, category LIMIT 15""",
+GROUP BY product_name, category ORDER BY total_revenue DESC, product_name NULLS LAST, category NULLS LAST LIMIT 15""",
         "dash_discount_scatter": f"""{s}
 SELECT product_name, category, {mpct('sum(discount_pct)', 'count(discount_pct)', 1)} AS avg_discount,
        {rmoney(nr, 0)} AS total_revenue, CAST(sum(quantity) AS BIGINT) AS units_sold
@@ -311,15 +312,15 @@ FROM h GROUP BY region ORDER BY region""",
         "q_region_return": f"""{s}
 SELECT region, {RET} AS returns, count(*) AS total_orders, {pct(RET, 'count(*)', 2)} AS return_rate_pct
 FROM sales GROUP BY region
-ORDER BY CAST({RET} AS DOUBLE) / count(*) DESC, region LIMIT 1""",
+ORDER BY CAST({RET} AS DOUBLE) / count(*) DESC, region NULLS LAST LIMIT 1""",
         "q_region_return_quarter": f"""{s}
 SELECT region, {RET} AS returns, count(*) AS total_orders, {pct(RET, 'count(*)', 2)} AS return_rate_pct
 FROM sales WHERE quarter = 3 GROUP BY region
-ORDER BY CAST({RET} AS DOUBLE) / count(*) DESC, region LIMIT 1""",
+ORDER BY CAST({RET} AS DOUBLE) / count(*) DESC, region NULLS LAST LIMIT 1""",
         "q_top_products_in_category": f"""{s}
 SELECT product_name, category, {rmoney(nr, 2)} AS total_revenue
 FROM sales WHERE net_revenue > 0 AND category = 'Economy'
-GROUP BY product_name, category ORDER BY sum(net_revenue) DESC, product_name LIMIT 3""",
+GROUP BY product_name, category ORDER BY sum(net_revenue) DESC, product_name NULLS LAST LIMIT 3""",
         "q_monthly_in_quarter": f"""{s}
 SELECT year, month, {rmoney(nr, 2)} AS monthly_revenue, count(transaction_id) AS total_orders
 FROM sales WHERE net_revenue > 0 AND year = 1997 AND quarter = 3
@@ -327,7 +328,7 @@ GROUP BY year, month ORDER BY year, month""",
         "q_weekend_payment": f"""{s}
 SELECT payment_method, count(*) AS num_transactions FROM sales
 WHERE weekday IN ('Saturday', 'Sunday') GROUP BY payment_method
-ORDER BY num_transactions DESC, payment_method LIMIT 1""",
+ORDER BY num_transactions DESC, payment_method NULLS LAST LIMIT 1""",
         "q_premium_share": f"""{s}
 SELECT count(*) FILTER (WHERE revenue_bucket = 'Premium') AS premium_orders, count(*) AS total_orders,
        {pct("count(*) FILTER (WHERE revenue_bucket = 'Premium')", 'count(*)', 2)} AS premium_share_pct
@@ -343,6 +344,11 @@ def _adhoc() -> dict[str, str]:
                          f"CAST(returns AS BIGINT) AS returns FROM ({body}) t"}
 
 
+def report_sql(sales_cte: str) -> dict[str, str]:
+    """The report statements over another ``sales`` definition (tests)."""
+    return _report_queries(sales_cte)
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     out.update(_clean_queries())

@@ -59,7 +59,7 @@ def category_revenue(sales: DataFrame) -> DataFrame:
         with_revenue(measures(sales))
         .groupBy("category")
         .agg(round_money(revenue(), 0).alias("revenue"))
-        .orderBy(F.desc("revenue"), F.asc("category"))
+        .orderBy(F.desc("revenue"), F.asc_nulls_last("category"))
     )
 
 
@@ -69,7 +69,7 @@ def payment_counts(sales: DataFrame) -> DataFrame:
         measures(sales)
         .groupBy("payment_method")
         .agg(rows().alias("txns"))
-        .orderBy(F.desc("txns"), F.asc("payment_method"))
+        .orderBy(F.desc("txns"), F.asc_nulls_last("payment_method"))
     )
 
 
@@ -103,7 +103,7 @@ def top_products(sales: DataFrame, category: str | None = None, k: int = 15) ->
             round_money(revenue(), 0).alias("total_revenue"),
             mean_percent(discount(), discount_count(), 1).alias("avg_discount"),
         )
-        .orderBy(F.desc("total_revenue"), F.asc("product_name"), F.asc("category"))
+        .orderBy(F.desc("total_revenue"), F.asc_nulls_last("product_name"), F.asc_nulls_last("category"))
         .limit(k)
     )
 
@@ -127,7 +127,7 @@ def bucket_distribution(sales: DataFrame) -> DataFrame:
         with_revenue(measures(sales))
         .groupBy("revenue_bucket")
         .agg(rows().alias("txns"), round_money(revenue(), 0).alias("revenue"))
-        .orderBy(F.desc("revenue"), F.asc("revenue_bucket"))
+        .orderBy(F.desc("revenue"), F.asc_nulls_last("revenue_bucket"))
     )
 
 
@@ -142,7 +142,7 @@ def regional_table(sales: DataFrame) -> DataFrame:
             mean_money(revenue(), revenue_count(), 0).alias("avg_order_value"),
             percent(returned(), rows(), 1).alias("return_rate"),
         )
-        .orderBy(F.desc("total_revenue"), F.asc("region"))
+        .orderBy(F.desc("total_revenue"), F.asc_nulls_last("region"))
     )
 
 

@@ -32,7 +32,7 @@ def region_return_rate(sales: DataFrame, quarter: int | None = None, k: int = 1)
             "region", "returns", "total_orders",
             percent(F.col("returns"), F.col("total_orders"), 2).alias("return_rate_pct"),
         )
-        .orderBy((F.col("returns").cast("double") / F.col("total_orders")).desc(), F.asc("region"))
+        .orderBy((F.col("returns").cast("double") / F.col("total_orders")).desc(), F.asc_nulls_last("region"))
         .limit(k)
     )
 
@@ -44,7 +44,7 @@ def top_products_in_category(sales: DataFrame, category: str, k: int = 3) -> Dat
         .filter(F.col("category") == F.lit(category))
         .groupBy("product_name", "category")
         .agg(revenue().alias("_rev"))
-        .orderBy(F.desc("_rev"), F.asc("product_name"))
+        .orderBy(F.desc("_rev"), F.asc_nulls_last("product_name"))
         .limit(k)
         .select("product_name", "category", round_money(F.col("_rev"), 2).alias("total_revenue"))
     )
@@ -72,7 +72,7 @@ def weekend_payment(sales: DataFrame, k: int = 1) -> DataFrame:
         .filter(F.col("day_type") == F.lit("Weekend"))
         .groupBy("payment_method")
         .agg(rows().alias("num_transactions"))
-        .orderBy(F.desc("num_transactions"), F.asc("payment_method"))
+        .orderBy(F.desc("num_transactions"), F.asc_nulls_last("payment_method"))
         .limit(k)
     )
 

@@ -59,7 +59,7 @@ def top_categories(sales: DataFrame, k: int = 5) -> DataFrame:
             ids().alias("total_orders"),
             mean_percent(discount(), discount_count(), 2).alias("avg_discount_pct"),
         )
-        .orderBy(F.desc("total_revenue"), F.asc("category"))
+        .orderBy(F.desc("total_revenue"), F.asc_nulls_last("category"))
         .limit(k)
     )
 
@@ -74,7 +74,7 @@ def regional_performance(sales: DataFrame) -> DataFrame:
             ids().alias("total_orders"),
             percent(returned(), rows(), 2).alias("return_rate_pct"),
         )
-        .orderBy(F.desc("total_revenue"), F.asc("region"))
+        .orderBy(F.desc("total_revenue"), F.asc_nulls_last("region"))
     )
 
 
@@ -84,7 +84,7 @@ def top_products_by_units(sales: DataFrame, k: int = 10) -> DataFrame:
         with_revenue(measures(sales))
         .groupBy("product_name", "category")
         .agg(quantity().alias("units_sold"), round_money(revenue(), 2).alias("total_revenue"))
-        .orderBy(F.desc("units_sold"), F.asc("product_name"), F.asc("category"))
+        .orderBy(F.desc("units_sold"), F.asc_nulls_last("product_name"), F.asc_nulls_last("category"))
         .limit(k)
     )
 
@@ -106,7 +106,7 @@ def payment_share(sales: DataFrame) -> DataFrame:
         .withColumn("_total", total)
         .select("payment_method", "num_transactions",
                 percent(F.col("num_transactions"), F.col("_total"), 2).alias("pct_share"))
-        .orderBy(F.desc("num_transactions"), F.asc("payment_method"))
+        .orderBy(F.desc("num_transactions"), F.asc_nulls_last("payment_method"))
     )
 
 
@@ -133,5 +133,5 @@ def revenue_buckets(sales: DataFrame) -> DataFrame:
             round_money(revenue(), 2).alias("total_revenue"),
             mean_money(revenue(), revenue_count(), 2).alias("avg_order_value"),
         )
-        .orderBy(F.desc("avg_order_value"), F.asc("revenue_bucket"))
+        .orderBy(F.desc("avg_order_value"), F.asc_nulls_last("revenue_bucket"))
     )
