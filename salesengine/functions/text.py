@@ -13,9 +13,15 @@ WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 def strip(c: Column) -> Column:
     """Remove leading and trailing whitespace (Python's definition, so the
-    separator controls U+001C..U+001F count too). ``btrim`` with a character
-    set is a plain scan from both ends, no regex."""
-    return F.btrim(c, F.lit(WHITESPACE))
+    separator controls U+001C..U+001F count too), without a regex.
+
+    ``trim`` removes ASCII spaces only and is the cheapest; the scan over the
+    full whitespace set (``btrim``) runs only when some other whitespace
+    character is still at either end."""
+    t = F.trim(c)
+    ws = list(WHITESPACE)
+    edge = F.substring(t, 1, 1).isin(*ws) | F.substring(t, -1, 1).isin(*ws)
+    return F.when(edge, F.btrim(t, F.lit(WHITESPACE))).otherwise(t)
 
 
 def title_case(c: Column) -> Column:

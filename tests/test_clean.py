@@ -261,7 +261,7 @@ def test_normalise_matches_python_on_random_text(spark):
     from salesengine.functions.text import normalise
 
     alphabet = list("abcXYZ") + ["é", "É", "ß", "ǆ", "ǅ", "ﬁ", "Ω", "ω", "5", "0", " ", " ", "-", "'", "&", ".",
-                                  "\t", "\n", "\xa0", "　", "\x1c"]
+                                  "\t", "\n", "\xa0", "　", "\x1c", "\x01"]
     rnd = random.Random(11)
     texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12))) for _ in range(600)]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
