@@ -7,8 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, quality, simhash
-from .tables import split_of, table
+from . import bpe, chat, fingerprints, langid, packing, quality, simhash, template, warc
+from .tables import shared_dir, split_of, table
+
+
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.against_edited(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark)
+    warc.write_warc(table(spark, sf_dir, "pages"), path)
+    number = lambda c: F.regexp_extract(c, r"<urn:page:(-?\d*)>", 1).try_cast("long")
+    read = warc.read_warc(spark, path)
+    response = read.where("type = 'response'").select(number(F.col("id")).alias("page_id"), "payload_bytes", "payload_digest",
+                                                      F.col("type").alias("record_type"), F.lit(None).cast("long").alias("refers_to"))
+    sizes = response.groupBy("payload_digest").agg(F.max("payload_bytes").alias("payload_bytes"))
+    revisit = read.where("type = 'revisit'").select(number(F.col("id")).alias("page_id"), F.regexp_replace("stated_digest", "^sha1:", "").alias("payload_digest"),
+                                                    F.col("type").alias("record_type"), number(F.col("refers_to")).alias("refers_to"))
+    return response.unionByName(revisit.join(sizes, "payload_digest"))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +41,28 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs)).select("doc_id", *quality.MEASURES, "base_failed", "kept")
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.digest(chat.format_chat(turns.union(probe)))
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    if vocabulary is None:
+        import public_tokenizers
+
+        vocabulary = str(public_tokenizers.path("word_bpe_49k.json"))
+    docs = table(spark, sf_dir, "documents")
+    return bpe.encode(docs, vocabulary, with_ids=False).withColumnRenamed("id", "doc_id")
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return template.extract(pages).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(packing.word_counts(table(spark, sf_dir, "documents")))
 
@@ -41,6 +80,28 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_language_id, op4_quality_rules, op9_best_fit, op10_simhash, pipeline)
+    f.__name__: f for f in (op1_fingerprints, op2_warc, op3_language_id, op4_quality_rules, op5_chat_formatting, op7_bpe,
+                            op8_html_extraction, op9_best_fit, op10_simhash, pipeline)
+}
+_CONTROLS = r"(\\|<s>|</s>|\[INST\]|\[/INST\]|<\|image\|>|<\|audio\|>|<\|document\|>)"
+ORACLE_SQL: dict[str, str] = {
+    "op2_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS head, unhex(sha1(html))::BIT::VARCHAR AS bits FROM p)
+        SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
+               list_reduce(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+                   16 * substr(bits, 5 * i + 1, 1)::INT + 8 * substr(bits, 5 * i + 2, 1)::INT + 4 * substr(bits, 5 * i + 3, 1)::INT
+                   + 2 * substr(bits, 5 * i + 4, 1)::INT + substr(bits, 5 * i + 5, 1)::INT)::INT, 1)), lambda a, b: a || b) AS payload_digest,
+               CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> head THEN head END AS refers_to
+        FROM f""",
+    "op5_chat_formatting": rf"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+        p AS (SELECT *, len(regexp_replace(role, '{_CONTROLS}', 'x\1', 'g')) + len(regexp_replace(text, '{_CONTROLS}', 'x\1', 'g')) + 20 AS n FROM t)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(n)::BIGINT AS formatted_chars
+        FROM p GROUP BY conv_id""",
 }
-ORACLE_SQL: dict[str, str] = {}
