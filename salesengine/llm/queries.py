@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, langid, packing, quality, simhash, template, warc
+from . import bpe, chat, fingerprints, langid, mixing, packing, quality, simhash, template, warc
 from .tables import shared_dir, split_of, table
 
 
@@ -49,6 +49,11 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_chat(turns.union(probe)))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return mixing.score(docs, split_of("doc_id", 7, 2)).withColumnRenamed("id", "doc_id")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     if vocabulary is None:
         import public_tokenizers
@@ -80,8 +85,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op2_warc, op3_language_id, op4_quality_rules, op5_chat_formatting, op7_bpe,
-                            op8_html_extraction, op9_best_fit, op10_simhash, pipeline)
+    f.__name__: f for f in (op1_fingerprints, op2_warc, op3_language_id, op4_quality_rules, op5_chat_formatting,
+                            op6_lm_scoring, op7_bpe, op8_html_extraction, op9_best_fit, op10_simhash, pipeline)
 }
 _CONTROLS = r"(\\|<s>|</s>|\[INST\]|\[/INST\]|<\|image\|>|<\|audio\|>|<\|document\|>)"
 ORACLE_SQL: dict[str, str] = {

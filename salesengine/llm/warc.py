@@ -164,7 +164,8 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = False) -> Dat
     found = cut(_pieces(spark, path).mapInArrow(_scan, META))
     span = found.groupBy("file", "split").agg(F.sum(F.col("size") + len(MAGIC)).alias("bytes"))
     order = Window.partitionBy("file").orderBy("split")
-    base = span.withColumn("base", F.coalesce(F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("file", "split", "base")
+    base = span.withColumn("base", F.coalesce(F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn(
+        "end", F.sum("bytes").over(Window.partitionBy("file"))).select("file", "split", "base", "end")
     shift = lambda c: (F.col(c) + F.col("base")).alias(c)
     placed = cut(found.join(base, ["file", "split"]).select(
         *[c for c in found.columns if c not in ("next", "exit")], (F.col("rel") + F.col("base")).alias("at"), shift("next"), shift("exit")))
@@ -190,7 +191,7 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = False) -> Dat
 
     entries = placed.join(reached, ["file", "at"], "left_semi").groupBy("file", "split").agg(F.min("at").alias("entry"))
     ranges = base.join(entries, ["file", "split"], "left").withColumn(
-        "later", F.min("entry").over(order.rowsBetween(1, Window.unboundedFollowing))).select("file", "split", "entry", "later")
+        "later", F.coalesce(F.min("entry").over(order.rowsBetween(1, Window.unboundedFollowing)), F.col("end"))).select("file", "split", "entry", "later")
     walked = cut(placed.join(ranges, ["file", "split"]).select("file", "split", "rel", "at", "next", "entry", "later")
                  .groupBy("file", "split").applyInPandas(_walk, "file string, split long, rel long, at long, real boolean, owner long"))
     place = ["file", "split", "rel"]
