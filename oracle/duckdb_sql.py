@@ -354,4 +354,10 @@ def oracle_sql() -> dict[str, str]:
     out.update(_clean_queries())
     out.update(_report_queries())
     out.update(_adhoc())
+    # the same results by another path: from CSV files, or read back from written tables
+    out["csv_clean_sales"] = out["fact_table"] = out["clean_sales"]
+    out["status_counts"] = out["quality_counts"]
+    for name in ("monthly_category_summary", "regional_summary", "product_summary"):
+        out[f"written_{name}"] = out[name]
+    out["adhoc_regional_summary"] = out["regional_summary"]
     return out

@@ -28,12 +28,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True, help="output folder for the tables")
     ap.add_argument("--generate", type=int, default=0, help="first write N synthetic rows to --raw")
     ap.add_argument("--no-quality", action="store_true", help="skip the data-quality counters")
+    ap.add_argument("--multi-line", action="store_true", help="read line breaks inside quoted fields")
+    ap.add_argument("--jdbc-url", help="also load the fact table and the summaries into this database")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("salesengine").getOrCreate()
     if args.generate:
         write_csv(generate_sales(spark, args.generate), args.raw)
-    res = run(spark, args.raw, args.out, quality=not args.no_quality)
+    res = run(spark, args.raw, args.out, quality=not args.no_quality, multi_line=args.multi_line, jdbc_url=args.jdbc_url)
     out = {"sales": res.sales_path, "summaries": res.summary_paths}
     if res.quality is not None:
         out["quality"] = res.quality.collect()[0].asDict()

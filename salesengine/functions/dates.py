@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..schema import MAX_DATE, MIN_DATE, WEEKEND_DAYS
 
 # ISO calendar date with 4-digit year and 1- or 2-digit month and day.
-ISO_DATE_PATTERN = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+ISO_DATE_PATTERN = r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"
 
 
 def parse_iso_date(c: Column) -> Column:

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 
+# Characters without case: letters of caseless scripts count, letter numbers such as ⅷ do not.
+UNCASED = r"[^\p{IsLowercase}\p{IsUppercase}\p{Lt}]"
+
+
 def strip(c: Column) -> Column:
     """Remove leading and trailing whitespace (Python's definition, so the
     separator controls U+001C..U+001F count too), without a regex.
@@ -25,18 +29,18 @@ def strip(c: Column) -> Column:
 
 
 def title_case(c: Column) -> Column:
-    """Capitalise the first letter of every run of letters, lower-case the rest.
+    """Capitalise the first of every run of cased characters, lower-case the rest.
 
     ``t-shirt x`` -> ``T-Shirt X``, ``5kg rice`` -> ``5Kg Rice``, ``o'neil`` ->
     ``O'Neil``. ``initcap`` alone only starts a word after a space, so a space
-    is put after every non-letter first and removed again afterwards (each
-    inserted space directly follows its non-letter, and a left-to-right scan
-    for "non-letter + space" consumes exactly those pairs). Three codegen'd
+    is put after every uncased character first and removed again afterwards (each
+    inserted space directly follows its character, and a left-to-right scan
+    for "uncased + space" consumes exactly those pairs). Three codegen'd
     built-ins, no per-row arrays or lambdas; title-case letters such as the
     ``ǅ`` digraph come out as Unicode title case.
     """
-    spaced = F.regexp_replace(c, r"(\P{L})", "$1 ")
-    general = F.regexp_replace(F.initcap(spaced), r"(\P{L}) ", "$1")
+    spaced = F.regexp_replace(c, f"({UNCASED})", "$1 ")
+    general = F.regexp_replace(F.initcap(spaced), f"({UNCASED}) ", "$1")
     # Fast path: for ASCII letters and spaces only, words are exactly the
     # space-separated runs, so initcap alone is already the answer.
     return F.when(c.rlike("^[A-Za-z ]*$"), F.initcap(c)).otherwise(general)

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import parse_iso_date, weekday_name
 from ..functions.text import normalise
@@ -20,6 +21,7 @@ from ..schema import (
     BUCKET_NONE,
     MONEY,
     RATIO,
+    SALES,
     SALES_COLUMNS,
 )
 
@@ -28,17 +30,17 @@ KEY = "transaction_id"
 
 # --- T1 ----------------------------------------------------------------------
 def _first_per_key(df: DataFrame, order_cols: Sequence[str], payload: Sequence[str], copies: bool) -> DataFrame:
-    """One row per key: the payload of the copy that sorts first on order_cols.
+    """One row per key: the payload of the copy that sorts first on order_cols,
+    ties by the payload itself, so the survivor never depends on the partitioning.
 
-    Expressed as ``min_by`` in a GROUP BY rather than ``row_number`` over a
+    Expressed as ``min`` of one struct in a GROUP BY rather than ``row_number`` over a
     window: the aggregate runs a partial (map-side) step first, so each task
     ships at most one row per key to the shuffle. A key that holds a third of
     all rows (e.g. a null id in dirty input) therefore costs one row per map
     task instead of landing entirely in one reducer, and duplicates never cross
     the network. Null keys form one group, so exactly one null-id row survives.
-    ``order_cols`` must be a total order within a key.
     """
-    aggs = [F.min_by(F.struct(*payload), F.struct(*order_cols)).alias("_first")]
+    aggs = [F.min(F.struct(*order_cols, *payload)).alias("_first")]
     if copies:
         aggs.append(F.count(F.lit(1)).alias("_copies"))
     out = df.groupBy(KEY).agg(*aggs)
@@ -87,7 +89,7 @@ def clip_discount(df: DataFrame) -> DataFrame:
     turn it into a bound)."""
     d = F.col("discount_pct")
     clipped = F.when(d < 0, F.lit(0)).when(d > 1, F.lit(1)).otherwise(d)
-    return df.withColumn("discount_pct", clipped.cast(RATIO))
+    return df.withColumn("discount_pct", clipped.try_cast(RATIO))
 
 
 # --- T7 ----------------------------------------------------------------------
@@ -95,7 +97,7 @@ def add_net_revenue(df: DataFrame) -> DataFrame:
     """0 for returned rows, else final_amount. A missing flag counts as
     returned (a missing value is truthy)."""
     nr = F.when(F.coalesce(F.col("is_returned"), F.lit(True)), F.lit(0)).otherwise(F.col("final_amount"))
-    return df.withColumn("net_revenue", nr.cast(MONEY))
+    return df.withColumn("net_revenue", nr.try_cast(MONEY))
 
 
 # --- T8 ----------------------------------------------------------------------
@@ -119,38 +121,34 @@ def add_revenue_bucket(df: DataFrame) -> DataFrame:
 
 
 # --- T10 -----------------------------------------------------------------------
+def fact_columns() -> list[Column]:
+    """The fact table's columns, numbers narrowed to its types (null where they don't fit)."""
+    return [F.col(f.name).try_cast(f.dataType).alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name) for f in SALES.fields]
+
+
 def clean_sales(raw: DataFrame, order_cols: Sequence[str]) -> DataFrame:
-    """T1 -> T2 -> T3/T4 -> T5 -> T6 -> T7 -> T8 -> T9, SALES columns."""
-    return (
-        raw.transform(dedupe_first, order_cols)
-        .transform(parse_dates)
-        .transform(add_calendar)
-        .transform(drop_bad_prices)
-        .transform(clip_discount)
-        .transform(add_net_revenue)
-        .transform(normalise_text)
-        .transform(add_revenue_bucket)
-        .select(*SALES_COLUMNS)
-    )
+    """T1 -> T2 -> T3/T4 -> T5 -> T6 -> T7 -> T8 -> T9, SALES columns: the ``ok`` rows of ``clean_with_status``."""
+    return clean_with_status(raw, order_cols).filter(F.col(STATUS) == OK).select(*SALES_COLUMNS)
 
 
 STATUS = "dq_status"
 COPIES = "dq_copies"
+RAW_DATE = "dq_raw_date"
 OK, BAD_DATE, BAD_PRICE = "ok", "bad_date", "bad_price"
 
 
 def clean_with_status(raw: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     """T10 without dropping: every first-per-key row, with its ``dq_status``
     (``ok`` / ``bad_date`` / ``bad_price``, decided in T2-then-T5 order) and
-    ``dq_copies`` (rows sharing its key). The ``ok`` rows are exactly
-    ``clean_sales``; the rest is what T2 and T5 drop.
+    ``dq_copies`` (rows sharing its key). The ``ok`` rows are ``clean_sales``;
+    the rest is what T2 and T5 drop, with the date as it was in ``dq_raw_date``.
 
     Writing this once (partitioned by status) gives the fact table and the
     T11 counters from one pass over the raw input.
     """
     payload = [c for c in raw.columns if c != KEY and c not in order_cols]
     first = _first_per_key(raw, order_cols, payload, copies=True).withColumnRenamed("_copies", COPIES)
-    d = first.withColumn("date", parse_iso_date(F.col("date")))
+    d = first.withColumn(RAW_DATE, F.col("date")).withColumn("date", parse_iso_date(F.col("date")))
     status = (
         F.when(F.col("date").isNull(), F.lit(BAD_DATE))
         .when(bad_price(F.col("unit_price"), F.col("final_amount")), F.lit(BAD_PRICE))
@@ -158,12 +156,13 @@ def clean_with_status(raw: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     )
     return (
         d.withColumn(STATUS, status)
+        .withColumn(RAW_DATE, F.when(F.col(STATUS) != OK, F.col(RAW_DATE)))
         .transform(add_calendar)
         .transform(clip_discount)
         .transform(add_net_revenue)
         .transform(normalise_text)
         .transform(add_revenue_bucket)
-        .select(*SALES_COLUMNS, COPIES, STATUS)
+        .select(*fact_columns(), COPIES, RAW_DATE, STATUS)
     )
 
 

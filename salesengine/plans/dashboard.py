@@ -84,7 +84,7 @@ def day_type_split(sales: DataFrame) -> DataFrame:
 
 def category_list(sales: DataFrame) -> DataFrame:
     """Sorted distinct categories (a distributed distinct, not a collect)."""
-    return sales.select("category").distinct().orderBy("category")
+    return sales.select("category").distinct().orderBy(F.asc_nulls_last("category"))
 
 
 def top_products(sales: DataFrame, category: str | None = None, k: int = 15) -> DataFrame:
@@ -155,37 +155,13 @@ def heat_long(sales: DataFrame) -> DataFrame:
     )
 
 
-def pivot_values(sales: DataFrame) -> list[str]:
-    """Non-null categories with revenue, sorted: the pivot's column list.
+def heat_pivot(sales: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """One row per region, one column per listed category, missing cells 0.
 
-    The output schema has one column per value, so the list has to reach the
-    driver; it is a distributed DISTINCT over one pruned column and, like
-    Spark's own pivot, refuses more than ``spark.sql.pivotMaxValues`` values.
+    The list (e.g. from D6) is an argument, as it decides the columns. Each cell is a
+    conditional sum over the long form, which has one value per cell. Null and unlisted
+    categories get no column; their regions still get a row.
     """
-    cap = int(sales.sparkSession.conf.get("spark.sql.pivotMaxValues", "10000"))
-    vals = (
-        with_revenue(measures(sales)).select("category").where(F.col("category").isNotNull())
-        .distinct().orderBy("category").limit(cap + 1).collect()
-    )
-    if len(vals) > cap:
-        raise ValueError(f"more than {cap} pivot values; pass categories explicitly")
-    return [r[0] for r in vals]
-
-
-def heat_pivot(sales: DataFrame, categories: Sequence[str] | None = None) -> DataFrame:
-    """One row per region, one column per category, missing cells 0.
-
-    Pivots the aggregated long form (one value per cell, so ``sum`` is the
-    value itself). Pass ``categories`` (e.g. from D6) to skip the job that
-    discovers them. Null categories get no column; their regions still get a
-    row.
-    """
-    cats = sorted(categories) if categories is not None else pivot_values(sales)
-    out = heat_long(sales).groupBy("region").pivot("category", cats).agg(F.sum("revenue"))
-    cells = [F.coalesce(F.col(_quoted(c)), F.lit(0.0)).alias(c) for c in cats]
-    return out.select("region", *cells).orderBy("region")
-
-
-def _quoted(name: str) -> str:
-    """A column reference for an arbitrary value used as a column name."""
-    return "`" + name.replace("`", "``") + "`"
+    long = heat_long(sales)
+    cells = [F.coalesce(F.sum(F.when(F.col("category") == c, F.col("revenue"))), F.lit(0.0)).alias(c) for c in sorted(categories)]
+    return long.groupBy("region").agg(*cells).orderBy(F.asc_nulls_last("region"))

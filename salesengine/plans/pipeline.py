@@ -14,12 +14,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.clean import clean_sales, clean_with_status, status_counts
+from ..operators.clean import OK, STATUS, clean_with_status, status_counts
 from ..operators.rollup import product_rollup, sales_rollup
-from ..session import new_table_path, size_shuffle_partitions
+from ..session import new_table_path, sized_for
 from ..sources.csv import CSV_ORDER_COLUMNS, read_sales
 from ..sources.scan import input_bytes, spread
-from ..sources.tables import read_sales_table, write_sales, write_staged, write_summaries, write_table
+from ..sources.tables import read_sales_table, read_staged, write_jdbc, write_staged, write_summaries, write_table
 from ..sources.testdata import ORDER_COLUMNS as STAR_ORDER_COLUMNS
 from ..sources.testdata import raw_sales_from_star
 
@@ -36,7 +36,8 @@ class RunResult:
     products_path: str | None = None
 
 
-def run(spark: SparkSession, raw_path: str | list[str], out_path: str, quality: bool = True) -> RunResult:
+def run(spark: SparkSession, raw_path: str | list[str], out_path: str, quality: bool = True, multi_line: bool = False,
+        jdbc_url: str | None = None, jdbc_properties: dict[str, str] | None = None) -> RunResult:
     """Full job over raw CSV files (the reference's extract/transform/load).
 
     One pass over the raw input writes ``staged``: the first row of every
@@ -47,24 +48,28 @@ def run(spark: SparkSession, raw_path: str | list[str], out_path: str, quality:
     written it is scanned only by the two rollups). ``quality`` returns the
     T11 counters as a lazy DataFrame over the staged table's status and copy
     columns: no second pass over the raw input, and exact under task retries
-    (a real aggregation over written data, not accumulator metrics).
+    (a real aggregation over written data, not accumulator metrics). With
+    ``jdbc_url`` the fact table and the summaries also replace the tables of their
+    names in that database.
     """
-    size = input_bytes(spark, raw_path)
-    if size is not None:
-        size_shuffle_partitions(spark, size)
     base = out_path.rstrip("/")
     staged_path = f"{base}/staged"
     # The order columns are fixed by the scan; spreading afterwards only
     # matters for unsplittable input (e.g. one large gzip file).
-    raw = spread(read_sales(spark, raw_path))
-    sales_path = write_staged(clean_with_status(raw, CSV_ORDER_COLUMNS), staged_path)
+    with sized_for(spark, input_bytes(spark, raw_path)):
+        raw = spread(read_sales(spark, raw_path, multi_line=multi_line))
+        sales_path = write_staged(clean_with_status(raw, CSV_ORDER_COLUMNS), staged_path)
     sales = read_sales_table(spark, sales_path)
     rollup_path, products_path = f"{base}/sales_rollup", f"{base}/product_rollup"
     write_table(sales_rollup(sales), rollup_path)
     write_table(product_rollup(sales), products_path)
     rollup, products = spark.read.parquet(rollup_path), spark.read.parquet(products_path)
     paths = write_summaries(sales, base, rollup=rollup, products=products)
-    q = status_counts(spark.read.parquet(staged_path)) if quality else None
+    if jdbc_url is not None:
+        write_jdbc(sales, jdbc_url, "sales", jdbc_properties)
+        for name, path in paths.items():
+            write_jdbc(spark.read.parquet(path), jdbc_url, name, jdbc_properties)
+    q = status_counts(read_staged(spark, staged_path)) if quality else None
     return RunResult(sales, sales_path, paths, q, rollup, rollup_path, products, products_path)
 
 
@@ -96,15 +101,25 @@ def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple[str, str, str]:
     return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), what)
 
 
+def star_staged(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the staged table (all first-per-key rows by status), written once per application."""
+    with _lock:
+        path = _written.get(_key(spark, sf_dir, "staged"))
+        if path is None:
+            raw, order = star_raw(spark, sf_dir)
+            path = new_table_path(spark, "staged")
+            write_staged(clean_with_status(raw, order), path)
+            _written[_key(spark, sf_dir, "staged")] = path
+    return path
+
+
 def star_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned fact table for a test-table folder, written once per
     application to the shared work folder and read back for every report."""
     with _lock:
         path = _written.get(_key(spark, sf_dir, "sales"))
         if path is None:
-            raw, order = star_raw(spark, sf_dir)
-            path = new_table_path(spark, "sales")
-            write_sales(clean_sales(raw, order), path)
+            path = f"{star_staged(spark, sf_dir)}/{STATUS}={OK}"
             _written[_key(spark, sf_dir, "sales")] = path
     return fact_table(spark, path)
 

@@ -20,12 +20,14 @@ from pyspark.sql import types as T
 from ..functions.rounding import as_double
 from ..operators import clean as C
 from ..operators import summaries as A
-from ..sources.tables import register_views, sql
-from ..sources.testdata import ORDER_COLUMNS, PARAM_CATEGORY, PARAM_QUARTER, PARAM_YEAR
+from ..session import new_table_path
+from ..sources.csv import CSV_ORDER_COLUMNS, read_sales, write_csv
+from ..sources.tables import read_staged, register_views, sql, write_summaries
+from ..sources.testdata import ORDER_COLUMNS, PARAM_CATEGORY, PARAM_QUARTER, PARAM_YEAR, PIVOT_CATEGORIES
 from . import dashboard as D
 from . import questions as N
 from . import reports as Q
-from .pipeline import star_products, star_raw, star_rollup, star_sales
+from .pipeline import star_products, star_raw, star_rollup, star_sales, star_staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,7 +88,43 @@ def _adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sql(spark, ADHOC_SQL, category=PARAM_CATEGORY)
 
 
+def _csv_clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 then S1: the raw view as CSV files in its order, read back and cleaned."""
+    raw, order = star_raw(spark, sf_dir)
+    path = new_table_path(spark, "raw-csv")
+    write_csv(raw.orderBy(*order).drop(*order), path)
+    return portable(C.clean_sales(read_sales(spark, path), CSV_ORDER_COLUMNS))
+
+
+def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_staged(spark, star_staged(spark, sf_dir))
+
+
+def _written_summary(name: str) -> Query:
+    """One summary table, written and read back."""
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        paths = write_summaries(star_sales(spark, sf_dir), new_table_path(spark, "summaries"),
+                                rollup=star_rollup(spark, sf_dir), products=star_products(spark, sf_dir))
+        return spark.read.parquet(paths[name])
+
+    return q
+
+
+def _adhoc_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_views(spark, star_sales(spark, sf_dir), star_rollup(spark, sf_dir), star_products(spark, sf_dir))
+    return sql(spark, "SELECT * FROM regional_summary")
+
+
 QUERIES: dict[str, Query] = {
+    # S1-S4 and the job's own cleaning path, read back from what was written
+    "csv_clean_sales": _csv_clean_sales,
+    "fact_table": lambda spark, sf_dir: portable(star_sales(spark, sf_dir)),
+    "status_counts": lambda spark, sf_dir: C.status_counts(_staged(spark, sf_dir)),
+    "written_monthly_category_summary": _written_summary("monthly_category_summary"),
+    "written_regional_summary": _written_summary("regional_summary"),
+    "written_product_summary": _written_summary("product_summary"),
+    "adhoc_regional_summary": _adhoc_summary,
     # T1-T11
     "clean_dedupe": _ordered(C.dedupe_first),
     "clean_dates": _raw_step(C.parse_dates),
@@ -125,7 +163,7 @@ QUERIES: dict[str, Query] = {
     "dash_buckets": _on_rollup(D.bucket_distribution),
     "dash_regional": _on_rollup(D.regional_table),
     "dash_heat_long": _on_rollup(D.heat_long),
-    "dash_heat_pivot": _on_rollup(D.heat_pivot),
+    "dash_heat_pivot": _on_rollup(lambda s: D.heat_pivot(s, PIVOT_CATEGORIES)),
     # N1-N6
     "q_region_return": _on_rollup(N.region_return_rate),
     "q_region_return_quarter": _on_rollup(lambda s: N.region_return_rate(s, quarter=PARAM_QUARTER)),

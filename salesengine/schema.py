@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 MONEY = T.DecimalType(18, 2)
 PRICE = T.DecimalType(12, 2)
 RATIO = T.DecimalType(6, 4)
+# Numbers as read from text: wide enough that the checks see the value itself;
+# narrowed to the types above only in the fact table.
+WIDE = T.DecimalType(38, 10)
 
 # Raw transaction file, in file column order.
 RAW_SALES = T.StructType(

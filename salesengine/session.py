@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
-import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -50,29 +51,39 @@ def work_dir(spark: SparkSession) -> str:
 
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared work folder for one written table."""
-    base = work_dir(spark)
-    if "://" not in base:
-        os.makedirs(base, exist_ok=True)
-    return f"{base}/salesengine/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def size_shuffle_partitions(spark: SparkSession, input_bytes: int, per_partition: int = 1 << 30,
-                            max_partitions: int = 200_000) -> int:
-    """Start shuffles with enough partitions for ``input_bytes`` of input.
-
-    AQE can only coalesce shuffle partitions downwards, so a 100 TB dedupe
-    shuffle that starts at the default 200 partitions (500 GB each) spills
-    and crawls. This raises ``initialPartitionNum`` to input / per_partition
-    (1 GB: sort-based shuffle and aggregation spill what does not fit), never
-    lowers a larger setting, and stays at or below ``max_partitions``, because
-    shuffle bookkeeping grows with map tasks x reduce partitions. AQE then
-    merges what turns out small.
+    return f"{work_dir(spark)}/salesengine/{name}-{uuid.uuid4().hex[:12]}"
+
+
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SPLIT_BYTES = "spark.sql.files.maxPartitionBytes"
+#: A shuffle block (one map task's rows for one reducer) should not be smaller than this.
+LEAST_BLOCK = 128 << 10
+
+
+def shuffle_shape(input_bytes: int, least_split: int = 128 << 20, per_partition: int = 1 << 30) -> tuple[int, int]:
+    """(bytes of a scan split, number of shuffle partitions) for an input of a full-row shuffle.
+
+    Blocks number splits x partitions. With splits and partitions of about
+    ``sqrt(input * LEAST_BLOCK)`` bytes each they stay at LEAST_BLOCK however large the input
+    (100 TB: 3.7 GB each, about 30,000 x 30,000); a small input keeps the usual sizes.
     """
-    want = min(max_partitions,
-               max(spark.sparkContext.defaultParallelism, math.ceil(input_bytes / per_partition)))
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    have = max(int(spark.conf.get(key, None) or 0), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    if want > have:
-        spark.conf.set(key, str(want))
-        return want
-    return have
+    even = math.isqrt(input_bytes * LEAST_BLOCK)
+    split, part = max(least_split, even), max(per_partition, even)
+    return split, max(1, math.ceil(input_bytes / part))
+
+
+@contextlib.contextmanager
+def sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Scan splits and shuffle partitions sized for ``input_bytes``; the session's own settings
+    are never lowered and are restored at the end."""
+    split, partitions = shuffle_shape(input_bytes)
+    old = {k: spark.conf.get(k, None) for k in (INITIAL_PARTITIONS, SPLIT_BYTES)}
+    have = max(int(old[INITIAL_PARTITIONS] or 0), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set(INITIAL_PARTITIONS, str(max(have, partitions, spark.sparkContext.defaultParallelism)))
+    if split > 128 << 20:
+        spark.conf.set(SPLIT_BYTES, str(split))
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -6,33 +6,56 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import MISSING_TOKENS, RAW_COLUMNS, RAW_SALES
+from ..schema import MISSING_TOKENS, RAW_COLUMNS, RAW_SALES, WIDE
 
 # Order columns appended by read_sales; they give "first row wins" a meaning
 # on a distributed scan (file, then block, then position inside the task).
 CSV_ORDER_COLUMNS = ["_file", "_block", "_pos"]
 
 
-def read_sales(spark: SparkSession, path: str | list[str], with_order: bool = True) -> DataFrame:
-    """CSV with header -> RAW_SALES typed DataFrame.
+def _number(c):
+    """A text cell as a number of WIDE, null if it is none."""
+    return c.try_cast(WIDE)
+
+
+def _typed(c, kind):
+    """A text cell as ``kind``: whole numbers and flags may be written as floats
+    (``3.0``, ``0.0``), as writers do for a column with a missing value."""
+    if kind == T.IntegerType():
+        n = _number(c)
+        return F.when(n == F.floor(n), n.try_cast("int"))
+    if kind == T.BooleanType():
+        return F.coalesce(c.try_cast("boolean"), _number(c) != 0)
+    return _number(c)
+
+
+def read_sales(spark: SparkSession, path: str | list[str], with_order: bool = True, multi_line: bool = False) -> DataFrame:
+    """CSV with header -> DataFrame with the columns of RAW_SALES, numbers in WIDE.
+
+    Columns are taken by the header's names, in any order and beside others; an
+    absent one is an error, and so is a file whose header differs from the first
+    file's. ``multi_line`` reads line breaks inside quoted fields at the cost of
+    one task a file; without it such a record comes in as broken rows.
 
     Every cell is read as text, the missing-value tokens become null in every
     column (text too), then each column is ``try_cast`` to its type, so one
     malformed number is null for that cell only and never fails the job.
     No schema inference (that would be an extra pass over the data).
     """
-    text_schema = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
     df = (
         spark.read.option("header", True)
         .option("mode", "PERMISSIVE")
         .option("nullValue", "")
         # RFC 4180 quoting, as CSV writers like pandas produce it: a quote
         # inside a quoted field is doubled (Spark's default escape is "\").
-        # Records stay one per line (no multiLine), so files remain splittable.
         .option("escape", '"')
-        .schema(text_schema)
+        .option("multiLine", multi_line)
+        .option("enforceSchema", False)
         .csv(path)
     )
+    absent = [c for c in RAW_COLUMNS if c not in df.columns]
+    if absent:
+        raise ValueError(f"{path}: no column {', '.join(absent)}")
     cols = []
     for f in RAW_SALES.fields:
         c = F.col(f.name)
@@ -42,7 +65,7 @@ def read_sales(spark: SparkSession, path: str | list[str], with_order: bool = Tr
             # No missing token parses as a number or a boolean, and the cast
             # trims surrounding whitespace itself, so try_cast alone maps
             # tokens, blanks and malformed cells to null.
-            c = c.try_cast(f.dataType)
+            c = _typed(c, f.dataType)
         cols.append(c.alias(f.name))
     if with_order:
         cols += [

@@ -30,16 +30,16 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
-def input_bytes(spark, paths: str | list[str]) -> int | None:
-    """Total size of the files under ``paths`` (one file-system call per
-    path), or None where the session offers no file-system access."""
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark._jsparkSession.sessionState().newHadoopConf()
-        total = 0
-        for p in [paths] if isinstance(paths, str) else paths:
-            path = jvm.org.apache.hadoop.fs.Path(p)
-            total += path.getFileSystem(conf).getContentSummary(path).getLength()
-        return total
-    except Exception:
-        return None
+def input_bytes(spark, paths: str | list[str]) -> int:
+    """Total size of the files under ``paths``, globs included; an absent path is an error."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    total = 0
+    for p in [paths] if isinstance(paths, str) else paths:
+        path = hadoop.Path(p)
+        fs = path.getFileSystem(conf)
+        found = list(fs.globStatus(path) or [])
+        if not found:
+            raise FileNotFoundError(p)
+        total += sum(fs.getContentSummary(f.getPath()).getLength() for f in found)
+    return total

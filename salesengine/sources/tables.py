@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.clean import OK, STATUS
+from pyspark.sql import types as T
+
+from ..operators.clean import COPIES, OK, RAW_DATE, STATUS
 from ..operators.summaries import monthly_category_summary, product_summary, regional_summary
 from ..schema import SALES, SALES_COLUMNS, SALES_PARTITION_COLUMNS
 
+# Partitions a rebalance before a partitioned write starts from: it has a few hundred keys,
+# whatever number of partitions the shuffles before it need. AQE splits the large ones.
+WRITE_PARTITIONS = 400
+
 SUMMARY_TABLES = ("monthly_category_summary", "regional_summary", "product_summary")
 
 
@@ -17,7 +23,7 @@ def rebalanced_for_write(sales: DataFrame) -> DataFrame:
     AQE size the write tasks. One hot month is split into several files of
     the advisory size and many small months share a task, so neither file
     count nor file size grows with skew."""
-    return sales.select(*SALES_COLUMNS).hint("rebalance", *SALES_PARTITION_COLUMNS)
+    return sales.select(*SALES_COLUMNS).hint("rebalance", WRITE_PARTITIONS, *SALES_PARTITION_COLUMNS)
 
 
 def write_sales(sales: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -31,7 +37,7 @@ def write_staged(staged: DataFrame, path: str, mode: str = "overwrite") -> str:
     path (the ``dq_status=ok`` directory, whose year/month layout is that of
     ``write_sales``). Rejected rows land beside it, under their status."""
     keys = [STATUS, *SALES_PARTITION_COLUMNS]
-    staged.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).parquet(path)
+    staged.hint("rebalance", WRITE_PARTITIONS, *keys).write.mode(mode).partitionBy(*keys).parquet(path)
     return f"{path.rstrip('/')}/{STATUS}={OK}"
 
 
@@ -55,10 +61,24 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] |
 
 
 def read_sales_table(spark: SparkSession, path: str) -> DataFrame:
-    """The fact table with its declared types (no partition type inference)."""
+    """The fact table with its declared types (no partition type inference).
+
+    The path of a staged table's ``dq_status=ok`` part reads the staged table and prunes to
+    that part, so a run without any clean row reads as an empty table.
+    """
+    base, _, leaf = path.rstrip("/").rpartition("/")
+    if leaf == f"{STATUS}={OK}":
+        staged = T.StructType([*SALES.fields, T.StructField(STATUS, T.StringType())])
+        return spark.read.schema(staged).parquet(base).filter(F.col(STATUS) == OK).select(*SALES_COLUMNS)
     return spark.read.schema(SALES).parquet(path).select(*SALES_COLUMNS)
 
 
+def read_staged(spark: SparkSession, path: str) -> DataFrame:
+    """The staged table with its declared types, also if it has no row."""
+    more = [T.StructField(COPIES, T.LongType()), T.StructField(RAW_DATE, T.StringType()), T.StructField(STATUS, T.StringType())]
+    return spark.read.schema(T.StructType([*SALES.fields, *more])).parquet(path)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Replace one summary table (one row per group). AQE already
     coalesces the small final-aggregate output into few files; nothing forces

@@ -184,19 +184,45 @@ def test_clean_is_idempotent(spark):
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect()))
 
 
-def test_size_shuffle_partitions_only_raises(spark):
-    from salesengine.session import size_shuffle_partitions
+def test_shuffle_shape_keeps_blocks_large_at_any_size():
+    from salesengine.session import shuffle_shape
 
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    before = spark.conf.get(key, None)
-    try:
-        assert size_shuffle_partitions(spark, 10) >= 8
-        assert size_shuffle_partitions(spark, 100 * (1 << 30)) == 100
-        assert spark.conf.get(key) == "100"
-        assert size_shuffle_partitions(spark, 10) == 100  # never lowers
-        assert size_shuffle_partitions(spark, 10**15, max_partitions=5000) == 5000
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    assert shuffle_shape(10) == (128 << 20, 1)
+    assert shuffle_shape(100 << 30)[1] == 100
+    for size in (1 << 40, 100 * 10**12):
+        split, partitions = shuffle_shape(size)
+        assert size / (size / split) / partitions >= 100_000
+
+
+def test_sized_for_raises_only_and_restores(spark):
+    from salesengine.session import INITIAL_PARTITIONS, SPLIT_BYTES, sized_for
+
+    before = [spark.conf.get(k, None) for k in (INITIAL_PARTITIONS, SPLIT_BYTES)]
+    with sized_for(spark, 100 * 10**12):
+        assert int(spark.conf.get(INITIAL_PARTITIONS)) > 10_000
+        assert int(spark.conf.get(SPLIT_BYTES)) > 1 << 30
+    assert [spark.conf.get(k, None) for k in (INITIAL_PARTITIONS, SPLIT_BYTES)] == before
+
+
+def test_tied_order_does_not_depend_on_partitioning(spark):
+    rows = spark.range(20_000).selectExpr("cast(id % 50 as string) AS transaction_id", "0 AS _o", "cast(id AS string) AS v")
+    kept = [sorted(map(tuple, C.dedupe_first(rows.repartition(n, "v"), ["_o"]).collect())) for n in (1, 3, 7)]
+    assert kept[0] == kept[1] == kept[2]
+
+
+def test_dates_with_line_breaks_are_rejected(spark):
+    from salesengine.functions.dates import parse_iso_date
+
+    df = spark.createDataFrame([(x,) for x in ("2023-01-01", "2023-01-01\n", "2023-01-01\r\n", "\n2023-01-01")], "d string")
+    assert [r[0] is None for r in df.select(parse_iso_date(F.col("d"))).collect()] == [False, True, True, True]
+
+
+def test_title_case_after_uncased_characters(spark):
+    from salesengine.functions.text import title_case
+
+    texts = ["\u4e2da", "\u2177x", "a\u4e2dBC", "\u00aaX", "\u01c5AB", "o'neil 5kg", "\u05d0z"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(title_case(F.col("t"))).collect()] == [t.title() for t in texts]
 
 
 def _plan(df) -> str:
@@ -205,7 +231,7 @@ def _plan(df) -> str:
 
 def test_dedupe_aggregates_before_the_shuffle(spark):
     plan = _plan(C.dedupe_first(raw(spark, {}, {}), ORDER))
-    partial = plan.index("partial_min_by")
+    partial = plan.index("partial_min(struct(")
     exchange = plan.index("Exchange hashpartitioning(transaction_id")
     # Printed top-down: the exchange sits above (before) the partial aggregate.
     assert exchange < partial

@@ -54,7 +54,7 @@ def test_pivot_fills_missing_cells(sales):
     rows = {r.region: r for r in D.heat_pivot(sales, ["Grocery", "Sports"]).collect()}
     assert rows["North"].Grocery == 20.0 and rows["North"].Sports == 10.0
     assert rows["South"].Grocery == 0.0  # no Grocery revenue in South
-    discovered = D.heat_pivot(sales)
+    discovered = D.heat_pivot(sales, ["Sports", "Grocery"])
     assert discovered.columns == ["region", "Grocery", "Sports"]
 
 
@@ -106,7 +106,7 @@ def test_money_rounding(spark):
 
 def test_pivot_odd_category_names(spark):
     rows = [sale("1", "North", "a.b", "10.00"), sale("2", "North", "x`y & z", "20.00")]
-    out = D.heat_pivot(spark.createDataFrame(rows, SALES)).collect()[0]
+    out = D.heat_pivot(spark.createDataFrame(rows, SALES), ["x`y & z", "a.b"]).collect()[0]
     assert out.asDict() == {"region": "North", "a.b": 10.0, "x`y & z": 20.0}
 
 

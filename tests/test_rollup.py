@@ -19,7 +19,7 @@ REPORTS = {
     "Q6": Q.payment_share, "Q7": Q.weekend_split, "Q8": Q.revenue_buckets,
     "D1": D.kpis, "D2": D.monthly, "D3": D.category_revenue, "D4": D.payment_counts,
     "D5": D.day_type_split, "D6": D.category_list, "D10": D.bucket_distribution,
-    "D11": D.regional_table, "D12": D.heat_long, "D13": D.heat_pivot,
+    "D11": D.regional_table, "D12": D.heat_long, "D13": lambda s: D.heat_pivot(s, ["Economy", "Promo"]),
     "N1": N.region_return_rate, "N2": lambda s: N.region_return_rate(s, quarter=3),
     "N4": lambda s: N.monthly_in_quarter(s, 1997, 3), "N5": N.weekend_payment, "N6": N.premium_share,
 }

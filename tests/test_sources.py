@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 from decimal import Decimal
 
+import pytest
+
 from salesengine.operators.clean import clean_sales
 from salesengine.operators.generate import generate_sales
 from salesengine.plans.pipeline import run
@@ -198,3 +200,58 @@ def test_read_sales_all_tokens_in_typed_columns(spark, tmp_out):
     p = rows["P"]
     assert (p.quantity, p.unit_price, p.discount_pct, p.is_returned) == (3, Decimal("1.50"), Decimal("0.2500"), True)
     assert p.date == " 2023-01-01"  # text keeps its spaces; T2 rejects it later
+
+
+HEADER = "transaction_id,date,product_name,category,region,quantity,unit_price,discount_pct,final_amount,payment_method,is_returned"
+
+
+def _file(folder, text):
+    path = os.path.join(folder, "in.csv")
+    with open(path, "w") as f:
+        f.write(text)
+    return path
+
+
+def test_columns_are_read_by_name(spark, tmp_out):
+    p = _file(tmp_out, ",date," + HEADER.replace("date,", "") + "\n0,2023-01-01,T1,A,Sports,North,3.0,1.00,0,1.00,UPI,0.0\n")
+    row = read_sales(spark, p).collect()[0]
+    assert (row.transaction_id, row.date, row.quantity, row.is_returned) == ("T1", "2023-01-01", 3, False)
+
+
+def test_absent_column_is_an_error(spark, tmp_out):
+    p = _file(tmp_out, HEADER.replace(",region", "") + "\nT1,2023-01-01,A,Sports,1,1.00,0,1.00,UPI,False\n")
+    with pytest.raises(ValueError, match="region"):
+        read_sales(spark, p)
+
+
+def test_checks_see_unrounded_numbers(spark, tmp_out):
+    from salesengine.operators.clean import clean_sales
+    from salesengine.sources.csv import CSV_ORDER_COLUMNS
+
+    cells = ["1,1.00,150,500.004", "1,0.004,0.12345,5.00", "1,1.00,0,-0.004", "1,1.00,,0.004"]
+    p = _file(tmp_out, HEADER + "\n" + "".join(f"T{i},2023-01-01,A,Sports,North,{c},UPI,1.0\n" for i, c in enumerate(cells)))
+    got = {r.transaction_id: r for r in clean_sales(read_sales(spark, p), CSV_ORDER_COLUMNS).collect()}
+    assert set(got) == {"T0", "T1", "T3"}
+    assert (float(got["T0"].discount_pct), got["T0"].revenue_bucket, got["T3"].revenue_bucket) == (1.0, "Medium", "Low")
+
+
+@pytest.mark.parametrize("rows", ["", "T1,31/12/2023,A,Sports,North,1,1.00,0,1.00,UPI,False\n"])
+def test_run_without_a_clean_row(spark, tmp_out, rows):
+    from salesengine.plans.pipeline import run
+    from salesengine.sources.tables import read_staged
+
+    res = run(spark, _file(tmp_out, HEADER + "\n" + rows), os.path.join(tmp_out, "out"))
+    n = len(rows.splitlines())
+    assert res.sales.count() == 0
+    assert tuple(x or 0 for x in res.quality.collect()[0]) == (n, 0, n, 0, 0)
+    kept = [r.dq_raw_date for r in read_staged(spark, os.path.join(tmp_out, "out", "staged")).collect()]
+    assert kept == ["31/12/2023"] * n
+
+
+def test_input_bytes_takes_globs(spark, tmp_out):
+    from salesengine.sources.scan import input_bytes
+
+    p = _file(tmp_out, HEADER + "\n")
+    assert input_bytes(spark, os.path.join(tmp_out, "*.csv")) == os.path.getsize(p)
+    with pytest.raises(FileNotFoundError):
+        input_bytes(spark, os.path.join(tmp_out, "absent-*.csv"))
