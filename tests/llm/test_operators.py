@@ -1,0 +1,387 @@
+"""Each operator against a brute-force version, and the edge cases its docstring defines."""
+
+from __future__ import annotations
+
+import base64
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from salesengine.llm import bpe, chat, fingerprints, langid, mixing, packing, quality, simhash, template, warc
+from salesengine.llm.components import components
+from salesengine.llm.tables import shared_dir
+from salesengine.llm.text import utf8
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LONG = "lorem ipsum dolor " * 8000 + "x" * 50_000
+rnd = random.Random(3)
+VOCAB = ["".join(rnd.choice("abcdeéñ") for _ in range(rnd.randint(1, 7))) for _ in range(300)]
+
+
+def prose(n, seed=0):
+    r = random.Random(seed)
+    return " ".join(r.choice(VOCAB) for _ in range(n))
+
+
+#: null, empty, blank, long, one-word, repeated, tied and near-copied texts
+TEXTS = [None, "", " \n\t ", LONG, "word", "a b c", prose(200, 1), prose(200, 1), prose(200, 1) + " end", prose(90, 2), "!!! 123 ###", "Zeile\nZeile\n\nZeile", prose(60, 5).upper()]
+ROWS = [(i, t) for i, t in enumerate(TEXTS)] + [(6, TEXTS[6]), (None, "no id here"), (None, None)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, "doc_id long, text string").repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], "doc_id long, text string, lang string")
+
+
+def lower(t):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+
+
+def sha(t):
+    return hashlib.sha256(t.encode()).hexdigest()
+
+
+# --- SimHash -------------------------------------------------------------------
+def brute_simhash(text):
+    w = WORD.findall(lower(text))
+    if not w:
+        return 0
+    h = [xxhash.xxh64_intdigest(" ".join(w[i : i + 4]).encode(), 42) for i in range(max(1, len(w) - 3))]
+    return sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in h) > len(h))
+
+
+def test_golay_code_is_perfect():
+    _, error = simhash.golay()
+    assert collections.Counter(int(e).bit_count() for e in error) == {0: 1, 1: 23, 2: 253, 3: 1771}
+    words = np.arange(1 << 23)
+    assert (np.bincount(simhash.codeword(words), minlength=4096) == 2048).all()
+
+
+def test_keys_meet_for_every_pair_within_four_bits():
+    r = np.random.default_rng(0)
+    a = r.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    flips = np.zeros(3000, np.uint64)
+    for i in range(3000):
+        for b in r.choice(64, r.integers(0, 5), replace=False):
+            flips[i] |= np.uint64(1) << np.uint64(b)
+    one, two = simhash.join_keys(a)["left"], simhash.join_keys(a ^ flips)["right"]
+    assert set(zip(*map(np.ndarray.tolist, one))) & set(zip(*map(np.ndarray.tolist, two)))
+    met = {x[0] for x in set(zip(*map(np.ndarray.tolist, one))) & set(zip(*map(np.ndarray.tolist, two)))}
+    assert met == set(range(3000))
+
+
+def test_near_duplicates_equal_brute_force(spark, docs):
+    r = random.Random(7)
+    base = prose(400, 9).split()
+    more = [(100 + i, " ".join(w if r.random() > 0.02 * (i % 5) else "zz" for w in base)) for i in range(60)]
+    table = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string"))
+    got = simhash.near_duplicates(table).collect()
+    rows = [(x.doc_id, brute_simhash(x.text)) for x in table.collect()]
+    assert sorted(map(repr, ((x.id, x.fp & (1 << 64) - 1) for x in got))) == sorted(map(repr, rows))
+    fps = sorted({f for _, f in rows})
+    group = {f: {f} for f in fps}
+    for i, f in enumerate(fps):
+        for g in fps[:i]:
+            if (f ^ g).bit_count() <= 4 and group[f] is not group[g]:
+                both = group[f] | group[g]
+                for k in both:
+                    group[k] = both
+    for x in got:
+        ids = [i for i, f in rows if f in group[x.fp & (1 << 64) - 1] and i is not None]
+        assert x.component == (min(ids) if ids else None)
+
+
+def test_near_duplicates_of_nothing(empty):
+    assert simhash.near_duplicates(empty).count() == 0
+    with pytest.raises(ValueError):
+        simhash.links(empty.select(F.col("doc_id").alias("fp")), 5)
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (5, 5), (101, 100)], "a long, b long")
+    assert {r.node: r.component for r in components(edges, "a", "b").collect()} == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+
+
+# --- quality -------------------------------------------------------------------
+def test_measures_equal_brute_force(docs):
+    got = quality.score(docs, quality.fit(docs)).collect()
+    assert len(got) == len(ROWS)
+    for r in got:
+        t = r.text or ""
+        w = WORD.findall(t)
+        seen = collections.Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
+        covered = {k for i in range(len(w) - 7) if seen[tuple(w[i : i + 8])] > 1 for k in range(i, i + 8)}
+        lines = [x for x in t.split("\n") if WORD.search(x)]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (
+            len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered))
+        assert r.base_failed == (len(w) < 20 or 100 * len(covered) > 30 * len(w))
+        assert not (r.kept and r.base_failed)
+
+
+def test_quality_separates_junk(spark):
+    rows = [(i, prose(100, i)) for i in range(300)] + [(1000 + i, " ".join(f"{w}$$$ |" for w in prose(80, i).split())) for i in range(1, 30)]
+    rows += [(2000 + i, " ".join(w.upper() + "!!" for w in prose(80, i).split())) for i in range(30)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    model = quality.fit(table)
+    assert {r.doc_id for r in quality.score(table, model, keep_only=True).collect()} == set(range(300))
+
+
+def test_quality_of_nothing(empty):
+    assert quality.score(empty, quality.fit(empty)).count() == 0
+
+
+# --- language identification ---------------------------------------------------
+def test_language_id_on_held_out_texts(spark):
+    r = random.Random(1)
+    stems = {"xx": ["tha", "ing", "wor", "ent"], "yy": ["sch", "über", "keit", "zu"], "zz": ["ción", "ado", "ña", "los"]}
+    text = lambda g: " ".join("".join(r.choice(stems[g]) for _ in range(r.randint(1, 4))) for _ in range(r.randint(5, 60)))
+    train = spark.createDataFrame([(i, text(g), g) for i in range(100) for g in stems] + [(7, None, "xx"), (8, "text", None)], "doc_id long, text string, lang string")
+    model = langid.fit(train)
+    assert model.languages == tuple(stems)
+    test = [(i, text(g), g) for i in range(40) for g in stems]
+    got = langid.predict(spark.createDataFrame(test, "doc_id long, text string, truth string"), model).collect()
+    assert all(x.lang_pred == x.truth and 0 <= x.lang_score <= 1 for x in got)
+
+
+def test_language_id_edges(docs, empty):
+    got = langid.predict(docs, None).collect()
+    assert len(got) == len(ROWS) and {(r.lang_pred, r.lang_score) for r in got} == {("und", 0.0)}
+    assert langid.fit(empty) is None and langid.predict(empty, None).count() == 0
+    labelled = docs.withColumn("lang", F.lit("xx"))
+    by = {r.text: r.lang_pred for r in langid.predict(docs, langid.fit(labelled)).collect()}
+    assert {by[t] for t in (None, "", " \n\t ", "!!! 123 ###")} == {"und"} and by["word"] == by[LONG] == "xx"
+
+
+# --- packing -------------------------------------------------------------------
+def test_packing_loses_nothing_and_fits(spark):
+    r = random.Random(2)
+    sizes = [(i, r.choice([0, 1, 7, 600, 3000, 8192, 8193, 30_000])) for i in range(400)] + [(3, 55), (None, 12), (9, None)]
+    got = packing.best_fit(spark.createDataFrame(sizes, "doc_id long, n_tokens long")).toPandas()
+    assert got["n_tokens"].sum() == sum(n or 0 for _, n in sizes)
+    for _, b in got.sort_values("position").groupby("bin_id"):
+        assert list(b["position"]) == list(range(len(b)))
+        assert list(b["offset"]) == [int(x) for x in np.cumsum(b["n_tokens"]) - b["n_tokens"]]
+        used, capacity = b["n_tokens"].sum(), b["capacity"].iloc[0]
+        assert used == b["used"].iloc[0] <= capacity == min(c for c in packing.CAPACITIES if c >= used)
+
+
+def test_packing_takes_the_tightest_bin():
+    of, capacities = packing.pack(np.array([8000, 7900, 292, 192, 100]), (512, 8192))
+    assert of == [0, 1, 1, 0, 2] and capacities == [8192, 8192, 512]
+    assert packing.pack(np.array([8000, 7900, 292, 192]), (8192,), 0)[0] == [0, 1, 1, 0]
+
+
+def test_word_counts_and_empty_packing(docs, empty):
+    assert {r.doc_id: r.n_tokens for r in packing.word_counts(docs).collect() if r.doc_id is not None} == {i: len(WORD.findall(t or "")) + 1 for i, t in enumerate(TEXTS)}
+    assert packing.best_fit(packing.word_counts(empty)).count() == 0
+
+
+# --- fingerprints ----------------------------------------------------------------
+def test_likeness_estimates_generalised_jaccard():
+    def bag(t):
+        w = WORD.findall(t)
+        return collections.Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)))
+
+    a = [prose(300, i) + " " + " ".join([f"again{i} and again it{i} comes"] * (i % 4)) for i in range(80)]
+    b = [x[: len(x) * (i % 10 + 1) // 11] + prose(60, 900 + i) for i, x in enumerate(a)]
+    truth = np.array([sum((bag(x) & bag(y)).values()) / sum((bag(x) | bag(y)).values()) for x, y in zip(a, b)])
+    error = fingerprints.likeness(fingerprints.of_column(pa.array(a)), fingerprints.of_column(pa.array(b))) - truth
+    assert abs(error.mean()) < 0.02 and error.std() < 0.09
+
+
+def test_against_edited_equals_brute_force(docs):
+    got = fingerprints.against_edited(docs).collect()
+    order = sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""), reverse=True)
+    texts = [t or "" for _, t in order]
+    want = []
+    for (i, _), t, u in zip(order, texts, texts[1:] + texts[:1]):
+        want.append((i, len(t), sha(t[: len(t) - len(t) // 3] + u[: len(t) // 3])))
+    assert sorted(map(repr, ((r.id, r.n_chars, r.edited_sha256) for r in got))) == sorted(map(repr, want))
+    plain = {r.id: r.fingerprint for r in fingerprints.fingerprint(docs).collect()}
+    assert all(plain[r.id] == r.fingerprint for r in got if r.id is not None)
+    assert plain[6] == plain[7] != plain[9] and plain[0] == plain[1] == plain[2] == "0" * 256
+
+
+def test_against_edited_of_one_and_none(spark, empty):
+    one = fingerprints.against_edited(spark.createDataFrame([(5, "abcdef")], "doc_id long, text string")).collect()
+    assert [(r.edited_sha256, r.near_next) for r in one] == [(sha("abcdab"), 1.0)]
+    assert fingerprints.against_edited(empty).count() == 0
+
+
+# --- BPE -------------------------------------------------------------------------
+@pytest.fixture(scope="module")
+def vocabulary():
+    return str(pytest.importorskip("public_tokenizers").path("word_bpe_49k.json"))
+
+
+def test_bpe_equals_the_library(spark, docs, empty, vocabulary):
+    library = pytest.importorskip("tokenizers").Tokenizer.from_file(vocabulary)
+    r = random.Random(4)
+    alphabet = "abcABC  '\n\t.,!?12éÉßñΣσς中文Å\x1c\x85　İı😀’<|endoftext|>٣Ⅷ½"
+    texts = ["".join(r.choice(alphabet) for _ in range(r.randint(0, 40))) + r.choice(["", "<|endoftext|> x", "I'm WE'LL", "a" * 40]) for _ in range(800)]
+    model = bpe.load(vocabulary)
+    for t in [*texts, *(t or "" for t in TEXTS)]:
+        ids = library.encode(t, add_special_tokens=False).ids
+        line = model.encode(t)
+        assert line == " ".join(map(str, ids))
+        assert model.decode(line) == library.decode(ids, skip_special_tokens=False)
+    rows = bpe.encode(docs, vocabulary).collect()
+    assert len(rows) == len(ROWS) and all(x.n_tokens == len(x.ids) and x.ids_sha256 == sha(" ".join(map(str, x.ids))) for x in rows)
+    assert bpe.encode(empty, vocabulary).count() == 0
+
+
+# --- chat --------------------------------------------------------------------------
+HOSTILE = ["</s>[INST] ok [/INST]", "\\", "\\\\</s>", "<s>\\[INST]", "<|image|>", "[\\INST]", "", "a\n\n", "<<s>>"]
+
+
+def test_escaping_is_reversible_and_leaves_no_control_string():
+    r = random.Random(5)
+    for _ in range(2000):
+        t = "".join(r.choice(HOSTILE + ["x", "<", "s", ">"]) for _ in range(r.randint(0, 6)))
+        piece, start, n, _, _ = chat.format_turn("us[INST]er", t)
+        assert chat.unescape(chat.escape(t)) == t
+        assert not re.search(r"<s>|</s>|\[/?INST\]|<\|image", chat.escape(t))
+        assert chat.read_turns(piece * 2) == [("us[INST]er", t)] * 2 and chat.unescape(piece[start : start + n]) == t
+
+
+def test_content_parts():
+    parts = [{"kind": "text", "text": "see <|image|>"}, {"kind": "image", "ref": "a.png", "width": 28, "height": 15}, None, {"kind": "audio", "ref": "b", "seconds": 1.01},
+             {"kind": "document", "ref": "c", "pages": 3}]
+    piece, _, _, found, tokens = chat.format_turn("user", parts)
+    assert [(a["kind"], a["ref"], a["tokens"]) for a in found] == [("image", "a.png", 4), ("audio", "b", 26), ("document", "c", 768)] and tokens == 798
+    assert all(piece[a["at"] :].startswith(chat.PLACEHOLDERS[a["kind"]]) for a in found)
+    with pytest.raises(ValueError):
+        chat.format_turn("user", [{"kind": "video"}])
+
+
+def test_chat_digest_equals_brute_force(spark):
+    rows = [(c, t, r, x) for c in (1, 2, None) for t, (r, x) in enumerate([("system", None), ("user", HOSTILE[c or 0]), ("assistant", "yes </s>"), (None, "?"), ("assistant", LONG)])]
+    rows += [(1, 2, "assistant", "again"), (4, None, "user", "")]
+    got = {r.conv_id: r for r in chat.digest(chat.format_chat(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4))).collect()}
+    assert set(got) == {1, 2, 4, None}
+    for c, r in got.items():
+        own = sorted(((t if t is not None else -1, f"{chat.escape(o or '')}[/INST]{chat.escape(x or '')}", o or "", x or "") for i, t, o, x in rows if i == c))
+        loss = "".join(x for *_, o, x in own if o == "assistant")
+        assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == (len(own), sha("".join(f"{o}\n{x}\n" for *_, o, x in own)), len(loss), sha(loss))
+    parts = spark.createDataFrame([(1, 0, "user", [("image", None, "r", 14, 14, None, None)])], f"conv_id long, turn long, role string, text array<{chat.PART}>")
+    assert chat.format_chat(parts).first().attachments[0].tokens == 1
+    assert chat.digest(chat.format_chat(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
+
+
+# --- WARC --------------------------------------------------------------------------
+def test_warc_round_trip_with_embedded_records(spark):
+    fake = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:999>\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
+    rows = [(i, f"http://x/{i}", "é" * (i * 37 % 900) + fake * (i % 4) + "x" * (i * 91 % 4000) + "WARC/1.1\r\n" * (i % 2) + "\r\n\r\n" * (i % 3)) for i in range(30)]
+    rows += [(0, "z", None), (51, "u\r\nv", ""), (52, "w", "dup"), (53, "w", "dup"), (53, "w", "dup"), (None, "w", "dup"), (60, "big", fake * 400)]
+    path = shared_dir(spark)
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("type", F.lit(1)).repartition(2)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        warc.write_warc(pages, path)
+        got = warc.read_warc(spark, path, with_payload=True).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", old[1])
+    payload = {f"<urn:page:{'' if i is None else i}>": (h or "").encode() for i, _, h in rows}
+    assert sorted(r.id for r in got) == sorted(f"<urn:page:{'' if i is None else i}>" for i, _, _ in rows)
+    for r in got:
+        if r.type == "response":
+            assert bytes(r.payload) == payload[r.id] and r.payload_bytes == len(payload[r.id])
+            assert r.stated_digest == "sha1:" + r.payload_digest == "sha1:" + base64.b32encode(hashlib.sha1(payload[r.id]).digest()).decode()
+    assert sorted((r.id, r.refers_to) for r in got if r.type == "revisit") == [
+        ("<urn:page:51>", "<urn:page:0>"), ("<urn:page:53>", "<urn:page:52>"), ("<urn:page:53>", "<urn:page:52>"), ("<urn:page:>", "<urn:page:52>")]
+
+
+def test_warc_minimum_size_and_nothing(spark):
+    pages = spark.createDataFrame([(1, "a", "dup"), (2, "b", "dup")], "page_id long, url string, html string")
+    path = shared_dir(spark)
+    warc.write_warc(pages, path, min_revisit_bytes=4)
+    assert [r.type for r in warc.read_warc(spark, path).collect()] == ["response"] * 2
+    path = shared_dir(spark)
+    warc.write_warc(pages.where("page_id > 5"), path)
+    assert warc.read_warc(spark, path).count() == 0
+
+
+# --- HTML --------------------------------------------------------------------------
+SHELL = ('<html><head><title>t</title><script>var a="</p><article>";</script></head><body><header>Site</header><nav><ul><li>Menu</ul></nav><div class="cookie notice">Accept</div>{}'
+         '<aside>Side</aside><form>Mail <input></form><footer>&copy; F</footer></body></html>')
+ARTICLE = ("<article><h1>T&amp;C &#233;</h1><p>One  <b>b</b>old\n line<br>x<p>Two<div class='comments'><p>Reader</div>"
+           "<ul><li>i</li><li>j</li></ul><!-- <p>no</p> --><aside>in</aside> tail</article>")
+WANT = "T&C é\nOne bold line x\nTwo\ni\nj\ntail"
+
+
+def test_main_text_of_one_page():
+    assert template.main_text(SHELL.format(ARTICLE)) == WANT
+    assert template.main_text(None) == template.main_text("") == ""
+    assert template.main_text(SHELL.format(ARTICLE)[:-60].replace("<p>Two", "<p>a < b & c &am")) == WANT.replace("Two", "a < b & c &am")
+
+
+def test_templates_find_the_slot_without_an_article(spark):
+    page = "<html><body><div class=top>Same words on every page, long enough to be the longest text here</div><div id=x><p>Body {0} text</p><p>more {0}</p></div><div>Fixed</div></body></html>"
+    rows = [(i, f"http://h/{i}", page.format(i)) for i in range(6)] + [(9, None, None), (10, "http://other/", SHELL.format(ARTICLE)), (10, "http://other/", SHELL.format(ARTICLE)), (11, "http://h/", LONG)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit(1))
+    got = template.extract(pages).collect()
+    assert len(got) == len(rows) and got[0].host == 1
+    by = {r.page_id: r.text for r in got}
+    assert [by[i] for i in range(6)] == [f"Body {i} text\nmore {i}" for i in range(6)]
+    assert by[9] == "" and by[10] == WANT and by[11] == LONG
+    assert template.extract(pages.where("page_id > 99")).count() == 0
+
+
+# --- language-model scoring ----------------------------------------------------------
+def test_scores(spark, docs, empty):
+    more = spark.createDataFrame([(100 + i, prose(80, 50 + i)) for i in range(60)], "doc_id long, text string")
+    table = docs.union(more)
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    got = mixing.score(table, held_out, frequent=20).collect()
+    rows = table.collect()
+    words = lambda t: WORD.findall(lower(t)) + [""]
+    held = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 7 == 2
+    count = collections.Counter(w for r in rows if not held(r.doc_id) for w in words(r.text))
+    n, v = sum(count.values()), len(count)
+    want = sorted((repr(r.doc_id), held(r.doc_id), len(words(r.text)), sum(count[w] > 0 for w in words(r.text)), n,
+                   round(sum(math.log10((count[w] + 1) / (n + v + 1)) for w in words(r.text)), 3)) for r in rows)
+    assert sorted((repr(r.id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 3)) for r in got) == want
+    again = {(r.id, r.n_tokens): r.score for r in mixing.score(table.repartition(5), held_out, frequent=5).collect()}
+    assert all(abs(again[r.id, r.n_tokens] - r.score) < 1e-6 * abs(r.score) + 1e-6 for r in got if r.id not in (6, None))
+    plain = [r for r in got if r.id is not None and r.id >= 100]
+    assert sum(r.score for r in plain if r.held_out) / sum(r.n_tokens for r in plain if r.held_out) > -3.5
+    assert mixing.score(empty, F.lit(False)).count() == 0
+    assert all(r.n_known == 0 and r.base_score == 0 for r in mixing.score(docs, F.lit(True)).collect())
+
+
+def test_bit_probabilities_add_up_to_one():
+    words = [b"the", b"then", b"a"]
+    data, starts, hashes = mixing.flatten(words)
+    table = np.zeros(2 * mixing.FIRST_SLOT[-1])
+    for y, slots in mixing.bits(data, hashes):
+        for slot in slots:
+            np.add.at(table, slot * 2 + y, 3.0)
+    model = mixing.Model(table.astype(np.float32).view(np.complex64), 1)
+    model.learn(words, np.array([3, 3, 3]))
+    model.finish()
+    # all one-byte words and the empty word share the first byte's distribution
+    first = [model.log10([bytes([b])])[0] for b in range(256) if b != 32]
+    assert 0 < sum(10**x for x in first) < 1
+
+
+def test_utf8_of_slices_and_nulls():
+    col = pa.array(["ab", None, "é", ""]).slice(1)
+    data, off = utf8(col)
+    assert data.tobytes().decode() == "é" and off.tolist() == [0, 0, 2, 2]
