@@ -358,6 +358,8 @@ def test_scores(spark, docs, empty):
     want = sorted((repr(r.doc_id), held(r.doc_id), len(words(r.text)), sum(count[w] > 0 for w in words(r.text)), n,
                    round(sum(math.log10((count[w] + 1) / (n + v + 1)) for w in words(r.text)), 3)) for r in rows)
     assert sorted((repr(r.id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 3)) for r in got) == want
+    coded = {(repr(r.doc_id), len(words(r.text))): sum(len(w.encode()) + 1 for w in words(r.text)) for r in rows}
+    assert all(abs(r.bits_per_byte + r.score * math.log2(10) / coded[repr(r.id), r.n_tokens]) < 1e-6 for r in got)
     again = {(r.id, r.n_tokens): r.score for r in mixing.score(table.repartition(5), held_out, frequent=5).collect()}
     assert all(abs(again[r.id, r.n_tokens] - r.score) < 1e-6 * abs(r.score) + 1e-6 for r in got if r.id not in (6, None))
     plain = [r for r in got if r.id is not None and r.id >= 100]
