@@ -349,7 +349,7 @@ def test_scores(spark, docs, empty):
     more = spark.createDataFrame([(100 + i, prose(80, 50 + i)) for i in range(60)], "doc_id long, text string")
     table = docs.union(more)
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
-    got = mixing.score(table, held_out, frequent=20).collect()
+    got = mixing.score(table, held_out, frequent=20, common=8).collect()
     rows = table.collect()
     words = lambda t: WORD.findall(lower(t)) + [""]
     held = lambda i: zlib.crc32(str("" if i is None else i).encode()) % 7 == 2
@@ -360,7 +360,7 @@ def test_scores(spark, docs, empty):
     assert sorted((repr(r.id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 3)) for r in got) == want
     coded = {(repr(r.doc_id), len(words(r.text))): sum(len(w.encode()) + 1 for w in words(r.text)) for r in rows}
     assert all(abs(r.bits_per_byte + r.score * math.log2(10) / coded[repr(r.id), r.n_tokens]) < 1e-6 for r in got)
-    again = {(r.id, r.n_tokens): r.score for r in mixing.score(table.repartition(5), held_out, frequent=5).collect()}
+    again = {(r.id, r.n_tokens): r.score for r in mixing.score(table.repartition(5), held_out, frequent=5, common=8).collect()}
     assert all(abs(again[r.id, r.n_tokens] - r.score) < 1e-6 * abs(r.score) + 1e-6 for r in got if r.id not in (6, None))
     plain = [r for r in got if r.id is not None and r.id >= 100]
     assert sum(r.score for r in plain if r.held_out) / sum(r.n_tokens for r in plain if r.held_out) > -3.5
@@ -375,14 +375,28 @@ def test_bit_probabilities_add_up_to_one():
     for y, slots in mixing.bits(data, hashes):
         for slot in slots:
             np.add.at(table, slot * 2 + y, 3.0)
-    model = mixing.Model(table.astype(np.float32).view(np.complex64), 1)
-    model.learn(words, np.array([3, 3, 3]))
+    model = mixing.Model(table.astype(np.float32).view(np.complex64))
+    model.learn(words)
     model.finish()
     # all one-byte words and the empty word share the first byte's distribution
     first = [model.log10([bytes([b])])[0] for b in range(256) if b != 32]
     assert 0 < sum(10**x for x in first) < 1
 
 
+def test_classes_after_contexts():
+    rng = np.random.default_rng(3)
+    pairs = np.zeros((mixing.CONTEXTS, mixing.COMMON + 1), np.float32)
+    pairs[:40, :50] = rng.integers(0, 3, (40, 50))
+    for i in range(40):
+        pairs[i, i] = 60
+    got = 10.0 ** mixing.follow(pairs).astype(float)
+    assert np.allclose(got.sum(axis=1), 1, atol=1e-4)
+    assert all(got[i].argmax() == i and got[i, i] > 0.35 for i in range(40))
+    own, before = mixing.classes_of(np.array([5, -1, 900, 2, 0, 3]), 2000, np.array([0, 4]), 7)
+    assert own.tolist() == [5, mixing.COMMON, 900, 2, 0, 3]
+    assert before.tolist() == [7, 5, mixing.CONTEXTS - 1, 768 + 900 % 255, 7, 0]
+
+
 def test_utf8_of_slices_and_nulls():
     col = pa.array(["ab", None, "é", ""]).slice(1)
     data, off = utf8(col)
