@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 
 import pytest
@@ -10,7 +11,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
-from check_oracle import compare, duck  # noqa: E402
+from check_oracle import compare, duck, norm  # noqa: E402
 
 from salesengine.plans.registry import QUERIES  # noqa: E402
 
@@ -33,6 +34,23 @@ def test_query_matches_oracle(spark, con, key):
     assert n > 0
 
 
+#: Reports whose statement ends with an ORDER BY of its own (and a LIMIT, maybe).
+ORDERED = sorted(k for k in QUERIES if re.search(r"ORDER BY [^()]*(\([^()]*\)[^()]*)*\Z", E.oracle_sql()[k]))
+
+
+def test_ordered_reports_are_found():
+    assert len(ORDERED) >= 20
+
+
+@pytest.mark.parametrize("key", ORDERED)
+def test_rows_come_in_the_order_of_the_oracle(spark, con, key):
+    df = E.queries()[key](spark, SF_SMALL)
+    found = con.execute(E.oracle_sql()[key])
+    names = [d[0] for d in found.description]
+    want = [tuple(map(norm, r)) for r in found.fetchall()]
+    assert [tuple(norm(r[c]) for c in names) for r in df.collect()] == want
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["region", "total_revenue", "total_orders", "return_rate_pct"]
