@@ -344,6 +344,20 @@ def test_templates_find_the_slot_without_an_article(spark):
     assert template.extract(pages.where("page_id > 99")).count() == 0
 
 
+def test_templates_apply_inside_articles(spark):
+    page = ("<html><body><nav>Menu</nav><article id=post-{0}><h1>Title {0}</h1><p>Body {0}</p><div class=box><p>Read us every day of the week</p></div>"
+            "<div class=box><p>Own {0}</p></div></article></body></html>")
+    teaser = "<html><body><article><p>Same teaser on all pages</p></article><div class=x><p>Long body of page {0}</p></div></body></html>"
+    copy = "<html><body><article><p>Copied text</p></article></body></html>"
+    rows = [(i, f"http://a/{i}", page.format(i)) for i in range(6)] + [(10 + i, f"http://b/{i}", teaser.format(i)) for i in range(4)] + [(20 + i, f"http://c/{i}", copy) for i in range(5)]
+    rows += [(30 + i, f"http://d/{i}", page.format(i) if i < 4 else page.format(i).replace("article", "section")) for i in range(8)]
+    by = {r.page_id: r.text for r in template.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert [by[i] for i in range(6)] == [f"Title {i}\nBody {i}\nOwn {i}" for i in range(6)]
+    assert [by[30 + i] for i in range(4)] == [f"Title {i}\nBody {i}\nOwn {i}" for i in range(4)]
+    assert [by[10 + i] for i in range(4)] == [f"Long body of page {i}" for i in range(4)]
+    assert {by[20 + i] for i in range(5)} == {"Copied text"}
+
+
 # --- language-model scoring ----------------------------------------------------------
 def test_scores(spark, docs, empty):
     more = spark.createDataFrame([(100 + i, prose(80, 50 + i)) for i in range(60)], "doc_id long, text string")
