@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from salesengine.llm import langid, packing, quality, simhash
 from salesengine.llm.tables import cut, table
@@ -31,15 +30,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates, that with the smallest doc_id.
+    """Keeps one document of each group of near-duplicates, that with the smallest doc_id (nulls last).
 
-    Of rows that repeat this doc_id, one of the smallest text stays.
+    Of rows of the group that repeat this doc_id, one of the smallest text stays. Groups are told
+    apart by their fingerprints, so documents without an id, or under a repeated one, stay if
+    their texts differ.
     """
-    found = simhash.near_duplicates(docs)
-    first = found.where(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias("__first")).distinct()
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["__first"]), "left_semi")
-    return kept.groupBy("doc_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("__row")).select(
-        *[F.col("doc_id") if c == "doc_id" else F.col(f"__row.{c}").alias(c) for c in docs.columns])
+    return simhash.first_of_each(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .components import components
 from .tables import cut
@@ -161,6 +162,21 @@ def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, f"id {kind}, fp long")
 
 
+def with_simhash(docs: DataFrame, text_col: str = "text", k: int = SHINGLE, name: str = "__fp") -> DataFrame:
+    """All columns of ``docs`` plus the text's fingerprint (see ``simhash``)."""
+    at = docs.columns.index(text_col)
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = utf8(batch.column(at))
+            parts = [fingerprints_of(data[off[i] : off[j]], off[i : j + 1] - off[i], k) for i, j in blocks(off)]
+            fp = np.concatenate([np.zeros(0, np.uint64), *parts]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fp)], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def _side(fps: DataFrame, side: str, extra: str = "") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,6 +208,30 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> tuple[DataFrame, DataFram
     return known, cut(rest)
 
 
+def labelled(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(fp, c, first) of each distinct fingerprint of (id, fp): its component, named by a fingerprint, and its smallest id."""
+    fps = cut(prints.groupBy("fp").agg(F.min("id").alias("first")))
+    known, rest = links(fps.select("fp"), max_bits)
+    top = components(rest, "a", "b").select(F.col("node").alias("c"), F.col("component").alias("top"))
+    label = known.join(top, "c", "left").select("fp", F.coalesce("top", "c").alias("c"))
+    return cut(label.join(fps, "fp").select("fp", "c", "first"))
+
+
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of each component, with the columns of ``docs``: that of the smallest id, nulls last.
+
+    Ids may be null or repeated: components, not ids, are reduced. Of a component's rows that
+    repeat the id, one of the smallest text stays. Copies are combined in the map tasks.
+    """
+    named = labelled(simhash(docs, id_col, text_col, k), max_bits)
+    order = F.struct(F.col("first").isNull().alias("none"), "first")
+    best = named.groupBy("c").agg(F.min(order).alias("best"))
+    chosen = named.join(best, "c").where(order == F.col("best")).select(F.col("fp").alias("__fp"), "c")
+    row = F.struct(F.col(id_col).isNull().alias("__none"), F.col(id_col), F.col(text_col), *[F.col(x) for x in docs.columns if x not in (id_col, text_col)])
+    copies = with_simhash(docs, text_col, k).groupBy("__fp").agg(F.min(row).alias("__row"))
+    return copies.join(chosen, "__fp").groupBy("c").agg(F.min("__row").alias("__row")).select(*[F.col(f"__row.`{x}`").alias(x) for x in docs.columns])
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
                     max_bits: int = MAX_BITS) -> DataFrame:
     """(id, fp long, component) per row of ``docs``: the smallest id reachable over links.
@@ -201,11 +241,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     gives no rows.
     """
     prints = cut(simhash(docs, id_col, text_col, k))
-    fps = cut(prints.groupBy("fp").agg(F.min("id").alias("first")))
-    known, rest = links(fps.select("fp"), max_bits)
-    top = components(rest, "a", "b").select(F.col("node").alias("c"), F.col("component").alias("top"))
-    labelled = known.join(top, "c", "left").select("fp", F.coalesce("top", "c").alias("c"))
-    named = cut(labelled.join(fps, "fp").select("fp", "c", "first"))
+    named = labelled(prints, max_bits)
     names = named.groupBy("c").agg(F.min("first").alias("component"))
     of_print = named.join(names, "c").select("fp", "component")
     return prints.join(of_print, "fp").select("id", "fp", "component")

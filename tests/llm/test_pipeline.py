@@ -36,6 +36,15 @@ def test_stages(spark, docs):
     assert {r.doc_id for r in packed.collect()} == set(first.values())
 
 
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    texts = [prose(150, 300 + i) for i in range(9)]
+    rows = [(None, t) for t in texts[:4]] + [(None, texts[0])] + [(7, t) for t in texts[4:7]] + [(3, texts[5]), (9, texts[6]), (None, texts[7]), (5, texts[7]), (7, texts[8]), (7, texts[8])]
+    table = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = sorted((repr(r.doc_id), r.text) for r in P.near_duplicates(spark, table, SF_SMALL).collect())
+    want = [(None, t) for t in texts[:4]] + [(7, texts[4]), (3, texts[5]), (7, texts[6]), (5, texts[7]), (7, texts[8])]
+    assert got == sorted((repr(i), t) for i, t in want)
+
+
 def test_stages_on_an_empty_table(spark, docs):
     for _, stage in P.STAGES:
         assert stage(spark, docs.where("doc_id < -5"), SF_SMALL).count() == 0
