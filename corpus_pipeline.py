@@ -3,7 +3,7 @@
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor kept;
 ``run`` writes each result as Parquet to the shared folder and hands the reread table on.
 The first three return rows of ``documents`` with its columns, the last one the packs.
-Null or empty texts go in the first stage (no letter, no language).
+Null or empty texts go in the first stage (no letter, no language), as do texts in no learned language.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from salesengine.llm import langid, packing, quality, simhash
 from salesengine.llm.tables import cut, table
 
-#: A text goes if no language reaches this score.
+#: A text goes if no language reaches this score (no text with a letter is as low) or if it is unlike the
+#: labelled texts of its best language (``langid.Model.floors``).
 MIN_LANGUAGE_SCORE = 0.2
 
 

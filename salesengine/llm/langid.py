@@ -30,6 +30,8 @@ TEXTS_PER_LANGUAGE = 400
 LANDMARKS_PER_LANGUAGE = 32
 MAX_LANGUAGES = 256
 RIDGE = 1e-2
+#: A text is unlike its language below this share of the likeness that all but this part of the sample reach.
+LIKENESS_SHARE, LIKENESS_PART = 0.7, 0.01
 CLASS = np.full(256, 32, np.uint8)
 CLASS[97:123] = np.arange(97, 123)
 CLASS[65:91] = np.arange(97, 123)
@@ -43,6 +45,8 @@ class Model:
     languages: tuple[str, ...]
     landmarks: np.ndarray  # (landmarks, DIM), each row scaled to unit length
     weights: np.ndarray  # (landmarks, languages)
+    usual: np.ndarray  # (DIM, languages), share of the language's landmarks with the n-gram
+    floors: np.ndarray  # (languages), the least likeness of a text in the language
 
 
 def presence(data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -77,6 +81,10 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     """Fit on a bounded sample: about ``TEXTS_PER_LANGUAGE`` labelled texts of each language,
     those of the smallest id hashes. Only their packed presence vectors reach the driver.
     Rows without a label or a letter teach nothing; without any such row there is no model.
+
+    A text's likeness to a language is the mean share of its n-grams that a landmark has, of whatever
+    length the text. The sample gives each language's floor (a landmark isn't compared with itself;
+    a single text gives none).
     """
     labelled = docs.where(F.col(lang_col).isNotNull()).select(
         F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"),
@@ -117,7 +125,16 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     balance = (1 / got.groupby("lang")["lang"].transform("size").to_numpy())[:, None]
     gram = features.T @ (features * balance)
     alpha = np.linalg.solve(gram + RIDGE * np.trace(gram) / len(gram) * np.eye(len(gram)) * 0.1, features.T @ (target * balance))
-    return Model(langs, z.astype(np.float32), (whiten @ alpha).astype(np.float32))
+    usual, floors = np.zeros((DIM, len(langs)), np.float32), np.zeros(len(langs))
+    for k, g in enumerate(langs):
+        own = (x[got["lang"].to_numpy() == g] > 0).astype(np.float64)
+        m = min(len(own), LANDMARKS_PER_LANGUAGE)
+        usual[:, k] = own[:m].mean(axis=0)
+        if m > 1:
+            like = own @ usual[:, k] / own.sum(axis=1)
+            like[:m] = (like[:m] * m - 1) / (m - 1)
+            floors[k] = LIKENESS_SHARE * np.quantile(like, LIKENESS_PART)
+    return Model(langs, z.astype(np.float32), (whiten @ alpha).astype(np.float32), usual, floors)
 
 
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep_from: float | None = None) -> DataFrame:
@@ -125,8 +142,8 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep_f
 
     The score is half of one plus the best language's regression output, clipped. Null and
     letterless texts, and all texts where there is no model, are ``und`` with score 0. Ties go
-    to the first language in order. ``keep_from``: only the rows with a language and at least
-    that score, with the columns of ``docs`` alone. Rows are judged one by one, so repeated
+    to the first language in order. ``keep_from``: only the rows with a language, at least that
+    score and at least the language's floor of likeness, with the columns of ``docs`` alone. Rows are judged one by one, so repeated
     rows stay; an empty table gives an empty table.
     """
     at = docs.columns.index(text_col)
@@ -151,6 +168,9 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep_f
                     out = (x @ landmarks / size[:, None]) @ m.weights
                     top = out.argmax(axis=1)
                     pick[ok] = top[ok]
+                    if keep_from is not None:
+                        like = (x @ m.usual)[np.arange(len(top)), top] / np.maximum(x.sum(axis=1), 1)
+                        ok &= like >= m.floors[top]
                     best[ok] = np.clip(0.5 + 0.5 * out[np.arange(len(top)), top], 0, 1).round(4)[ok]
                 rows = batch.slice(i, j - i)
                 if keep_from is not None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 
 import pytest
 
@@ -36,6 +37,17 @@ def test_stages(spark, docs):
     assert {r.doc_id for r in packed.collect()} == set(first.values())
 
 
+def test_texts_in_no_learned_language_go(spark):
+    r = random.Random(8)
+    stems = {"xx": ["tha", "ing", "wor", "ent"], "yy": ["sch", "über", "keit", "zu"]}
+    known = [(i, " ".join("".join(r.choice(stems[g]) for _ in range(r.randint(1, 4))) for _ in range(r.randint(5, 200))), g) for i, g in enumerate(["xx", "yy"] * 100)]
+    other = ["Русский язык является одним из восточнославянских языков.", "汉语是世界上使用人数最多的语言之一。"]
+    other += [" ".join("".join(r.choice("abcdfjklmpqvxyz") for _ in range(r.randint(3, 9))) for _ in range(60)) for _ in range(20)]
+    table = spark.createDataFrame(known + [(1000 + i, t, None) for i, t in enumerate(other)], "doc_id long, text string, lang string")
+    kept = {x.doc_id for x in P.identify_language(spark, table, SF_SMALL).collect()}
+    assert kept == {i for i, _, _ in known}
+
+
 def test_near_duplicates_with_null_and_repeated_ids(spark):
     texts = [prose(150, 300 + i) for i in range(9)]
     rows = [(None, t) for t in texts[:4]] + [(None, texts[0])] + [(7, t) for t in texts[4:7]] + [(3, texts[5]), (9, texts[6]), (None, texts[7]), (5, texts[7]), (7, texts[8]), (7, texts[8])]
