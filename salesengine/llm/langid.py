@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,7 +79,8 @@ def has_letter(data: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Model | None:
     """Fit on a bounded sample: about ``TEXTS_PER_LANGUAGE`` labelled texts of each language,
-    those of the smallest id hashes. Only their packed presence vectors reach the driver.
+    those of the smallest hashes of id and text. Only their packed presence vectors reach the driver,
+    and only so many: copies count once, and the rest is cut by language before.
     Rows without a label or a letter teach nothing; without any such row there is no model.
 
     A text's likeness to a language is the mean share of its n-grams that a landmark has, of whatever
@@ -88,7 +89,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     """
     labelled = docs.where(F.col(lang_col).isNotNull()).select(
         F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"),
-        F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 30)).alias("draw"))
+        F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string")), F.lit(1 << 30)).alias("draw"))
     sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     if not sizes:
         return None
@@ -108,8 +109,10 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
                     [pa.array([b.tobytes() for b in bits[ok]], pa.binary()), *[batch.column(c).slice(i, j - i).filter(pa.array(ok)) for c in (1, 2)]],
                     names=["bits", "lang", "draw"])
 
-    got = labelled.where(F.col("draw") < cutoff).mapInArrow(run, "bits binary, lang string, draw long").toPandas()
-    got = got.sort_values(["lang", "draw", "bits"]).groupby("lang").head(TEXTS_PER_LANGUAGE)
+    drawn = labelled.where(F.col("draw") < cutoff).mapInArrow(run, "bits binary, lang string, draw long").distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "bits"))
+    got = drawn.withColumn("place", place).where(F.col("place") <= TEXTS_PER_LANGUAGE).drop("place").toPandas()
+    got = got.sort_values(["lang", "draw", "bits"])
     if not len(got):
         return None
     x = np.unpackbits(np.frombuffer(b"".join(got["bits"]), np.uint8).reshape(len(got), -1), axis=1).astype(np.float64)

@@ -157,6 +157,19 @@ def test_language_id_on_held_out_texts(spark):
     assert all(x.lang_pred == x.truth and 0 <= x.lang_score <= 1 for x in got)
 
 
+def test_language_sample_is_bounded_where_ids_repeat(spark, monkeypatch):
+    r = random.Random(6)
+    word = lambda g: "".join(r.choice(["tha", "ing"] if g == "xx" else ["zu", "über"]) for _ in range(4))
+    rows = [(None if i % 2 else 5, f"{word(g)} {word(g)} {i}", g) for i in range(2000) for g in ("xx", "yy")] + [(i, "copy", "xx") for i in range(30)]
+    frame = type(spark.range(1))
+    sizes, plain = [], frame.toPandas
+    monkeypatch.setattr(frame, "toPandas", lambda df: sizes.append(plain(df)) or sizes[-1])
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4))
+    assert model.languages == ("xx", "yy")
+    assert [len(s) for s in sizes] and all((s.groupby("lang").size() <= langid.TEXTS_PER_LANGUAGE).all() for s in sizes)
+    assert all((s.groupby("lang").size() > 200).all() for s in sizes)
+
+
 def test_language_id_edges(docs, empty):
     got = langid.predict(docs, None).collect()
     assert len(got) == len(ROWS) and {(r.lang_pred, r.lang_score) for r in got} == {("und", 0.0)}
