@@ -395,6 +395,30 @@ def test_scores(spark, docs, empty):
     assert all(r.n_known == 0 and r.base_score == 0 for r in mixing.score(docs, F.lit(True)).collect())
 
 
+def test_scores_know_pairs_of_rare_words(spark):
+    r = random.Random(11)
+    fill = lambda: [r.choice(VOCAB[:30]) for _ in range(3)]
+    text = lambda i, j: " ".join([*fill(), f"left{i}", f"right{j}", *fill()])
+    train = [(i, text(i % 150, i % 150)) for i in range(1500)]
+    held = [(10_000 + i, " ".join([f"left{i}", f"right{i}"])) for i in range(40)] + [(20_000 + i, " ".join([f"left{i}", f"right{i + 1}"])) for i in range(40)]
+    held += [(30_000, "never seen"), (30_001, None)]
+    table = spark.createDataFrame(train + held, "doc_id long, text string")
+    for frequent in (20, 1000):
+        got = {x.id: x.score for x in mixing.score(table, F.col("doc_id") >= 10_000, frequent=frequent, common=8).collect()}
+        assert len(got) == len(train) + len(held) and all(s < 0 for s in got.values())
+        assert all(got[10_000 + i] > got[20_000 + i] + 1 for i in range(40))
+
+
+def test_pair_counts_equal_brute_force(spark, docs):
+    got = mixing.word_pairs(docs.select("text", (F.coalesce("doc_id", F.lit(1)) % 2 == 1).alias("held_out"))).collect()
+    want = collections.Counter()
+    for i, t in ROWS:
+        w = ["", *WORD.findall(lower(t)), ""]
+        for pair in zip(w, w[1:]):
+            want[pair] += (1 if i is None else i) % 2 == 0
+    assert sorted(x.n for x in got) == sorted(want.values())
+
+
 def test_bit_probabilities_add_up_to_one():
     words = [b"the", b"then", b"a"]
     data, starts, hashes = mixing.flatten(words)
