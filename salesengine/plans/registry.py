@@ -23,7 +23,7 @@ from ..operators import summaries as A
 from ..session import new_table_path
 from ..sources.csv import CSV_ORDER_COLUMNS, read_sales, write_csv
 from ..sources.tables import read_staged, register_views, sql, write_summaries
-from ..sources.testdata import ORDER_COLUMNS, PARAM_CATEGORY, PARAM_QUARTER, PARAM_YEAR, PIVOT_CATEGORIES
+from ..sources.testdata import ORDER_COLUMNS, PARAM_CATEGORY, PARAM_QUARTER, PARAM_YEAR
 from . import dashboard as D
 from . import questions as N
 from . import reports as Q
@@ -83,6 +83,15 @@ def _on_rollup(report: Callable[[DataFrame], DataFrame]) -> Query:
     return q
 
 
+def _heat_pivot(rollup: DataFrame) -> DataFrame:
+    """D13 with a column for every category of D6; more than ``spark.sql.pivotMaxValues`` are an error."""
+    most = int(rollup.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    found = [r["category"] for r in D.category_list(rollup).where("category IS NOT NULL").limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} categories (spark.sql.pivotMaxValues)")
+    return D.heat_pivot(rollup, found)
+
+
 def _adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_views(spark, star_sales(spark, sf_dir), star_rollup(spark, sf_dir), star_products(spark, sf_dir))
     return sql(spark, ADHOC_SQL, category=PARAM_CATEGORY)
@@ -163,7 +172,7 @@ QUERIES: dict[str, Query] = {
     "dash_buckets": _on_rollup(D.bucket_distribution),
     "dash_regional": _on_rollup(D.regional_table),
     "dash_heat_long": _on_rollup(D.heat_long),
-    "dash_heat_pivot": _on_rollup(lambda s: D.heat_pivot(s, PIVOT_CATEGORIES)),
+    "dash_heat_pivot": _on_rollup(_heat_pivot),
     # N1-N6
     "q_region_return": _on_rollup(N.region_return_rate),
     "q_region_return_quarter": _on_rollup(lambda s: N.region_return_rate(s, quarter=PARAM_QUARTER)),

@@ -32,8 +32,6 @@ DISCOUNT_OFFSET = "0.1"
 
 # Parameters used by the registered parameterised reports on this data.
 PARAM_CATEGORY = "Economy"
-# Columns of the region x category pivot: the categories of the raw view.
-PIVOT_CATEGORIES = ["Economy", "Large", "Medium", "Promo", "Small", "Standard"]
 PARAM_YEAR = 1997
 PARAM_QUARTER = 3
 
