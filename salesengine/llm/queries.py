@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, langid, mixing, packing, quality, simhash, template, warc
+from . import bpe, chat, fingerprints, langid, mixing, packing, quality, simhash, substrings, template, warc
 from .tables import shared_dir, split_of, table
 
 
@@ -78,6 +78,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs, with_text=False).withColumnRenamed("id", "doc_id")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -86,7 +91,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_fingerprints, op2_warc, op3_language_id, op4_quality_rules, op5_chat_formatting,
-                            op6_lm_scoring, op7_bpe, op8_html_extraction, op9_best_fit, op10_simhash, pipeline)
+                            op6_lm_scoring, op7_bpe, op8_html_extraction, op9_best_fit, op10_simhash, op12_substrings, pipeline)
 }
 _CONTROLS = r"(\\|<s>|</s>|\[INST\]|\[/INST\]|<\|image\|>|<\|audio\|>|<\|document\|>)"
 ORACLE_SQL: dict[str, str] = {
@@ -109,4 +114,15 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                sum(n)::BIGINT AS formatted_chars
         FROM p GROUP BY conv_id""",
+    "op12_substrings": r"""
+        WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, r, w, unnest(range(1, len(w) - 48)) AS s FROM d),
+        h AS (SELECT doc_id, r, s, min(doc_id) OVER (PARTITION BY md5(array_to_string(list_slice(w, s, s + 49), ' '))) AS least FROM s),
+        i AS (SELECT doc_id, r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+        c AS (SELECT i.r, i.i, word, bool_or(coalesce(h.doc_id > least, false))
+                     OVER (PARTITION BY i.r ORDER BY i.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+              FROM i LEFT JOIN h ON h.r = i.r AND h.s = i.i),
+        k AS (SELECT r, count(*) FILTER (gone) AS n, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k USING (r)""",
 }
