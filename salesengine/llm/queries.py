@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprints, langid, mixing, packing, quality, simhash, substrings, template, warc
+from . import bpe, chat, codes, fingerprints, langid, mixing, packing, quality, simhash, substrings, template, warc
 from .tables import shared_dir, split_of, table
 
 
@@ -83,6 +83,10 @@ def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(docs, with_text=False).withColumnRenamed("id", "doc_id")
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.digest(*codes.compress(table(spark, sf_dir, "embeddings"))).withColumnRenamed("id", "vec_id")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -91,9 +95,32 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_fingerprints, op2_warc, op3_language_id, op4_quality_rules, op5_chat_formatting,
-                            op6_lm_scoring, op7_bpe, op8_html_extraction, op9_best_fit, op10_simhash, op12_substrings, pipeline)
+                            op6_lm_scoring, op7_bpe, op8_html_extraction, op9_best_fit, op10_simhash, op12_substrings, op13_vector_codes, pipeline)
 }
 _CONTROLS = r"(\\|<s>|</s>|\[INST\]|\[/INST\]|<\|image\|>|<\|audio\|>|<\|document\|>)"
+
+
+def _vector_codes_sql() -> str:
+    """The seven assignments of op13 as one CTE each over unnested parts."""
+    nearest = """a{r} AS (SELECT r, p, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+            SELECT x.r, x.p, b.e, sum((x.v - b.v) * (x.v - b.v)) AS d FROM x JOIN b{r} b USING (p, j) GROUP BY ALL) GROUP BY ALL)"""
+    means = """b{n} AS (SELECT b.p, b.e, b.j, coalesce(m.v, b.v) AS v FROM b{r} b LEFT JOIN (
+            SELECT x.p, a.e, x.j, (sum(x.v) - (sum(x.v) % count(*) + count(*)) % count(*)) // count(*) AS v
+            FROM x JOIN a{r} a USING (r, p) GROUP BY ALL) m USING (p, e, j))"""
+    rounds = [nearest.format(r=r) + ",\n        " + means.format(r=r, n=r + 1) for r in range(codes.ROUNDS)]
+    return f"""
+        WITH k AS (SELECT vec_id, label, embedding AS v, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        f AS (SELECT r, unnest(v)::DOUBLE AS c, unnest(range(len(v))) AS i, len(v) // {codes.PARTS} AS w FROM k),
+        x AS MATERIALIZED (SELECT r, i // w AS p, i % w AS j, floor(c * {codes.SCALE})::HUGEINT AS v FROM f),
+        b0 AS (SELECT p, r - 1 AS e, j, v FROM x WHERE r <= {codes.ENTRIES}),
+        {(','+chr(10)+'        ').join(rounds)},
+        {nearest.format(r=codes.ROUNDS)},
+        s AS (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY p, e, j)) AS codebooks_sha256 FROM b{codes.ROUNDS}),
+        o AS (SELECT r, string_agg(lpad(lower(to_hex(e)), 2, '0'), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{codes.ROUNDS} GROUP BY r)
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM k JOIN o USING (r), s"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
@@ -125,4 +152,5 @@ ORACLE_SQL: dict[str, str] = {
         k AS (SELECT r, count(*) FILTER (gone) AS n, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY r)
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
         FROM d LEFT JOIN k USING (r)""",
+    "op13_vector_codes": _vector_codes_sql(),
 }
