@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, codes, fingerprints, langid, mixing, packing, quality, simhash, substrings, template, warc
+from . import bpe, chat, codes, fingerprints, langid, mixing, packing, quality, simhash, substrings, template, trie, warc
 from .tables import shared_dir, split_of, table
 
 
@@ -78,6 +78,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(trie.rebuilt(trie.paths(table(spark, sf_dir, "conversations"))))
+
+
 def op12_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.remove_repeats(docs, with_text=False).withColumnRenamed("id", "doc_id")
@@ -95,7 +99,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_fingerprints, op2_warc, op3_language_id, op4_quality_rules, op5_chat_formatting,
-                            op6_lm_scoring, op7_bpe, op8_html_extraction, op9_best_fit, op10_simhash, op12_substrings, op13_vector_codes, pipeline)
+                            op6_lm_scoring, op7_bpe, op8_html_extraction, op9_best_fit, op10_simhash, op11_trie, op12_substrings, op13_vector_codes, pipeline)
 }
 _CONTROLS = r"(\\|<s>|</s>|\[INST\]|\[/INST\]|<\|image\|>|<\|audio\|>|<\|document\|>)"
 
@@ -141,6 +145,26 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                sum(n)::BIGINT AS formatted_chars
         FROM p GROUP BY conv_id""",
+    "op11_trie": r"""
+        WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS d,
+                          coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+        v AS (SELECT DISTINCT c, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                  lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) & 3 AS h FROM t),
+        r AS (SELECT v.c, t.d, t.role, t.text FROM v JOIN t ON t.c = v.c - v.c % 20 AND t.d <= v.h
+              UNION ALL SELECT v.c, t.d, t.role, t.text FROM v JOIN t ON t.c = v.c AND t.d > v.h),
+        p AS (SELECT c, text, string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY d) AS path FROM r),
+        n AS (SELECT path, min(c) AS conv_id, length(path) // 32 AS depth, count(*) AS n_convs,
+                     any_value(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))) AS words
+              FROM (SELECT c, text, path FROM p UNION ALL SELECT c, '', '' FROM v) GROUP BY path),
+        k AS (SELECT path[:-33] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+        o AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (path)),
+        u AS (SELECT path[:32 * i] AS path, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens
+              FROM (SELECT *, unnest(range(depth + 1)) AS i FROM o) GROUP BY ALL),
+        e AS (SELECT path, string_agg(c::VARCHAR, ',' ORDER BY c) AS ends
+              FROM (SELECT v.c, coalesce(max(p.path), '') AS path FROM v LEFT JOIN p ON p.c = v.c GROUP BY v.c) GROUP BY path)
+        SELECT o.conv_id, o.depth, up.conv_id AS parent_conv_id, o.n_convs, o.n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens,
+               sha256(coalesce(ends, '')) AS ends_sha256
+        FROM o JOIN u USING (path) LEFT JOIN e USING (path) LEFT JOIN n up ON o.depth > 0 AND up.path = o.path[:-33]""",
     "op12_substrings": r"""
         WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
         s AS (SELECT doc_id, r, w, unnest(range(1, len(w) - 48)) AS s FROM d),
