@@ -131,6 +131,8 @@ def live_anchors(docs: DataFrame, window: int) -> DataFrame:
             shared = np.zeros(len(a), bool)
             shared[:-1] |= ~new[1:]
             shared |= ~new
+            back = np.argsort(order[fresh])  # rows of one text side by side take less room in the shuffle
+            a, t, new, shared = a[back], t[back], new[back], shared[back]
             slot = np.where(new, a, _spread(a, t))
             anchor = pa.array(a.view(np.int64), mask=new)  # as its slot
             yield pa.RecordBatch.from_arrays([pa.array(slot.view(np.int64)), pa.array(t.view(np.int64)), pa.array(shared), anchor], names=["slot", "name", "shared", "anchor"])
@@ -142,11 +144,11 @@ def live_anchors(docs: DataFrame, window: int) -> DataFrame:
 
 
 def removed_windows(found: DataFrame, window: int) -> DataFrame:
-    """(digest, gone): for each text of ``found``, the windows at ``at`` that a smaller id holds too."""
+    """(id, name, gone): for each text of ``found``, the windows at ``at`` that a smaller id holds too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = np.asarray(batch.column(0))
+            ids, names = np.asarray(batch.column(0)), np.asarray(batch.column(3))
             starts = batch.column(2)
             one, two, row = [], [], []
             for i, _, _, _, woff, h in by_block(batch.column(1)):
@@ -166,14 +168,16 @@ def removed_windows(found: DataFrame, window: int) -> DataFrame:
             least = ids[row[new]][np.cumsum(new) - 1] if len(one) else np.zeros(0, np.int64)
             later = ids[row] > least  # known to go; rows of the smallest id wait for other batches
             slot = np.where(later, _spread(one, ids[row].view(np.uint64) + U(1)), one)
+            back = np.argsort(order[fresh])
+            row, later = row[back], later[back]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(slot.view(np.int64)), pa.array(two.view(np.int64)), pa.array(ids[row]), batch.column(3).take(pa.array(row)), pa.array(later),
-                 pa.array(one.view(np.int64), mask=~later)], names=["slot", "two", "id", "digest", "later", "one"])
+                [pa.array(slot[back].view(np.int64)), pa.array(two[back].view(np.int64)), pa.array(ids[row]), pa.array(names[row]),
+                 pa.array(one[back].view(np.int64), mask=~later)], names=["slot", "two", "id", "name", "later"])
 
-    rows = found.select("id", "text", "at", "digest").mapInArrow(run, "slot long, two long, id long, digest binary, later boolean, one long")
+    rows = found.select("id", "text", "at", "name").mapInArrow(run, "slot long, two long, id long, name long, later long")
     same = Window.partitionBy("slot", "two")
-    gone = rows.withColumn("least", F.min("id").over(same)).where("later OR id > least")
-    return gone.select("digest", F.coalesce("one", "slot").alias("one")).groupBy("digest").agg(F.collect_set("one").alias("gone"))
+    gone = rows.withColumn("least", F.min("id").over(same)).where("later IS NOT NULL OR id > least")
+    return gone.select("id", "name", F.coalesce("later", "slot").alias("window")).groupBy("id", "name").agg(F.collect_set("window").alias("gone"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, with_text: bool = True) -> DataFrame:
@@ -232,10 +236,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             none = pa.scalar(None, batch.column(2).type)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pc.if_else(open_, batch.column(2), none), batch.column(3), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-                 pa.array(kept, pa.string()), pa.array(at_of, pa.list_(pa.int32()))], names=["given", "id", "text", "digest", "n_words", "n_removed", last, "at"])
+                 pa.array(kept, pa.string()), pa.array(at_of, pa.list_(pa.int32()))], names=["given", "id", "text", "name", "n_words", "n_removed", last, "at"])
 
-    judged = cut(rows.drop("name").join(known, "digest").select("given", "id", "text", "digest", "head", "anchors").mapInArrow(
-        judge, f"given long, id long, text string, digest binary, n_words long, n_removed long, {last} string, at array<int>"))
+    judged = cut(rows.join(known, "digest").select("given", "id", "text", "name", "head", "anchors").mapInArrow(
+        judge, f"given long, id long, text string, name long, n_words long, n_removed long, {last} string, at array<int>"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -257,7 +261,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], names=["id", "n_words", "n_removed", last])
 
     found = judged.where("at IS NOT NULL")
-    ended = (found.select("given", "text", "at", "digest").join(removed_windows(found, window), "digest", "left").select("given", "text", "at", "gone")
+    ended = (found.select("given", "id", "name", "text", "at").join(removed_windows(found, window), ["id", "name"], "left").select("given", "text", "at", "gone")
              .mapInArrow(remove, f"id long, n_words long, n_removed long, {last} string"))
     done = judged.where("at IS NULL").select(F.col("given").alias("id"), "n_words", "n_removed", last)
     return done.unionByName(ended)
