@@ -344,6 +344,17 @@ def _adhoc() -> dict[str, str]:
                          f"CAST(returns AS BIGINT) AS returns FROM ({body}) t"}
 
 
+def _csv_losses() -> str:
+    """The rules of ``registry.broken_lines`` counted: a broken quote hides the other faults of its line."""
+    quote, many, few = "_ord_part % 17 = 0", "_ord_part % 17 <> 0 AND _ord_part % 7 = 0", "_ord_part % 17 <> 0 AND _ord_part % 7 <> 0 AND _ord_part % 11 = 0"
+    counts = [("records", None, "TRUE"), ("sound", None, "_ord_part % 17 <> 0 AND _ord_part % 7 <> 0 AND _ord_part % 11 <> 0"),
+              ("too_many_fields", None, many), ("too_few_fields", None, few), ("open_quote", None, quote)]
+    counts += [("lost_value", c, "FALSE") for c in ("quantity", "discount_pct", "final_amount", "is_returned")]
+    counts += [("lost_value", "unit_price", "_ord_part % 17 <> 0 AND _ord_part % 7 <> 0 AND _ord_part % 13 = 0")]
+    rows = [f"SELECT '{w}' AS what, {'CAST(NULL AS VARCHAR)' if c is None else repr(c)} AS column_name, count(*) FILTER ({cond}) AS n FROM raw" for w, c, cond in counts]
+    return f"WITH {RAW} " + " UNION ALL ".join(rows)
+
+
 def report_sql(sales_cte: str) -> dict[str, str]:
     """The report statements over another ``sales`` definition (tests)."""
     return _report_queries(sales_cte)
@@ -356,6 +367,9 @@ def oracle_sql() -> dict[str, str]:
     out.update(_adhoc())
     # the same results by another path: from CSV files, or read back from written tables
     out["csv_clean_sales"] = out["fact_table"] = out["clean_sales"]
+    name = "'\"' || product_name || '\",' || chr(10) || chr(10) || product_name || chr(10) || '\"x'"
+    out["csv_quoted_breaks"] = f"SELECT * REPLACE ({name} AS product_name) FROM ({out['clean_sales']}) c"
+    out["csv_losses"] = _csv_losses()
     out["status_counts"] = out["quality_counts"]
     for name in ("monthly_category_summary", "regional_summary", "product_summary"):
         out[f"written_{name}"] = out[name]

@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.clean import OK, STATUS, clean_with_status, status_counts
 from ..operators.rollup import product_rollup, sales_rollup
 from ..session import new_table_path, sized_for
-from ..sources.csv import CSV_ORDER_COLUMNS, read_sales
+from ..sources.csv import CSV_ORDER_COLUMNS, accepted, checked_sales, loss_counts, quarantined, read_sales
 from ..sources.scan import input_bytes, spread
 from ..sources.tables import read_sales_table, read_staged, write_jdbc, write_staged, write_summaries, write_table
 from ..sources.testdata import ORDER_COLUMNS as STAR_ORDER_COLUMNS
 from ..sources.testdata import raw_sales_from_star
+from ..sources.versions import commit, new_version
 
 
 @dataclass
@@ -34,10 +35,13 @@ class RunResult:
     rollup_path: str | None = None
     products: DataFrame | None = None
     products_path: str | None = None
+    folder: str | None = None
+    losses: DataFrame | None = None
 
 
 def run(spark: SparkSession, raw_path: str | list[str], out_path: str, quality: bool = True, multi_line: bool = False,
-        jdbc_url: str | None = None, jdbc_properties: dict[str, str] | None = None) -> RunResult:
+        jdbc_url: str | None = None, jdbc_properties: dict[str, str] | None = None, quoted_breaks: bool = False,
+        quarantine: bool = False, versioned: bool = False) -> RunResult:
     """Full job over raw CSV files (the reference's extract/transform/load).
 
     One pass over the raw input writes ``staged``: the first row of every
@@ -51,26 +55,42 @@ def run(spark: SparkSession, raw_path: str | list[str], out_path: str, quality:
     (a real aggregation over written data, not accumulator metrics). With
     ``jdbc_url`` the fact table and the summaries also replace the tables of their
     names in that database.
+
+    ``quoted_breaks`` reads line breaks inside quoted fields without giving up the parallel read of a file.
+    ``quarantine`` keeps records with too many fields or an open quote out of the tables, writes them and what
+    else is lost to ``quarantine`` (a second, narrow pass over the raw input), and returns the counts as ``losses``.
+    With ``versioned`` the tables go to a folder of their own, and readers (``open_tables``) see
+    them all from the moment this run ends (``sources.versions``).
     """
-    base = out_path.rstrip("/")
+    base = new_version(spark, out_path) if versioned else out_path.rstrip("/")
     staged_path = f"{base}/staged"
     # The order columns are fixed by the scan; spreading afterwards only
     # matters for unsplittable input (e.g. one large gzip file).
     with sized_for(spark, input_bytes(spark, raw_path)):
-        raw = spread(read_sales(spark, raw_path, multi_line=multi_line))
+        if quarantine:
+            checked = checked_sales(spark, raw_path, multi_line=multi_line, quoted_breaks=quoted_breaks)
+            raw = spread(accepted(checked))
+        else:
+            raw = spread(read_sales(spark, raw_path, multi_line=multi_line, quoted_breaks=quoted_breaks))
         sales_path = write_staged(clean_with_status(raw, CSV_ORDER_COLUMNS), staged_path)
+        if quarantine:
+            write_table(quarantined(checked), f"{base}/quarantine")
     sales = read_sales_table(spark, sales_path)
     rollup_path, products_path = f"{base}/sales_rollup", f"{base}/product_rollup"
     write_table(sales_rollup(sales), rollup_path)
     write_table(product_rollup(sales), products_path)
     rollup, products = spark.read.parquet(rollup_path), spark.read.parquet(products_path)
     paths = write_summaries(sales, base, rollup=rollup, products=products)
+    if versioned:
+        commit(spark, out_path, base)
     if jdbc_url is not None:
         write_jdbc(sales, jdbc_url, "sales", jdbc_properties)
         for name, path in paths.items():
             write_jdbc(spark.read.parquet(path), jdbc_url, name, jdbc_properties)
-    q = status_counts(read_staged(spark, staged_path)) if quality else None
-    return RunResult(sales, sales_path, paths, q, rollup, rollup_path, products, products_path)
+    staged = read_staged(spark, staged_path)
+    q = status_counts(staged) if quality else None
+    losses = loss_counts(spark.read.parquet(f"{base}/quarantine"), status_counts(staged).select("raw_rows")) if quarantine else None
+    return RunResult(sales, sales_path, paths, q, rollup, rollup_path, products, products_path, base, losses)
 
 
 # --- tables for the star-schema test tables -------------------------------------

@@ -20,8 +20,9 @@ from pyspark.sql import types as T
 from ..functions.rounding import as_double
 from ..operators import clean as C
 from ..operators import summaries as A
+from ..schema import RAW_COLUMNS
 from ..session import new_table_path
-from ..sources.csv import CSV_ORDER_COLUMNS, read_sales, write_csv
+from ..sources.csv import CSV_ORDER_COLUMNS, checked_sales, loss_counts, read_sales, write_csv
 from ..sources.tables import read_staged, register_views, sql, write_summaries
 from ..sources.testdata import ORDER_COLUMNS, PARAM_CATEGORY, PARAM_QUARTER, PARAM_YEAR
 from . import dashboard as D
@@ -105,6 +106,35 @@ def _csv_clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(C.clean_sales(read_sales(spark, path), CSV_ORDER_COLUMNS))
 
 
+def _quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 with line breaks, quotes and commas inside quoted fields, every split of a file read in parallel."""
+    raw, order = star_raw(spark, sf_dir)
+    name = F.col("product_name")
+    path = new_table_path(spark, "quoted-csv")
+    write_csv(raw.orderBy(*order).drop(*order).withColumn("product_name", F.concat(F.lit('"'), name, F.lit('",\n\n'), name, F.lit('\n"x'))), path)
+    return portable(C.clean_sales(read_sales(spark, path, quoted_breaks=True), CSV_ORDER_COLUMNS))
+
+
+def broken_lines(raw: DataFrame) -> DataFrame:
+    """The raw view as CSV lines (the column's name is the header), some of them broken: a surplus field (part key
+    a multiple of 7), the last two fields missing (11), an unreadable price (13), a quote that nothing ends (17)."""
+    part = F.col("_ord_part")
+    cells = {c: F.col(c).cast("string") for c in RAW_COLUMNS}
+    cells["unit_price"] = F.when(part % 13 == 0, "n/k").otherwise(cells["unit_price"])
+    cells["product_name"] = F.when(part % 17 == 0, F.concat(F.lit('"'), cells["product_name"])).otherwise(cells["product_name"])
+    ends = F.when(part % 7 == 0, F.lit(",surplus")).otherwise(F.lit(""))
+    short, whole = (F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in list(cells.values())[:n]]) for n in (-2, None))
+    return raw.select(F.when((part % 7 != 0) & (part % 11 == 0), short).otherwise(F.concat(whole, ends)).alias(",".join(RAW_COLUMNS)))
+
+
+def _csv_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What reading a broken file loses, counted."""
+    raw, _ = star_raw(spark, sf_dir)
+    path = new_table_path(spark, "broken-csv")
+    broken_lines(raw).write.option("header", True).option("quote", "").option("sep", "\u0001").csv(path)
+    return loss_counts(checked_sales(spark, path))
+
+
 def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_staged(spark, star_staged(spark, sf_dir))
 
@@ -128,6 +158,8 @@ def _adhoc_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     # S1-S4 and the job's own cleaning path, read back from what was written
     "csv_clean_sales": _csv_clean_sales,
+    "csv_quoted_breaks": _quoted_breaks,
+    "csv_losses": _csv_losses,
     "fact_table": lambda spark, sf_dir: portable(star_sales(spark, sf_dir)),
     "status_counts": lambda spark, sf_dir: C.status_counts(_staged(spark, sf_dir)),
     "written_monthly_category_summary": _written_summary("monthly_category_summary"),

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from ..operators.clean import COPIES, OK, RAW_DATE, STATUS
 from ..operators.summaries import monthly_category_summary, product_summary, regional_summary
 from ..schema import SALES, SALES_COLUMNS, SALES_PARTITION_COLUMNS
+from .versions import current
 
 # Partitions a rebalance before a partitioned write starts from: it has a few hundred keys,
 # whatever number of partitions the shuffles before it need. AQE splits the large ones.
@@ -124,10 +125,10 @@ def register_views(spark: SparkSession, sales: DataFrame, rollup: DataFrame | No
 
 
 def open_tables(spark: SparkSession, out_path: str) -> dict[str, DataFrame]:
-    """Register the tables a ``run()`` wrote under ``out_path`` as temp views
+    """Register the current tables that ``run()`` wrote under ``out_path`` as temp views
     (``sales``, ``sales_rollup``, ``product_rollup`` and the three summary
-    tables) and return them by name."""
-    base = out_path.rstrip("/")
+    tables) and return them by name. All are of one run."""
+    base = current(spark, out_path)
     tables = {
         "sales": read_sales_table(spark, f"{base}/staged/{STATUS}={OK}"),
         "sales_rollup": spark.read.parquet(f"{base}/sales_rollup"),
