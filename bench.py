@@ -32,8 +32,9 @@ from salesengine.session import local_session, new_table_path  # noqa: E402
 from salesengine.sources.csv import CSV_ORDER_COLUMNS, read_sales, write_csv  # noqa: E402
 from salesengine.sources.tables import read_sales_table, write_staged, write_summaries, write_table  # noqa: E402
 
-BUILT = ("quality_counts", "fact_table", "csv_clean_sales", "status_counts")
-SALES_KEYS = [k for k in QUERIES if not k.startswith(("clean_", "written_")) and k not in BUILT]
+# Keys that write before they read are timed as steps of the job, not as reports.
+BUILT = ("quality_counts", "fact_table", "csv_clean_sales", "status_counts", "cached_adhoc_sql")
+SALES_KEYS = [k for k in QUERIES if not k.startswith(("clean_", "csv_", "written_", "versioned_")) and k not in BUILT]
 
 
 def suite(spark, sf_dir: str) -> dict[str, float]:

@@ -373,5 +373,15 @@ def oracle_sql() -> dict[str, str]:
     out["status_counts"] = out["quality_counts"]
     for name in ("monthly_category_summary", "regional_summary", "product_summary"):
         out[f"written_{name}"] = out[name]
+    out["versioned_product_summary"] = out["product_summary"]
+    out["cached_adhoc_sql"] = out["adhoc_sql"]
+    returned = "count(*) FILTER (WHERE is_returned)"
+    out["ask_region_quarter"] = f"""{WITH_SALES}
+SELECT region, quarter, count(transaction_id) AS orders, {rmoney('sum(net_revenue)', 2)} AS revenue, {mmoney('sum(net_revenue)', 'count(net_revenue)', 2)} AS mean_order_value,
+       {pct(returned, 'count(*)', 2)} AS return_rate_pct, strftime(min(date), '%Y-%m-%d') AS first_date
+FROM sales WHERE category IN ('Economy', 'Promo') AND year >= 1997 GROUP BY region, quarter"""
+    out["ask_weekday"] = f"""{WITH_SALES}
+SELECT weekday, count(*) AS n, {rmoney('sum(net_revenue)', 2)} AS revenue, CAST(sum(quantity) AS BIGINT) AS units, {mpct('sum(discount_pct)', 'count(discount_pct)', 2)} AS discount
+FROM sales WHERE NOT is_returned GROUP BY weekday"""
     out["adhoc_regional_summary"] = out["regional_summary"]
     return out

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.clean import OK, STATUS, clean_with_status, status_counts
 from ..operators.rollup import product_rollup, sales_rollup
 from ..session import new_table_path, sized_for
+from ..sources.domains import DOMAINS, read_domains, write_domains
 from ..sources.csv import CSV_ORDER_COLUMNS, accepted, checked_sales, loss_counts, quarantined, read_sales
 from ..sources.scan import input_bytes, spread
 from ..sources.tables import read_sales_table, read_staged, write_jdbc, write_staged, write_summaries, write_table
@@ -76,11 +77,7 @@ def run(spark: SparkSession, raw_path: str | list[str], out_path: str, quality:
         if quarantine:
             write_table(quarantined(checked), f"{base}/quarantine")
     sales = read_sales_table(spark, sales_path)
-    rollup_path, products_path = f"{base}/sales_rollup", f"{base}/product_rollup"
-    write_table(sales_rollup(sales), rollup_path)
-    write_table(product_rollup(sales), products_path)
-    rollup, products = spark.read.parquet(rollup_path), spark.read.parquet(products_path)
-    paths = write_summaries(sales, base, rollup=rollup, products=products)
+    rollup, products, paths = write_reports(sales_rollup(sales), product_rollup(sales), base)
     if versioned:
         commit(spark, out_path, base)
     if jdbc_url is not None:
@@ -90,7 +87,18 @@ def run(spark: SparkSession, raw_path: str | list[str], out_path: str, quality:
     staged = read_staged(spark, staged_path)
     q = status_counts(staged) if quality else None
     losses = loss_counts(spark.read.parquet(f"{base}/quarantine"), status_counts(staged).select("raw_rows")) if quarantine else None
-    return RunResult(sales, sales_path, paths, q, rollup, rollup_path, products, products_path, base, losses)
+    return RunResult(sales, sales_path, paths, q, rollup, f"{base}/sales_rollup", products, f"{base}/product_rollup", base, losses)
+
+
+def write_reports(rollup: DataFrame, products: DataFrame, base: str) -> tuple[DataFrame, DataFrame, dict[str, str]]:
+    """Writes the rollups, the domain dictionary and the summaries of one set; (rollup, products, summary paths) as written."""
+    spark = rollup.sparkSession
+    paths = f"{base}/sales_rollup", f"{base}/product_rollup"
+    write_table(rollup, paths[0])
+    write_table(products, paths[1])
+    rollup, products = (spark.read.parquet(p) for p in paths)
+    write_domains(rollup, f"{base}/{DOMAINS}")
+    return rollup, products, write_summaries(None, base, rollup=rollup, products=products)
 
 
 # --- tables for the star-schema test tables -------------------------------------
@@ -145,16 +153,24 @@ def star_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sales rollup of ``star_sales``, written once per application."""
+    """The sales rollup of ``star_sales`` and its domain dictionary, written once per application."""
     with _lock:
         path = _written.get(_key(spark, sf_dir, "rollup"))
         if path is None:
             path = new_table_path(spark, "rollup")
             write_table(sales_rollup(star_sales(spark, sf_dir)), path)
+            write_domains(spark.read.parquet(path), f"{path}-{DOMAINS}")
             _written[_key(spark, sf_dir, "rollup")] = path
     return _shared(spark, path, lambda sp, p: sp.read.parquet(p))
 
 
+def domains_of(rollup: DataFrame) -> dict[str, list[str]] | None:
+    """The dictionary written beside a ``star_rollup``, read without a job; None for any other frame."""
+    with _lock:
+        path = next((p for p, df in _tables.items() if df is rollup), None)
+    return path and read_domains(rollup.sparkSession, f"{path}-{DOMAINS}")
+
+
 def star_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The product rollup of ``star_sales``, written once per application."""
     with _lock:
@@ -164,3 +180,18 @@ def star_products(spark: SparkSession, sf_dir: str) -> DataFrame:
             write_table(product_rollup(star_sales(spark, sf_dir)), path)
             _written[_key(spark, sf_dir, "products")] = path
     return _shared(spark, path, lambda sp, p: sp.read.parquet(p))
+
+
+def star_set(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of a versioned set of the star tables, committed once per application."""
+    with _lock:
+        base = _written.get(_key(spark, sf_dir, "set"))
+        if base is None:
+            raw, order = star_raw(spark, sf_dir)
+            base = new_table_path(spark, "set")
+            folder = new_version(spark, base)
+            sales = read_sales_table(spark, write_staged(clean_with_status(raw, order), f"{folder}/staged"))
+            write_reports(sales_rollup(sales), product_rollup(sales), folder)
+            commit(spark, base, folder)
+            _written[_key(spark, sf_dir, "set")] = base
+    return base

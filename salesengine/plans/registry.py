@@ -23,12 +23,15 @@ from ..operators import summaries as A
 from ..schema import RAW_COLUMNS
 from ..session import new_table_path
 from ..sources.csv import CSV_ORDER_COLUMNS, checked_sales, loss_counts, read_sales, write_csv
-from ..sources.tables import read_staged, register_views, sql, write_summaries
+from ..sources.results import cached_sql
+from ..sources.tables import open_tables, read_staged, register_views, sql, write_summaries, write_table
 from ..sources.testdata import ORDER_COLUMNS, PARAM_CATEGORY, PARAM_QUARTER, PARAM_YEAR
+from ..sources.versions import new_version
+from .ask import ask
 from . import dashboard as D
 from . import questions as N
 from . import reports as Q
-from .pipeline import star_products, star_raw, star_rollup, star_sales, star_staged
+from .pipeline import domains_of, star_products, star_raw, star_rollup, star_sales, star_set, star_staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,10 +88,17 @@ def _on_rollup(report: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _heat_pivot(rollup: DataFrame) -> DataFrame:
-    """D13 with a column for every category of D6; more than ``spark.sql.pivotMaxValues`` are an error."""
+    """D13 with a column for every category; more than ``spark.sql.pivotMaxValues`` are an error.
+
+    The categories come from the rollup's dictionary; a frame without one is asked by a job (D6).
+    """
     most = int(rollup.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    found = [r["category"] for r in D.category_list(rollup).where("category IS NOT NULL").limit(most + 1).collect()]
-    if len(found) > most:
+    known = domains_of(rollup)
+    if known is None:
+        found = [r["category"] for r in D.category_list(rollup).where("category IS NOT NULL").limit(most + 1).collect()]
+    else:
+        found = known.get("category")
+    if found is None or len(found) > most:
         raise ValueError(f"more than {most} categories (spark.sql.pivotMaxValues)")
     return D.heat_pivot(rollup, found)
 
@@ -150,6 +160,35 @@ def _written_summary(name: str) -> Query:
     return q
 
 
+def _versioned_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 through the current version; a set that isn't committed lies beside it, as a run that died leaves it."""
+    base = star_set(spark, sf_dir)
+    write_table(star_rollup(spark, sf_dir).limit(1), f"{new_version(spark, base)}/sales_rollup")
+    return open_tables(spark, base)["product_summary"]
+
+
+def _cached_adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5, from the stored result of the same statement."""
+    base = star_set(spark, sf_dir)
+    cached_sql(spark, base, ADHOC_SQL, category=PARAM_CATEGORY)
+    return cached_sql(spark, base, ADHOC_SQL, category=PARAM_CATEGORY)
+
+
+def _star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {"sales": star_sales(spark, sf_dir), "sales_rollup": star_rollup(spark, sf_dir), "product_rollup": star_products(spark, sf_dir)}
+
+
+def _ask_region_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A question that the sales rollup covers."""
+    return ask(_star_tables(spark, sf_dir), ["orders", "revenue", "mean_order_value", "return_rate_pct", "first_date"], by=["region", "quarter"],
+               where={"category": [PARAM_CATEGORY, "Promo"], "year": (PARAM_YEAR, None)})
+
+
+def _ask_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A question that needs the fact table: the rollups don't tell the days of a week apart."""
+    return ask(_star_tables(spark, sf_dir), {"n": "rows", "revenue": "revenue", "units": "units", "discount": "mean_discount_pct"}, by=["weekday"], where={"is_returned": False})
+
+
 def _adhoc_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_views(spark, star_sales(spark, sf_dir), star_rollup(spark, sf_dir), star_products(spark, sf_dir))
     return sql(spark, "SELECT * FROM regional_summary")
@@ -166,6 +205,10 @@ QUERIES: dict[str, Query] = {
     "written_regional_summary": _written_summary("regional_summary"),
     "written_product_summary": _written_summary("product_summary"),
     "adhoc_regional_summary": _adhoc_summary,
+    "versioned_product_summary": _versioned_summary,
+    "cached_adhoc_sql": _cached_adhoc,
+    "ask_region_quarter": _ask_region_quarter,
+    "ask_weekday": _ask_weekday,
     # T1-T11
     "clean_dedupe": _ordered(C.dedupe_first),
     "clean_dates": _raw_step(C.parse_dates),

@@ -10,12 +10,15 @@ from pyspark.sql import types as T
 from ..operators.clean import COPIES, OK, RAW_DATE, STATUS
 from ..operators.summaries import monthly_category_summary, product_summary, regional_summary
 from ..schema import SALES, SALES_COLUMNS, SALES_PARTITION_COLUMNS
-from .versions import current
+from .versions import current, parts
 
 # Partitions a rebalance before a partitioned write starts from: it has a few hundred keys,
 # whatever number of partitions the shuffles before it need. AQE splits the large ones.
 WRITE_PARTITIONS = 400
 
+# Order of the rows of one month in a file.
+CLUSTER_COLUMNS = ["category", "region"]
+
 SUMMARY_TABLES = ("monthly_category_summary", "regional_summary", "product_summary")
 
 
@@ -27,9 +30,15 @@ def rebalanced_for_write(sales: DataFrame) -> DataFrame:
     return sales.select(*SALES_COLUMNS).hint("rebalance", WRITE_PARTITIONS, *SALES_PARTITION_COLUMNS)
 
 
+def clustered(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a task sorted by the partition columns, as a partitioned write does anyway, and then by category and
+    region: pages and row groups of a file then hold few of these, and a filter on them skips the others."""
+    return rows.sortWithinPartitions(*keys, *CLUSTER_COLUMNS)
+
+
 def write_sales(sales: DataFrame, path: str, mode: str = "overwrite") -> None:
     """S3: replace the fact table, partitioned by year/month."""
-    rebalanced_for_write(sales).write.mode(mode).partitionBy(*SALES_PARTITION_COLUMNS).parquet(path)
+    clustered(rebalanced_for_write(sales), SALES_PARTITION_COLUMNS).write.mode(mode).partitionBy(*SALES_PARTITION_COLUMNS).parquet(path)
 
 
 def write_staged(staged: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -38,7 +47,7 @@ def write_staged(staged: DataFrame, path: str, mode: str = "overwrite") -> str:
     path (the ``dq_status=ok`` directory, whose year/month layout is that of
     ``write_sales``). Rejected rows land beside it, under their status."""
     keys = [STATUS, *SALES_PARTITION_COLUMNS]
-    staged.hint("rebalance", WRITE_PARTITIONS, *keys).write.mode(mode).partitionBy(*keys).parquet(path)
+    clustered(staged.hint("rebalance", WRITE_PARTITIONS, *keys), keys).write.mode(mode).partitionBy(*keys).parquet(path)
     return f"{path.rstrip('/')}/{STATUS}={OK}"
 
 
@@ -74,10 +83,16 @@ def read_sales_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SALES).parquet(path).select(*SALES_COLUMNS)
 
 
-def read_staged(spark: SparkSession, path: str) -> DataFrame:
-    """The staged table with its declared types, also if it has no row."""
+def read_fact_parts(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """The fact table of a set: the clean rows of its parts' staged tables."""
+    staged = T.StructType([*SALES.fields, T.StructField(STATUS, T.StringType())])
+    return spark.read.schema(staged).parquet(*[f"{f}/staged" for f in folders]).filter(F.col(STATUS) == OK).select(*SALES_COLUMNS)
+
+
+def read_staged(spark: SparkSession, *paths: str) -> DataFrame:
+    """The staged table, in one folder or several, with its declared types, also if it has no row."""
     more = [T.StructField(COPIES, T.LongType()), T.StructField(RAW_DATE, T.StringType()), T.StructField(STATUS, T.StringType())]
-    return spark.read.schema(T.StructType([*SALES.fields, *more])).parquet(path)
+    return spark.read.schema(T.StructType([*SALES.fields, *more])).parquet(*paths)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -124,13 +139,13 @@ def register_views(spark: SparkSession, sales: DataFrame, rollup: DataFrame | No
         products.createOrReplaceTempView("product_rollup")
 
 
-def open_tables(spark: SparkSession, out_path: str) -> dict[str, DataFrame]:
-    """Register the current tables that ``run()`` wrote under ``out_path`` as temp views
+def open_tables(spark: SparkSession, out_path: str, folder: str | None = None) -> dict[str, DataFrame]:
+    """Register the current tables that ``run()`` wrote under ``out_path`` (or those in ``folder``) as temp views
     (``sales``, ``sales_rollup``, ``product_rollup`` and the three summary
-    tables) and return them by name. All are of one run."""
-    base = current(spark, out_path)
+    tables) and return them by name. All are of one set."""
+    base = folder or current(spark, out_path)
     tables = {
-        "sales": read_sales_table(spark, f"{base}/staged/{STATUS}={OK}"),
+        "sales": read_fact_parts(spark, parts(spark, base)),
         "sales_rollup": spark.read.parquet(f"{base}/sales_rollup"),
         "product_rollup": spark.read.parquet(f"{base}/product_rollup"),
         **{name: spark.read.parquet(f"{base}/{name}") for name in SUMMARY_TABLES},

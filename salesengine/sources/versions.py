@@ -10,12 +10,15 @@ each one's set is whole, and the higher folder name wins.
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
 from pyspark.sql import SparkSession
 
-COMMITS, VERSIONS = "_commits", "versions"
+COMMITS, VERSIONS, RESULTS = "_commits", "versions", "_results"
+#: In a set's folder: names of the folders whose ``staged`` tables together are its fact table, oldest first.
+PARTS = "parts.json"
 
 
 def _at(spark: SparkSession, path: str):
@@ -33,6 +36,28 @@ def _names(spark: SparkSession, path: str) -> dict[str, int]:
     return {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(p)}
 
 
+def write_json(spark: SparkSession, path: str, value) -> None:
+    """A small file beside the tables, written by the driver."""
+    p, fs = _at(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(json.dumps(value).encode())
+    finally:
+        out.close()
+
+
+def read_json(spark: SparkSession, path: str):
+    """What ``write_json`` wrote, read without a Spark job; None if there is no such file."""
+    p, fs = _at(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
 def new_version(spark: SparkSession, base: str) -> str:
     """A folder for the tables of one run."""
     return f"{base.rstrip('/')}/{VERSIONS}/{uuid.uuid4().hex}"
@@ -66,14 +91,21 @@ def version_of(spark: SparkSession, base: str) -> tuple[int, str]:
     return known[-1] if known else (0, base.rstrip("/"))
 
 
+def parts(spark: SparkSession, folder: str) -> list[str]:
+    """Folders whose ``staged`` tables make up the set in ``folder``."""
+    root = folder.rstrip("/").rpartition("/")[0]
+    names = read_json(spark, f"{folder.rstrip('/')}/{PARTS}")
+    return [f"{root}/{n}" for n in names] if names else [folder.rstrip("/")]
+
+
 def vacuum(spark: SparkSession, base: str, keep: int = 2, grace_hours: float = 24) -> list[str]:
-    """Deletes sets that are neither among the last ``keep`` commits nor changed within ``grace_hours``
-    (a run that still writes, or a reader of an older set); returns their folders."""
+    """Deletes sets that are neither among the last ``keep`` commits, nor part of one of these, nor changed within
+    ``grace_hours`` (a run that still writes, or a reader of an older set), with their stored results; returns their folders."""
     if keep < 1:
         raise ValueError("the current set stays")
     base = base.rstrip("/")
     known = commits(spark, base)
-    kept = {folder.rpartition("/")[2] for _, folder in known[-keep:]}
+    kept = {f.rpartition("/")[2] for _, folder in known[-keep:] for f in (folder, *parts(spark, folder))}
     before = (time.time() - grace_hours * 3600) * 1000
     gone = [n for n, changed in _names(spark, f"{base}/{VERSIONS}").items() if n not in kept and changed < before]
     for n in gone:  # its marker first: no reader is led to a folder that is half gone
@@ -81,6 +113,7 @@ def vacuum(spark: SparkSession, base: str, keep: int = 2, grace_hours: float = 2
             if marker.endswith(f"-{n}"):
                 p, fs = _at(spark, f"{base}/{COMMITS}/{marker}")
                 fs.delete(p, False)
-        p, fs = _at(spark, f"{base}/{VERSIONS}/{n}")
-        fs.delete(p, True)
+        for below in (RESULTS, VERSIONS):
+            p, fs = _at(spark, f"{base}/{below}/{n}")
+            fs.delete(p, True)
     return [f"{base}/{VERSIONS}/{n}" for n in gone]
