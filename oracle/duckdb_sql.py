@@ -373,6 +373,8 @@ def oracle_sql() -> dict[str, str]:
     out["status_counts"] = out["quality_counts"]
     for name in ("monthly_category_summary", "regional_summary", "product_summary"):
         out[f"written_{name}"] = out[name]
+    out["written_refreshed_sales"] = out["clean_sales"]
+    out["clean_dedupe_suspects"] = out["clean_dedupe"]
     out["versioned_product_summary"] = out["product_summary"]
     out["cached_adhoc_sql"] = out["adhoc_sql"]
     returned = "count(*) FILTER (WHERE is_returned)"

@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 from .operators.generate import generate_sales
 from .operators.summaries import run_summary
 from .plans.pipeline import run
+from .plans.refresh import refresh
 from .sources.csv import write_csv
 
 
@@ -32,14 +33,18 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--quoted-breaks", action="store_true", help="the same, with all splits of a file read in parallel")
     ap.add_argument("--quarantine", action="store_true", help="write broken records apart and count what reading loses")
     ap.add_argument("--versioned", action="store_true", help="replace the tables of an earlier run as one")
+    ap.add_argument("--refresh", action="store_true", help="add the raw files to the current version instead of replacing it")
     ap.add_argument("--jdbc-url", help="also load the fact table and the summaries into this database")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("salesengine").getOrCreate()
     if args.generate:
         write_csv(generate_sales(spark, args.generate), args.raw)
-    res = run(spark, args.raw, args.out, quality=not args.no_quality, multi_line=args.multi_line, jdbc_url=args.jdbc_url,
-              quoted_breaks=args.quoted_breaks, quarantine=args.quarantine, versioned=args.versioned)
+    if args.refresh:
+        res = refresh(spark, args.out, args.raw, multi_line=args.multi_line, quoted_breaks=args.quoted_breaks)
+    else:
+        res = run(spark, args.raw, args.out, quality=not args.no_quality, multi_line=args.multi_line, jdbc_url=args.jdbc_url,
+                  quoted_breaks=args.quoted_breaks, quarantine=args.quarantine, versioned=args.versioned)
     out = {"sales": res.sales_path, "summaries": res.summary_paths}
     if res.quality is not None:
         out["quality"] = res.quality.collect()[0].asDict()

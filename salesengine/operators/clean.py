@@ -56,6 +56,39 @@ def dedupe_first(df: DataFrame, order_cols: Sequence[str]) -> DataFrame:
     return _first_per_key(df, order_cols, payload, copies=False)
 
 
+#: Suspected keys are broadcast up to this many (16 bytes each), else T1 takes its usual path.
+SUSPECT_LIMIT = 4_000_000
+
+
+def suspected_keys(df: DataFrame) -> DataFrame:
+    """(_h long): hashes of the transaction ids that more than one row may have; every id that occurs twice is among
+    them, others only by a collision of the hash. Shuffles the hashes alone, combined in the map tasks."""
+    return df.select(F.xxhash64(KEY).alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h")
+
+
+def _first_of_suspects(df: DataFrame, order_cols: Sequence[str], payload: Sequence[str], copies: bool, suspects: DataFrame) -> DataFrame:
+    """``_first_per_key`` that shuffles the rows of ``suspects`` (a broadcast) only; all others have an id of their own."""
+    known = F.broadcast(suspects)
+    hashed = df.withColumn("_h", F.xxhash64(KEY))
+    once = hashed.join(known, "_h", "left_anti").select(KEY, *payload, *([F.lit(1).cast("long").alias("_copies")] if copies else []))
+    again = _first_per_key(hashed.join(known, "_h", "left_semi").drop("_h"), order_cols, payload, copies)
+    return once.unionByName(again)
+
+
+def dedupe_suspects(df: DataFrame, order_cols: Sequence[str], suspects: DataFrame, limit: int = SUSPECT_LIMIT) -> DataFrame:
+    """T1 for input of mostly unique ids: equal to ``dedupe_first``, but rows whose id is surely unique are neither
+    shuffled nor sorted.
+
+    ``suspects`` are the ``suspected_keys`` of ``df``, written to a table (its rows are counted here, and read by every task).
+    Beyond ``limit`` of them this is ``dedupe_first``. ``df`` is scanned twice more, by
+    its one column and then in two branches, so it should be a table of a columnar format.
+    """
+    payload = [c for c in df.columns if c != KEY and c not in order_cols]
+    if suspects.limit(limit + 1).count() > limit:
+        return dedupe_first(df, order_cols)
+    return _first_of_suspects(df, order_cols, payload, False, suspects)
+
+
 # --- T2 ----------------------------------------------------------------------
 def parse_dates(df: DataFrame) -> DataFrame:
     """ISO text -> DATE; rows whose date does not parse are dropped."""

@@ -31,7 +31,8 @@ from .ask import ask
 from . import dashboard as D
 from . import questions as N
 from . import reports as Q
-from .pipeline import domains_of, star_products, star_raw, star_rollup, star_sales, star_set, star_staged
+from .pipeline import domains_of, run, star_products, star_raw, star_rollup, star_sales, star_set, star_staged
+from .refresh import refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,6 +117,16 @@ def _csv_clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(C.clean_sales(read_sales(spark, path), CSV_ORDER_COLUMNS))
 
 
+def _dedupe_suspects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 by suspected keys, over the raw view as a written table."""
+    raw, order = star_raw(spark, sf_dir)
+    path, keys = new_table_path(spark, "raw"), new_table_path(spark, "suspects")
+    write_table(raw, path)
+    table = spark.read.schema(raw.schema).parquet(path)
+    write_table(C.suspected_keys(table), keys)
+    return portable(C.dedupe_suspects(table, order, spark.read.parquet(keys)))
+
+
 def _quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 with line breaks, quotes and commas inside quoted fields, every split of a file read in parallel."""
     raw, order = star_raw(spark, sf_dir)
@@ -189,6 +200,18 @@ def _ask_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ask(_star_tables(spark, sf_dir), {"n": "rows", "revenue": "revenue", "units": "units", "discount": "mean_discount_pct"}, by=["weekday"], where={"is_returned": False})
 
 
+def _refreshed_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact table of a set made of half the ids, refreshed by the other half and all of the first once more."""
+    raw, order = star_raw(spark, sf_dir)
+    base = new_table_path(spark, "refreshed")
+    half = F.crc32(F.col("transaction_id").cast("binary")) % 2 == 0
+    for name, rows in (("a", raw.where(half)), ("b", raw)):
+        write_csv(rows.orderBy(*order).drop(*order), f"{base}-csv/{name}")
+    run(spark, f"{base}-csv/a", base, versioned=True)
+    refresh(spark, base, f"{base}-csv/b")
+    return portable(open_tables(spark, base)["sales"])
+
+
 def _adhoc_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_views(spark, star_sales(spark, sf_dir), star_rollup(spark, sf_dir), star_products(spark, sf_dir))
     return sql(spark, "SELECT * FROM regional_summary")
@@ -205,12 +228,14 @@ QUERIES: dict[str, Query] = {
     "written_regional_summary": _written_summary("regional_summary"),
     "written_product_summary": _written_summary("product_summary"),
     "adhoc_regional_summary": _adhoc_summary,
+    "written_refreshed_sales": _refreshed_sales,
     "versioned_product_summary": _versioned_summary,
     "cached_adhoc_sql": _cached_adhoc,
     "ask_region_quarter": _ask_region_quarter,
     "ask_weekday": _ask_weekday,
     # T1-T11
     "clean_dedupe": _ordered(C.dedupe_first),
+    "clean_dedupe_suspects": _dedupe_suspects,
     "clean_dates": _raw_step(C.parse_dates),
     "clean_calendar": _raw_step(lambda r: C.add_calendar(C.parse_dates(r))),
     "clean_prices": _raw_step(C.drop_bad_prices),

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
 from ..operators.clean import COPIES, OK, RAW_DATE, STATUS
@@ -83,16 +85,21 @@ def read_sales_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SALES).parquet(path).select(*SALES_COLUMNS)
 
 
-def read_fact_parts(spark: SparkSession, folders: list[str]) -> DataFrame:
+def _read_parts(spark: SparkSession, schema: T.StructType, paths: Sequence[str]) -> DataFrame:
+    """One frame over several folders of one layout (Spark finds partition folders below one root only)."""
+    return reduce(DataFrame.unionByName, (spark.read.schema(schema).parquet(p) for p in paths))
+
+
+def read_fact_parts(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
     """The fact table of a set: the clean rows of its parts' staged tables."""
     staged = T.StructType([*SALES.fields, T.StructField(STATUS, T.StringType())])
-    return spark.read.schema(staged).parquet(*[f"{f}/staged" for f in folders]).filter(F.col(STATUS) == OK).select(*SALES_COLUMNS)
+    return _read_parts(spark, staged, [f"{f}/staged" for f in folders]).filter(F.col(STATUS) == OK).select(*SALES_COLUMNS)
 
 
 def read_staged(spark: SparkSession, *paths: str) -> DataFrame:
     """The staged table, in one folder or several, with its declared types, also if it has no row."""
     more = [T.StructField(COPIES, T.LongType()), T.StructField(RAW_DATE, T.StringType()), T.StructField(STATUS, T.StringType())]
-    return spark.read.schema(T.StructType([*SALES.fields, *more])).parquet(*paths)
+    return _read_parts(spark, T.StructType([*SALES.fields, *more]), paths)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
