@@ -3,9 +3,10 @@
 Documents go to packs of several permitted sequence lengths. Texts longer than the largest
 capacity are cut into spans of that capacity and a rest. Within a shard the spans are placed
 in order of falling length: into the open bin where the least room is left over, or, if none
-fits, into a new bin of the capacity with the least cost for each token that it is expected to hold
-(``cost``: capacity plus a fixed overhead per sequence; the expectation comes from the
-lengths that still wait). At the end each bin is downsized to the smallest permitted
+fits, into a new bin. Its capacity is chosen among all that hold the span, jointly with what would
+come beside it: each is filled on trial with the longest waiting spans that fit, and the least work for each token so held wins.
+The work of a sequence is its length, an attention part that grows with the square, and a fixed overhead
+(``work``), so long sequences aren't cheapest as such, and short ones only where they fill up. At the end each bin is downsized to the smallest permitted
 capacity that holds its contents. Nothing is dropped.
 
 Shards are blocks of at most ``BLOCK`` spans by a hash of the id, so memory is bounded and
@@ -14,7 +15,7 @@ no corpus-wide order is needed; a block wastes at most its last bins.
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,29 +29,46 @@ from .text import blocks, utf8, word_spans
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 16
+ATTENTION = 16_384
 BLOCK = 65_536
 SCHEMA = "bin_id string, capacity int, position int, offset int, doc_id {kind}, span_start long, n_tokens int, used int"
 
 
-def pack(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD) -> tuple[list[int], list[int]]:
+def work(capacity: int, overhead: int = OVERHEAD, attention: int = ATTENTION) -> float:
+    """Cost of one sequence: attention adds as much as all the rest at a length of ``attention`` tokens."""
+    return capacity * (1 + capacity / attention) + overhead
+
+
+def pack(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD, attention: int = ATTENTION) -> tuple[list[int], list[int]]:
     """(bin of each length, capacity of each bin); lengths fall and are at most the largest capacity."""
-    waiting = int(lengths.sum())
+    kinds, counts = (x.tolist() for x in np.unique(lengths, return_counts=True))
+    waiting = dict(zip(kinds, counts))
+
+    def held(size: int, capacity: int) -> int:
+        """Tokens in a new bin that takes ``size`` and then the longest waiting spans that fit, again and again."""
+        room, at = capacity - size, len(kinds)
+        while (at := min(at, bisect_right(kinds, room)) - 1) >= 0:
+            room -= kinds[at] * min(waiting[kinds[at]], room // kinds[at])
+        return capacity - room
+
     bins: list[int] = []
     room: list[tuple[int, int]] = []  # (room left, bin), ascending
     used: list[int] = []
     for size in lengths.tolist():
+        waiting[size] -= 1
+        if not waiting[size]:
+            kinds.pop()  # lengths fall, so the longest kind ends first
         at = bisect_left(room, (size, -1))
         if at < len(room):
             left, b = room.pop(at)
         else:
             b = len(used)
             used.append(0)
-            left = min((c for c in capacities if c >= size), key=lambda c: ((c + overhead) / max(1, min(c, waiting)), c))
+            left = min((c for c in capacities if c >= size), key=lambda c: (work(c, overhead, attention) / held(size, c), c))
         used[b] += size
         bins.append(b)
         if left > size:
             insort(room, (left - size, b))
-        waiting -= size
     return bins, [min(c for c in capacities if c >= u) for u in used]
 
 
