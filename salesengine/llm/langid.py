@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .tables import map_rows, no_clash
 from .text import U, blocks, utf8
 
 DIM = 8192
@@ -28,7 +29,7 @@ UNKNOWN = "und"
 #: Documented bounds of the training sample: texts and landmarks of each language.
 TEXTS_PER_LANGUAGE = 400
 LANDMARKS_PER_LANGUAGE = 32
-MAX_LANGUAGES = 256
+MAX_LANGUAGES = 256  # more labels than that are an error
 RIDGE = 1e-2
 #: A text is unlike its language below this share of the likeness that all but this part of the sample reach.
 LIKENESS_SHARE, LIKENESS_PART = 0.7, 0.01
@@ -90,9 +91,11 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     labelled = docs.where(F.col(lang_col).isNotNull()).select(
         F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"),
         F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col).cast("string")), F.lit(1 << 30)).alias("draw"))
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()
     if not sizes:
         return None
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"{lang_col}: more than {MAX_LANGUAGES} languages")
     cutoff = F.lit(0)
     for r in sizes:
         share = min(1.0, 1.5 * TEXTS_PER_LANGUAGE / r["count"])
@@ -146,9 +149,11 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep_f
     The score is half of one plus the best language's regression output, clipped. Null and
     letterless texts, and all texts where there is no model, are ``und`` with score 0. Ties go
     to the first language in order. ``keep_from``: only the rows with a language, at least that
-    score and at least the language's floor of likeness, with the columns of ``docs`` alone. Rows are judged one by one, so repeated
-    rows stay; an empty table gives an empty table.
+    score and at least the language's floor of likeness, with the columns of ``docs`` alone; where there is no model
+    (a corpus without labels), every row with a letter, as nothing speaks against any. Rows are judged one by one, so repeated
+    rows stay; an empty table gives an empty table. A column of ``docs`` that has the name of a result is an error unless ``keep_from``.
     """
+    no_clash(docs, [] if keep_from is not None else ["lang_pred", "lang_score"])
     at = docs.columns.index(text_col)
     added = [] if keep_from is not None else [T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())]
     schema = T.StructType([*docs.schema.fields, *added])
@@ -177,8 +182,8 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep_f
                     best[ok] = np.clip(0.5 + 0.5 * out[np.arange(len(top)), top], 0, 1).round(4)[ok]
                 rows = batch.slice(i, j - i)
                 if keep_from is not None:
-                    yield rows.filter(pa.array(ok & (best >= keep_from)))
+                    yield rows.filter(pa.array(ok & (best >= keep_from) if m else ok))
                 else:
                     yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(names[pick].tolist(), pa.string()), pa.array(best)], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return map_rows(docs, run, schema)

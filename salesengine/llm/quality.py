@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .tables import map_rows, no_clash
 from .text import SPACE, blocks, span_hashes, sums_by, utf8, windows, word_spans
 
 WINDOW = 8
@@ -203,8 +204,9 @@ def score(docs: DataFrame, posterior: np.ndarray, text_col: str = "text", thresh
     ``keep_only``: just the kept rows, with the columns of ``docs`` alone. Null and empty
     texts have no words: they fail the base rule. Repeated rows are judged one by one;
     an empty table gives an empty table. A column of ``docs`` that has the name of a result
-    must be dropped or renamed first unless ``keep_only``.
+    is an error unless ``keep_only``.
     """
+    no_clash(docs, [] if keep_only else [*MEASURES, "base_failed", "quality", "kept"])
     at = docs.columns.index(text_col)
     added = [] if keep_only else [*[T.StructField(c, T.LongType()) for c in MEASURES], T.StructField("base_failed", T.BooleanType()), T.StructField("quality", T.DoubleType()), T.StructField("kept", T.BooleanType())]
     schema = T.StructType([*docs.schema.fields, *added])
@@ -220,4 +222,4 @@ def score(docs: DataFrame, posterior: np.ndarray, text_col: str = "text", thresh
                 extra = [pa.array(m[c]) for c in MEASURES] + [pa.array(failed), pa.array(quality), pa.array(kept)]
                 yield pa.RecordBatch.from_arrays([*rows.columns, *extra], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return map_rows(docs, run, schema)

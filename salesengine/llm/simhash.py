@@ -221,15 +221,23 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row of each component, with the columns of ``docs``: that of the smallest id, nulls last.
 
     Ids may be null or repeated: components, not ids, are reduced. Of a component's rows that
-    repeat the id, one of the smallest text stays. Copies are combined in the map tasks.
+    repeat the id, one of the smallest text stays, and of rows that repeat both the one whose other columns have the smallest hash.
+    Columns may have any names and types. Copies are combined in the map tasks.
     """
-    named = labelled(simhash(docs, id_col, text_col, k), max_bits)
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])  # no name of the input meets one of ours
+    id_, text = (f"c{names.index(c)}" for c in (id_col, text_col))
+    named = labelled(simhash(plain, id_, text, k), max_bits)
     order = F.struct(F.col("first").isNull().alias("none"), "first")
     best = named.groupBy("c").agg(F.min(order).alias("best"))
-    chosen = named.join(best, "c").where(order == F.col("best")).select(F.col("fp").alias("__fp"), "c")
-    row = F.struct(F.col(id_col).isNull().alias("__none"), F.col(id_col), F.col(text_col), *[F.col(x) for x in docs.columns if x not in (id_col, text_col)])
-    copies = with_simhash(docs, text_col, k).groupBy("__fp").agg(F.min(row).alias("__row"))
-    return copies.join(chosen, "__fp").groupBy("c").agg(F.min("__row").alias("__row")).select(*[F.col(f"__row.`{x}`").alias(x) for x in docs.columns])
+    chosen = named.join(best, "c").where(order == F.col("best")).select("fp", "c")
+    others = [f for f in plain.schema.fields if f.name not in (id_, text)]
+    hashed = [F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in others]
+    place = F.struct(F.col(id_).isNull().alias("none"), F.col(id_).alias("id"), F.col(text).alias("text"), F.xxhash64(*hashed, F.lit(0)).alias("rest"))
+    copies = (with_simhash(plain, text, k, "fp").withColumn("place", place)
+              .groupBy("fp").agg(F.min("place").alias("place"), F.min_by(F.struct(*plain.columns), "place").alias("row")))
+    kept = copies.join(chosen, "fp").groupBy("c").agg(F.min_by("row", "place").alias("row"))
+    return kept.select("row.*").toDF(*names)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,

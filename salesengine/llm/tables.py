@@ -5,8 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +37,26 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def no_clash(docs: DataFrame, results: list[str]) -> None:
+    """An error if a column of ``docs`` has the name of a result (names are told apart without regard to case)."""
+    taken = {c.lower() for c in docs.columns}
+    clash = [c for c in results if c.lower() in taken]
+    if clash:
+        raise ValueError(f"columns named like results, to be dropped or renamed first: {', '.join(clash)}")
+
+
+def map_rows(docs: DataFrame, run, schema: T.StructType) -> DataFrame:
+    """``docs.mapInArrow(run, schema)`` for any column names, which Arrow functions otherwise don't take."""
+    names = [f"c{i}" for i in range(len(schema))]
+
+    def renamed(batches):
+        for batch in run(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, names=names)
+
+    plain = T.StructType([T.StructField(n, f.dataType, True) for n, f in zip(names, schema.fields)])
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).mapInArrow(renamed, plain).toDF(*schema.names)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import cut
+from .tables import cut, map_rows, no_clash
 
 #: A class is valid from so many tokens and pages on.
 MIN_TOKENS, MIN_PAGES = 2, 3
@@ -239,8 +239,9 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> D
 
     Null pages are empty; a null url is a host of its own. Repeated rows stay (pages that are
     repeated an even number of times leave the vectors as they were). Templates are broadcast
-    up to ``BROADCAST_HOSTS`` hosts and joined by host beyond.
+    up to ``BROADCAST_HOSTS`` hosts and joined by host beyond. A column ``text`` of ``pages`` is an error.
     """
+    no_clash(pages, ["text"])
     found = cut(templates(pages, url_col, html_col))
     host = F.udf(host_of, "string")
     many = found.limit(BROADCAST_HOSTS + 1).count() > BROADCAST_HOSTS
@@ -258,7 +259,7 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> D
                 texts = [main_text(s.as_py(), *shared.value.get(host_of(u.as_py()), ())) for u, s in zip(batch.column(at[0]), batch.column(at[1]))]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
 
-        return pages.mapInArrow(run, schema)
+        return map_rows(pages, run, schema)
     keyed = pages.withColumn("__host", host(F.col(url_col))).join(found.withColumnRenamed("host", "__host"), "__host", "left").select(*pages.columns, "paths", "main", "texts")
 
     def run_joined(batches):
