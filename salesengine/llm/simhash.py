@@ -12,9 +12,9 @@ keys of j meet the right's keys of i and own codeword of j. Candidates are verif
 64 bits in the join. Larger distances than four are refused, as the argument ends there.
 
 Copies collapse to one row per distinct fingerprint before the join. Links are found in
-two rounds: every fingerprint against the smallest of each of its buckets, then the rest
-of the buckets, where pairs whose components are already one are not emitted, so that a
-large group of near copies yields links in proportion to its size.
+two rounds: every fingerprint against up to three of each of its buckets (the smallest, the largest and that
+of the smallest hash), then all against all in the buckets that still hold more than one component. So a
+large group of near copies, whose members are near these, costs comparisons in proportion to its size.
 """
 
 from __future__ import annotations
@@ -195,15 +195,20 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> tuple[DataFrame, DataFram
         raise ValueError("three segments and one-bit keys cover at most 4 differing bits")
     near = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= max_bits
     left, right = _side(fps, "left"), _side(fps, "right")
-    lowest = left.groupBy("key").agg(F.min("fp").alias("a"))
-    stars = (right.withColumnRenamed("fp", "b").join(lowest, "key")
+    chosen = left.groupBy("key").agg(F.array_distinct(F.array(F.min("fp"), F.max("fp"), F.min_by("fp", F.xxhash64("fp")))).alias("of"))
+    stars = (right.withColumnRenamed("fp", "b").join(chosen, "key").withColumn("a", F.explode("of"))
              .where((F.col("a") != F.col("b")) & near("a", "b")).select("a", "b").distinct())
     stars = cut(stars)
     label = components(stars, "a", "b")
     known = cut(fps.join(label, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component", "fp").alias("c")))
     one = _side(known, "left", ", c long").select("key", F.col("fp").alias("a"), F.col("c").alias("ca"))
-    two = _side(known, "right", ", c long").select("key", F.col("fp").alias("b"), F.col("c").alias("cb"))
-    rest = (one.join(two, (one.key == two.key) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & near("a", "b"))
+    two = _side(known, "right", ", c long").select(F.col("key").alias("met"), F.col("fp").alias("b"), F.col("c").alias("cb"))
+    # a row stays if its bucket has another component on the other side
+    lefts = one.groupBy(F.col("key").alias("k")).agg(F.min("ca").alias("low"), F.max("ca").alias("high"))
+    rights = two.groupBy(F.col("met").alias("k")).agg(F.min("cb").alias("low"), F.max("cb").alias("high"))
+    one = one.join(rights, F.col("key") == F.col("k")).where("low != ca OR high != ca").select("key", "a", "ca")
+    two = two.join(lefts, F.col("met") == F.col("k")).where("low != cb OR high != cb").select("met", "b", "cb")
+    rest = (one.join(two, (F.col("key") == F.col("met")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & near("a", "b"))
             .select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
     return known, cut(rest)
 

@@ -108,3 +108,19 @@ def test_several_sizes_are_opened(low, high, sizes):
     alone = min(total_work(packing.pack(lengths, tuple(c for c in packing.CAPACITIES if c >= top))[1]) for top in (8192,))
     assert total_work(capacities) <= alone
     assert np.bincount(of, lengths).sum() == lengths.sum()
+
+
+def test_a_large_group_of_near_copies(spark):
+    """20,000 fingerprints around one: all link through few of them, and the rest of their buckets is skipped."""
+    r = np.random.default_rng(5)
+    centre = int(r.integers(0, 1 << 62))
+    near = {centre}
+    while len(near) < 20_000:
+        near.add(centre ^ sum(1 << int(b) for b in set(r.choice(64, r.integers(1, 5)).tolist())) & (1 << 62) - 1)
+    apart = [int(x) for x in r.integers(0, 1 << 62, 500)]
+    fps = spark.createDataFrame([(i, x) for i, x in enumerate([*near, *apart])], "id long, fp long").repartition(4)
+    named = {row.fp: row.c for row in simhash.labelled(fps).collect()}
+    assert len(named) == len(near | set(apart))
+    assert len({named[x] for x in near}) == 1
+    lone = [x for x in apart if all((x ^ y).bit_count() > 4 for y in [*near, *apart] if y != x)]
+    assert all(named[x] == x for x in lone) and len(lone) > 490
