@@ -24,7 +24,6 @@ from .text import U, _odd, blocks, mix, span_hashes, utf8, windows, word_spans
 
 SHINGLE = 5
 SAMPLES = 64
-BINS = 4096
 _rng = np.random.Generator(np.random.PCG64(20240501))
 R = _rng.gamma(2.0, 1.0, 1 << 16)
 LOG_C = np.log(_rng.gamma(2.0, 1.0, 1 << 16))
@@ -102,30 +101,71 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, f"id {kind}, fingerprint string")
 
 
+def _place(borders: list[int], x):
+    """How many of the rising ``borders`` are at most ``x``, by binary search."""
+    if not borders:
+        return F.lit(0)
+    steps = F.lit([1 << k for k in reversed(range(len(borders).bit_length()))])
+    known = F.lit(borders)
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= len(borders)) & (F.try_element_at(known, at + step) <= x), at + step).otherwise(at))
+
+
+def _text_key(text):
+    """The first seven bytes of a text as a number in the same order; -1 for null."""
+    return F.coalesce(F.conv(F.rpad(F.hex(F.substring(text.cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long"), F.lit(-1))
+
+
+def bucketed(rows: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """(rows of (id, text) with their ``bucket`` and ``key``, number of buckets): ranges of falling id, nulls last.
+
+    Borders are about ``n`` quantiles of the ids, whatever their range. An id that several quantiles fall on, or null if it
+    has as many rows, is split further at quantiles of its texts' first bytes (``key``, else 0).
+    """
+    found, total, nulls = rows.agg(F.percentile_approx("id", [k / n for k in range(1, n)] or [0.5], 10_000), F.count("*"), F.count_if(F.col("id").isNull())).first()
+    found = found or []
+    borders = sorted(set(found))
+    heavy: dict[int | None, int] = {b: found.count(b) for b in borders if found.count(b) > 1}
+    if total and nulls * n > total:
+        heavy[None] = nulls * n // total
+    key = _text_key(F.col("text")) if heavy else F.lit(0).cast("long")
+    rows = rows.withColumn("key", key)
+    cuts: dict[int | None, list[int]] = {}
+    if heavy:
+        is_ = lambda v: F.col("id").isNull() if v is None else F.col("id") == v
+        got = rows.agg(*[F.percentile_approx(F.when(is_(v), F.col("key")), [k / (m + 1) for k in range(1, m + 1)], 10_000).alias(f"q{i}") for i, (v, m) in enumerate(heavy.items())]).first()
+        cuts = {v: sorted(set(got[i] or [])) for i, v in enumerate(heavy)}
+    # slots, from the smallest ids up: below the first border, the border itself if it is heavy, above it, ...
+    sizes = [1]
+    for b in borders:
+        sizes += [len(cuts[b]) + 1 if b in cuts else 0, 1]
+    after = np.concatenate([[0], np.cumsum(sizes[::-1])])
+    first = [int(after[len(sizes) - 1 - s]) for s in range(len(sizes))]  # first bucket of each slot in falling order
+    place = _place(borders, F.col("id"))
+    minor = F.lit(0)
+    for v, c in cuts.items():
+        minor = F.when(F.col("id").eqNullSafe(F.lit(v).cast("long")), len(c) - _place(c, F.col("key"))).otherwise(minor)
+    held = F.col("id").isin([F.lit(v) for v in cuts if v is not None]) if any(v is not None for v in cuts) else F.lit(False)
+    slot = 2 * place - F.when(held, 1).otherwise(0)
+    bucket = F.when(F.col("id").isNull(), F.lit(int(after[-1]))).otherwise(F.element_at(F.lit(first), slot + 1)) + minor
+    return rows.withColumn("bucket", bucket.cast("int")), int(after[-1]) + len(cuts.get(None, [])) + 1
+
+
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Partitions of (bucket, ghost, id, text) in falling order of id, ties by falling text, nulls last.
 
-    A bucket is a range of ids, found from a histogram of ``BINS`` equal bins; one partition
-    each. After its rows come, as ghosts, the rows of the first id of the next bucket that has
-    any (after the last: of the first), so every row's successor follows in its own partition.
+    A bucket is a range of ids (``bucketed``), one partition each. After its rows comes, as a ghost, the first row of the next bucket
+    that has any (after the last: of the first), so every row's successor follows in its own partition. Ids are integers (else an error).
     """
-    spark = docs.sparkSession
-    n = shuffle_partitions(spark)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    low, high = rows.agg(F.min("id"), F.max("id")).first()
-    low, high = (0, 0) if low is None else (low, high)
-    width = max(1, -(-(high - low + 1) // BINS))
-    bin_of = F.coalesce(((F.lit(high) - F.col("id")) / F.lit(width)).cast("int"), F.lit(BINS))
-    histogram = dict(rows.groupBy(bin_of.alias("bin")).count().collect())
-    total, seen, bucket_of_bin = max(1, sum(histogram.values())), 0, []
-    for b in range(BINS + 1):
-        bucket_of_bin.append(min(n - 1, seen * n // total))
-        seen += histogram.get(b, 0)
-    rows = rows.withColumn("bucket", F.element_at(F.lit(bucket_of_bin), bin_of + 1))
-    heads = sorted(rows.groupBy("bucket").agg(F.max("id").alias("id")).collect())
-    follow = [(h["id"], heads[i - 1]["bucket"]) for i, h in enumerate(heads)]
-    ahead = spark.createDataFrame(follow, "head long, target int")
-    ghosts = rows.join(F.broadcast(ahead), F.col("id").eqNullSafe(F.col("head"))).select(F.col("target").alias("bucket"), F.lit(1).alias("ghost"), "id", "text")
+    if docs.schema[id_col].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError(f"{id_col}: integer ids are needed")
+    plain = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    rows, n = bucketed(plain, shuffle_partitions(docs.sparkSession))
+    head = F.max(F.struct(F.col("id").isNotNull().alias("some"), "id", "key")).alias("head")
+    heads = sorted((r["bucket"], r["head"]["id"], r["head"]["key"]) for r in rows.groupBy("bucket").agg(head).collect())
+    follow = [(b, i, k, heads[at - 1][0]) for at, (b, i, k) in enumerate(heads)]
+    ahead = docs.sparkSession.createDataFrame(follow, "of int, head_id long, head_key long, target int")
+    match = (F.col("bucket") == F.col("of")) & F.col("id").eqNullSafe(F.col("head_id")) & (F.col("key") == F.col("head_key"))
+    ghosts = rows.join(F.broadcast(ahead), match).groupBy("target", "head_id").agg(F.max("text").alias("text")).select(F.col("target").alias("bucket"), F.lit(1).alias("ghost"), F.col("head_id").alias("id"), "text")
     return (rows.select("bucket", F.lit(0).alias("ghost"), "id", "text").union(ghosts).repartitionById(n, F.col("bucket"))
             .sortWithinPartitions("bucket", "ghost", F.desc_nulls_last("id"), F.desc_nulls_last("text")))
 

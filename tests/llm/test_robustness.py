@@ -124,3 +124,45 @@ def test_a_large_group_of_near_copies(spark):
     assert len({named[x] for x in near}) == 1
     lone = [x for x in apart if all((x ^ y).bit_count() > 4 for y in [*near, *apart] if y != x)]
     assert all(named[x] == x for x in lone) and len(lone) > 490
+
+
+# --- fingerprints: buckets of ids ---------------------------------------------------
+def ids(kind):
+    r = random.Random(9)
+    if kind == "wide":
+        return [-9 * 10**18, 9 * 10**18, *range(200)]
+    if kind == "outlier":
+        return [9 * 10**18, *range(2000)]
+    if kind == "repeated":
+        return [7] * 1000 + list(range(500)) + [2**63 - 1] * 700
+    if kind == "null":
+        return [None] * 900 + list(range(300))
+    return [r.choice([None, r.randint(-50, 50), r.randint(-(2**63), 2**63 - 1)]) for _ in range(900)]
+
+
+@pytest.mark.parametrize("kind", ["wide", "outlier", "repeated", "null", "mixed"])
+def test_ids_of_any_range_fall_into_even_buckets(spark, kind):
+    from salesengine.llm import fingerprints
+
+    r = random.Random(3)
+    rows = [(i, r.choice([None, "", *[prose(3, k) for k in range(40)], f"{r.random()} é"])) for i in ids(kind)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = fingerprints.with_next(table).withColumn("part", F.spark_partition_id()).collect()
+    own, ghosts = [x for x in got if not x.ghost], [x for x in got if x.ghost]
+    order = lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or "")
+    want = sorted(rows, key=order, reverse=True)
+    assert [(x.id, x.text) for x in sorted(own, key=lambda x: x.bucket)] == want  # rows of a bucket come in order
+    buckets = sorted({x.bucket for x in own})
+    firsts = {b: next((x.id, x.text) for x in own if x.bucket == b) for b in buckets}
+    assert sorted((x.bucket, repr((x.id, x.text))) for x in ghosts) == sorted((b, repr(firsts[buckets[(k + 1) % len(buckets)]])) for k, b in enumerate(buckets))
+    sizes = [sum(x.bucket == b for x in own) for b in buckets]
+    copies = max(sum(y == x for y in rows) for x in rows)
+    assert max(sizes) <= 4 * len(rows) / 8 / 2 + copies + 60, sizes
+    assert fingerprints.against_edited(table).count() == len(rows)
+
+
+def test_string_ids_are_an_error(spark):
+    from salesengine.llm import fingerprints
+
+    with pytest.raises(TypeError, match="integer ids"):
+        fingerprints.with_next(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
