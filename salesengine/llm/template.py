@@ -44,7 +44,7 @@ INSIDE = "main()"
 BROADCAST_HOSTS = 20_000
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|textarea|select|iframe|object|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>.*?(?:</\1\s*>|\Z)|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I)
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 #: Element names by what they do.
 CONTAINERS = frozenset("html head body div section article main nav header footer aside form ul ol dl table fieldset dialog menu center figure".split())
@@ -53,17 +53,34 @@ NOT_MAIN = frozenset("head nav footer aside form fieldset dialog menu button".sp
 HINTS = frozenset("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies
 disqus footer login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted reply replies respond
 related share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget""".split())
+#: Words that say how a part is placed or built, not what it is.
+PLAIN = frozenset("""area bar block body bottom box card col column container content feed global group grid head header icon inner item items left links
+list main outer page panel parent post posts primary right row section secondary site slot stories sub tags thread top unit wrap wrapper zone""".split())
+#: Words that turn the next one round.
+NEGATIONS = frozenset("no non not without hide".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 SPACE = re.compile(r"\s+")
 
 
+def hinted(names: str) -> bool:
+    """Whether a class or id says that the content isn't main text: a word of it does, and the others say nothing else.
+
+    So ``related-posts`` and ``ad-728x90`` do, ``related-work``, ``notice-board`` and ``no-comments`` don't.
+    """
+    for name in names.lower().split():
+        words = [w for w in re.split(r"[^a-z]+", name) if w]
+        if not HINTS.isdisjoint(words) and NEGATIONS.isdisjoint(words) and all(w in HINTS or w in PLAIN or len(w) < 3 for w in words):
+            return True
+    return False
+
+
 @lru_cache(8192)
 def container(name: str, attributes: str) -> tuple[str, bool, bool]:
     """(path step, whether its content can't be main text, whether it names the main slot)."""
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)}
-    words = re.split(r"[^a-z]+", (found.get("class", "") + " " + found.get("id", "")).lower())
     role = found.get("role", "").lower()
-    out = name in NOT_MAIN or role in ROLES or (name not in ("html", "body", "main") and not HINTS.isdisjoint(words))
+    words = "" if name in ("html", "body", "main", "article") else found.get("class", "") + " " + found.get("id", "")
+    out = name in NOT_MAIN or role in ROLES or hinted(words)
     step = name + "".join(f".{c}" for c in sorted(found.get("class", "").split())) + (f"#{found['id']}" if found.get("id") else "")
     return step, out, name in ("article", "main") or role == "main"
 

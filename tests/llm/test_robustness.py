@@ -166,3 +166,21 @@ def test_string_ids_are_an_error(spark):
 
     with pytest.raises(TypeError, match="integer ids"):
         fingerprints.with_next(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
+# --- HTML extraction: names only hint ------------------------------------------------
+@pytest.mark.parametrize("source, want", [
+    ('<body><article class="post no-comments"><p>One two.</p></article></body>', "One two."),
+    ('<article><p>A</p><div class="related-work"><p>B</p></div><div class="related-posts"><p>C</p></div></article>', "A\nB"),
+    ('<article class="sponsored"><p>A</p><div id="notice-board">B</div><section class="comments-area">C</section></article>', "A\nB"),
+    ('<article><p>A</p><div class="ad-728x90">B</div><div class="x cookie-banner">C</div><div class="without-sidebar">D</div></article>', "A\nD"),
+    ('<p title="x>hello</p>', "hello"),
+    ("<p title='it>one</p><p>two</p>", "one\ntwo"),
+    ('<p title="a>b">three</p>', "three"),
+])
+def test_class_words_bar_only_what_they_name(source, want):
+    assert template.main_text(source) == want
+
+
+def test_a_long_page_of_quotes_is_read_in_time():
+    assert template.main_text("<p " + '"' * 200_001 + ">text</p>") == "text"
