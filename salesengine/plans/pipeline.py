@@ -20,7 +20,7 @@ from ..session import new_table_path, sized_for
 from ..sources.domains import DOMAINS, read_domains, write_domains
 from ..sources.csv import CSV_ORDER_COLUMNS, accepted, checked_sales, loss_counts, quarantined, read_sales
 from ..sources.scan import input_bytes, spread
-from ..sources.tables import read_sales_table, read_staged, write_jdbc, write_staged, write_summaries, write_table
+from ..sources.tables import SUMMARY_TABLES, read_sales_table, read_staged, write_jdbc, write_staged, write_summaries, write_table
 from ..sources.testdata import ORDER_COLUMNS as STAR_ORDER_COLUMNS
 from ..sources.testdata import raw_sales_from_star
 from ..sources.versions import commit, new_version
@@ -182,6 +182,18 @@ def star_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shared(spark, path, lambda sp, p: sp.read.parquet(p))
 
 
+def star_summaries(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Paths of the three summary tables by name, written once per application."""
+    rollup, products = star_rollup(spark, sf_dir), star_products(spark, sf_dir)
+    with _lock:
+        base = _written.get(_key(spark, sf_dir, "summaries"))
+        if base is None:
+            base = new_table_path(spark, "summaries")
+            write_summaries(None, base, rollup=rollup, products=products)
+            _written[_key(spark, sf_dir, "summaries")] = base
+    return {name: f"{base}/{name}" for name in SUMMARY_TABLES}
+
+
 def star_set(spark: SparkSession, sf_dir: str) -> str:
     """Folder of a versioned set of the star tables, committed once per application."""
     with _lock:

@@ -24,14 +24,14 @@ from ..schema import RAW_COLUMNS
 from ..session import new_table_path
 from ..sources.csv import CSV_ORDER_COLUMNS, checked_sales, loss_counts, read_sales, write_csv
 from ..sources.results import cached_sql
-from ..sources.tables import open_tables, read_staged, register_views, sql, write_summaries, write_table
+from ..sources.tables import open_tables, read_staged, register_views, sql, write_table
 from ..sources.testdata import ORDER_COLUMNS, PARAM_CATEGORY, PARAM_QUARTER, PARAM_YEAR
 from ..sources.versions import new_version
 from .ask import ask
 from . import dashboard as D
 from . import questions as N
 from . import reports as Q
-from .pipeline import domains_of, run, star_products, star_raw, star_rollup, star_sales, star_set, star_staged
+from .pipeline import domains_of, run, star_products, star_raw, star_rollup, star_sales, star_set, star_staged, star_summaries
 from .refresh import refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,13 +162,7 @@ def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _written_summary(name: str) -> Query:
     """One summary table, written and read back."""
-
-    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        paths = write_summaries(star_sales(spark, sf_dir), new_table_path(spark, "summaries"),
-                                rollup=star_rollup(spark, sf_dir), products=star_products(spark, sf_dir))
-        return spark.read.parquet(paths[name])
-
-    return q
+    return lambda spark, sf_dir: spark.read.parquet(star_summaries(spark, sf_dir)[name])
 
 
 def _versioned_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import DataFrame
 
 
@@ -23,7 +24,7 @@ def spread(df: DataFrame) -> DataFrame:
     try:
         cores = spark.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Connect session): leave the scan as is
+    except (PySparkAttributeError, PySparkNotImplementedError):  # no RDD view (a Connect session): leave the scan as is
         return df
     if splits < cores:
         return df.repartition(cores, *df.columns)
