@@ -184,3 +184,58 @@ def test_class_words_bar_only_what_they_name(source, want):
 
 def test_a_long_page_of_quotes_is_read_in_time():
     assert template.main_text("<p " + '"' * 200_001 + ">text</p>") == "text"
+
+
+# --- quality: verdicts against a plain EM ---------------------------------------------
+def test_verdicts_equal_a_plain_em(spark):
+    """The kept texts are those whose posterior by a loop over texts, not over vote patterns, is at least one half."""
+    import pyarrow as pa
+
+    from salesengine.llm.text import utf8
+
+    r = random.Random(4)
+    texts = [prose(r.randint(25, 300), i) for i in range(60)] + ["### $$$ | " * 30 + prose(30, i) for i in range(20)]
+    texts += [(prose(12, i) + "\n") * 6 + prose(40, i + 7) for i in range(20)] + [None, "", "short text", " ".join("x%d" % k for k in range(60))]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {x.doc_id: x for x in quality.score(table, quality.fit(table)).collect()}
+
+    data, off = utf8(pa.array(texts, pa.large_string()))
+    m, votes = quality.measure(data, off)
+    failed = quality.base_failed(m)
+    code = quality.pattern_code(votes)
+    rules = list(quality.RULES)
+    kinds = [[name in kind for name in rules] for kind in quality.KINDS.values()]
+    rows = [[int(c) // 3**k % 3 for k in range(len(rules))] for c in code]
+    used = [i for i in range(len(texts)) if not failed[i]]
+
+    def start(v):
+        bad = [x == 0 for x in v]
+        post = [0.1 / len(kinds)] * (1 + len(kinds))
+        doubtful = sum(bad) >= 2 or sum(bad) > sum(x == 2 for x in v)
+        most = max(range(len(kinds)), key=lambda k: (sum(b and g for b, g in zip(bad, kinds[k])), -k))
+        post[1 + most if doubtful else 0] = 0.9
+        return [p / sum(post) for p in post]
+
+    def posterior(v, prior, tables):
+        p = [prior[c] * np.prod([tables[c][k][v[k]] for k in range(len(rules))]) for c in range(len(prior))]
+        return [x / sum(p) for x in p]
+
+    post = {i: start(rows[i]) for i in used}
+    for _ in range(200):
+        size = 1 + len(kinds)
+        prior = [(sum(post[i][c] for i in used) + 1) / (len(used) + size) for c in range(size)]
+        tables = []
+        for c in range(size):
+            tables.append([])
+            for k in range(len(rules)):
+                counts = [1 + sum(post[i][c] for i in used if rows[i][k] == x) for x in range(3)]
+                tables[-1].append([x / sum(counts) for x in counts])
+        was, post = post, {i: posterior(rows[i], prior, tables) for i in used}
+        if max(abs(a - b) for i in used for a, b in zip(post[i], was[i])) < 1e-9:
+            break
+    for i in range(len(texts)):
+        assert got[i].base_failed == bool(failed[i])
+        good = posterior(rows[i], prior, tables)[0]
+        assert got[i].kept == (not failed[i] and good >= 0.5) or abs(good - 0.5) < 1e-6
+        assert failed[i] or abs(got[i].quality - good) < 1e-6
+    assert 0 < sum(x.kept for x in got.values()) < len(texts) - 5
