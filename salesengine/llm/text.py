@@ -94,7 +94,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         return np.zeros(0, np.uint64)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(BYTE[data] * powers(BASE, len(data)), out=sums[1:])
-    back = powers(pow(BASE, -1, 1 << 64), len(data))
+    back = powers(pow(BASE, -1, 1 << 64), len(data) + 1)  # an empty span may start at the end
     return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 
