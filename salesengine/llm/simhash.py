@@ -13,7 +13,7 @@ keys of j meet the right's keys of i and own codeword of j. Candidates are verif
 
 Copies collapse to one row per distinct fingerprint before the join. Links are found in
 two rounds: every fingerprint against up to three of each of its buckets (the smallest, the largest and that
-of the smallest hash), then all against all in the buckets that still hold more than one component. So a
+of the smallest hash), then all against all, but for buckets of ``LARGE`` rows or more that hold one component by then. So a
 large group of near copies, whose members are near these, costs comparisons in proportion to its size.
 """
 
@@ -36,6 +36,7 @@ from .text import LOWER, SPACE, U, blocks, utf8, word_spans
 SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
+LARGE = 64
 WIDTHS = (22, 21, 21)
 #: Fixed value: generator polynomial x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1 of the Golay code.
 GENERATOR = 0b110001110101
@@ -203,11 +204,12 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> tuple[DataFrame, DataFram
     known = cut(fps.join(label, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component", "fp").alias("c")))
     one = _side(known, "left", ", c long").select("key", F.col("fp").alias("a"), F.col("c").alias("ca"))
     two = _side(known, "right", ", c long").select(F.col("key").alias("met"), F.col("fp").alias("b"), F.col("c").alias("cb"))
-    # a row stays if its bucket has another component on the other side
-    lefts = one.groupBy(F.col("key").alias("k")).agg(F.min("ca").alias("low"), F.max("ca").alias("high"))
-    rights = two.groupBy(F.col("met").alias("k")).agg(F.min("cb").alias("low"), F.max("cb").alias("high"))
-    one = one.join(rights, F.col("key") == F.col("k")).where("low != ca OR high != ca").select("key", "a", "ca")
-    two = two.join(lefts, F.col("met") == F.col("k")).where("low != cb OR high != cb").select("met", "b", "cb")
+    # large buckets of one component have nothing to tell
+    both = one.select("key", F.col("ca").alias("c")).union(two.select("met", "cb"))
+    told = (both.groupBy(F.col("key").alias("k")).agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high"))
+            .where((F.col("n") >= LARGE) & (F.col("low") == F.col("high"))).select("k"))
+    one = one.join(told, F.col("key") == F.col("k"), "left_anti")
+    two = two.join(told, F.col("met") == F.col("k"), "left_anti")
     rest = (one.join(two, (F.col("key") == F.col("met")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & near("a", "b"))
             .select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
     return known, cut(rest)

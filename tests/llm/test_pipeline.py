@@ -71,7 +71,7 @@ def test_registered_queries_run(spark, name):
         import duckdb
 
         con = duckdb.connect()
-        for t in ("pages", "conversations"):
+        for t in ("pages", "conversations", "documents", "embeddings"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
         want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.ORACLE_SQL[name]})").fetchall()
         assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, want))
