@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.clean import OK, STATUS, clean_with_status, status_counts
 from ..operators.rollup import product_rollup, sales_rollup
-from ..session import new_table_path, sized_for
+from ..session import new_table_path, sized_for, sized_session
 from ..sources.domains import DOMAINS, read_domains, write_domains
 from ..sources.csv import CSV_ORDER_COLUMNS, accepted, checked_sales, loss_counts, quarantined, read_sales
 from ..sources.scan import input_bytes, spread
@@ -107,8 +107,14 @@ _written: dict[tuple[str, str, str], str] = {}
 _tables: dict[str, DataFrame] = {}
 
 
+#: Bytes of a raw row as text for each byte of the line items' files.
+TEXT_FACTOR = 8
+
+
 def star_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
-    return raw_sales_from_star(spark, sf_dir), list(STAR_ORDER_COLUMNS)
+    """The raw view and its order columns; its session has shuffle partitions by the size of the line items."""
+    sized = sized_session(spark, TEXT_FACTOR * input_bytes(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet"))
+    return raw_sales_from_star(sized, sf_dir), list(STAR_ORDER_COLUMNS)
 
 
 def _shared(spark: SparkSession, path: str, read) -> DataFrame:

@@ -367,3 +367,24 @@ def test_dedupe_and_status_brute_force(spark):
     assert got == want
     counts = C.status_counts(staged).collect()[0]
     assert counts.raw_rows == 3000 and counts.duplicates == 3000 - len(first)
+
+
+def test_a_larger_raw_view_has_more_shuffle_partitions(spark, monkeypatch):
+    from salesengine.plans import pipeline
+    from salesengine.session import INITIAL_PARTITIONS
+
+    sf_dir = "/root/testdata/sf0.001"
+    small, order = pipeline.star_raw(spark, sf_dir)
+    assert small.sparkSession.conf.get(INITIAL_PARTITIONS, None) == spark.conf.get(INITIAL_PARTITIONS, None)
+    spark.conf.set("spark.sql.files.openCostInBytes", "12345")
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    try:
+        monkeypatch.setattr(pipeline, "input_bytes", lambda *_: 500 << 20)
+        raw, _ = pipeline.star_raw(spark, sf_dir)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    conf = raw.sparkSession.conf
+    assert int(conf.get(INITIAL_PARTITIONS)) == 125 and conf.get("spark.sql.files.openCostInBytes") == "12345"
+    assert spark.conf.get(INITIAL_PARTITIONS, None) == before
+    first = lambda df: sorted(map(str, C.clean_sales(df, order).collect()))
+    assert first(raw) == first(small)
