@@ -181,7 +181,8 @@ def read_sales(spark: SparkSession, path: str | list[str], with_order: bool = Tr
     return cells.select(*_typed_columns(), *(CSV_ORDER_COLUMNS if with_order else []))
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none") -> None:
     """Header, no index column, one folder of part files; quotes inside
-    quoted fields are doubled, so ``read_sales`` reads the files back."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    quoted fields are doubled, so ``read_sales`` reads the files back. A compressed
+    file is read by one task, so it should be no larger than a split."""
+    df.write.mode(mode).option("header", True).option("escape", '"').option("compression", compression).csv(path)

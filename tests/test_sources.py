@@ -255,3 +255,16 @@ def test_input_bytes_takes_globs(spark, tmp_out):
     assert input_bytes(spark, os.path.join(tmp_out, "*.csv")) == os.path.getsize(p)
     with pytest.raises(FileNotFoundError):
         input_bytes(spark, os.path.join(tmp_out, "absent-*.csv"))
+
+
+def test_compressed_csv_is_read_back(spark, tmp_path):
+    from salesengine.schema import RAW_SALES
+    from salesengine.sources.csv import read_sales, write_csv
+
+    rows = [(f"t{i}", "2023-01-02", 'a "b", c', "c", "r", i, None, None, None, "p", True) for i in range(20)]
+    df = spark.createDataFrame(rows, RAW_SALES).repartition(3)
+    write_csv(df, str(tmp_path / "gz"), compression="gzip")
+    write_csv(df, str(tmp_path / "plain"))
+    assert len(list((tmp_path / "gz").glob("*.csv.gz"))) == len(list((tmp_path / "plain").glob("*.csv")))
+    read = lambda at: sorted(map(str, read_sales(spark, str(tmp_path / at), with_order=False).collect()))
+    assert read("gz") == read("plain")
