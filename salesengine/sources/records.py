@@ -49,7 +49,8 @@ def _patterns(sep: str) -> tuple[str, str]:
 def step_of(line: Column, sep: str = ",") -> Column:
     """The step of one line."""
     from_outside, from_inside = (line.rlike(p) for p in _patterns(sep))
-    found = (F.when(from_outside & from_inside, INSIDE).when(from_outside, SWAP).when(from_inside, KEEP).otherwise(OUTSIDE))
+    # a place in a table, so that each pattern is matched once
+    found = F.get(F.array(*map(F.lit, (OUTSIDE, KEEP, SWAP, INSIDE))), from_outside.cast("int") * 2 + from_inside.cast("int"))
     return F.when(F.instr(line, '"') == 0, KEEP).otherwise(found).cast("tinyint")
 
 
@@ -233,4 +234,6 @@ def read_records(spark: SparkSession, path: str | list[str], sep: str = ",") ->
     if again:
         pieces = _join_lines(_lines(spark, again, sep).join(small(cut), ["file", "block"])).where(F.col("kind") != WHOLE)
         out = out.unionByName(_put_together(pieces))
-    return out.withColumn("text", F.regexp_replace("text", r"\r\z", "")).where(F.col("open") | (F.trim("text") != ""))
+    text = F.col("text")
+    ended = F.when(F.endswith(text, F.lit("\r")), F.left(text, F.char_length(text) - 1)).otherwise(text)
+    return out.withColumn("text", ended).where(F.col("open") | (F.trim("text") != ""))

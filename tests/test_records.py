@@ -182,3 +182,23 @@ def test_run_with_quarantine(spark, tmp_out):
     assert counts["records", None] == 7 and counts["sound", None] == 4
     kept = spark.read.parquet(f"{out}/quarantine").collect()
     assert sorted((r.transaction_id, r[PROBLEM] or ",".join(r[LOST])) for r in kept) == [("B", "too_many_fields"), ("C", "quantity,unit_price"), ("D", "too_few_fields"), ("E", "too_many_fields")]
+
+
+def test_each_pattern_of_a_step_is_matched_once(spark):
+    lines = spark.createDataFrame([('a,"b',), ('"a","b"',), ("a",)], "line string").select(records.step_of(F.col("line")))
+    assert lines._jdf.queryExecution().analyzed().toString().count("RLIKE") == 2
+    assert [r[0] for r in lines.collect()] == [records.SWAP, records.OUTSIDE, records.KEEP]
+
+
+def test_raw_files_keep_the_order_of_copies_without_range_partitions(spark):
+    from salesengine.operators import clean as C
+    from salesengine.plans.pipeline import star_raw
+    from salesengine.plans.registry import in_order
+
+    raw, order = star_raw(spark, "/root/testdata/sf0.001")
+    rows = in_order(raw, order)
+    assert "rangepartitioning" not in rows._jdf.queryExecution().executedPlan().toString()
+    placed = rows.withColumn("_part", F.spark_partition_id()).withColumn("_pos", F.monotonically_increasing_id())
+    assert placed.groupBy(C.KEY).agg(F.count_distinct("_part").alias("n")).where("n > 1").isEmpty()
+    first = lambda df, by: sorted(map(str, C.dedupe_first(df, by).collect()))
+    assert first(placed.drop("_part"), ["_pos"]) == first(raw, order)
