@@ -185,7 +185,7 @@ def test_run_with_quarantine(spark, tmp_out):
 
 
 def test_each_pattern_of_a_step_is_matched_once(spark):
-    lines = spark.createDataFrame([('a,"b',), ('"a","b"',), ("a",)], "line string").select(records.step_of(F.col("line")))
+    lines = spark.createDataFrame([('a,"b',), ('"a","b"',), ("a",)], "line string").select(records.step_of(F.col("line")).alias("step"))
     assert lines._jdf.queryExecution().analyzed().toString().count("RLIKE") == 2
     assert [r[0] for r in lines.collect()] == [records.SWAP, records.OUTSIDE, records.KEEP]
 
