@@ -64,8 +64,10 @@ def refresh(spark: SparkSession, out_path: str, raw_path: str | list[str], multi
     batch_path = f"{folder}/batch"
     with sized_for(spark, input_bytes(spark, raw_path)):
         raw = spread(read_sales(spark, raw_path, multi_line=multi_line, quoted_breaks=quoted_breaks))
-        write_staged(clean_with_status(raw, CSV_ORDER_COLUMNS), batch_path)
-        late, fresh = late_and_new(read_staged(spark, batch_path), read_staged(spark, *[f"{f}/staged" for f in folders]))
+        cleaned = clean_with_status(raw, CSV_ORDER_COLUMNS)
+        write_table(cleaned, batch_path)  # read back whole: no need of a shuffle to months, which only the new rows get
+        batch = spark.read.schema(cleaned.schema).parquet(batch_path)
+        late, fresh = late_and_new(batch, read_staged(spark, *[f"{f}/staged" for f in folders]))
         write_staged(fresh, f"{folder}/staged")
     before = spark.read.parquet(f"{old}/{LATE}") if len(folders) > 1 else None
     counted = late.agg(F.coalesce(F.sum(COPIES), F.lit(0)).cast("long").alias("n"))

@@ -113,3 +113,11 @@ def test_unique_rows_are_not_shuffled(spark, tmp_out):
 
     few = shuffled(clean.dedupe_suspects(table, ["_o"], spark.read.parquet(os.path.join(tmp_out, "keys"))))
     assert few < 0.1 * shuffled(clean.dedupe_first(table, ["_o"]))
+
+
+def test_a_batch_is_not_shuffled_to_months(spark, tmp_out):
+    base = os.path.join(tmp_out, "set")
+    run(spark, batch(os.path.join(tmp_out, "raw/a.csv"), 1, 40), base, versioned=True)
+    res = refresh(spark, base, batch(os.path.join(tmp_out, "raw/b.csv"), 2, 40))
+    assert not [n for n in os.listdir(f"{res.folder}/batch") if "=" in n]
+    assert [n for n in os.listdir(f"{res.folder}/staged") if "=" in n]
