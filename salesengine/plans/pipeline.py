@@ -111,10 +111,11 @@ _tables: dict[str, DataFrame] = {}
 TEXT_FACTOR = 8
 
 
-def star_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
-    """The raw view and its order columns; its session has shuffle partitions by the size of the line items."""
+def star_raw(spark: SparkSession, sf_dir: str, together: bool = False) -> tuple[DataFrame, list[str]]:
+    """The raw view (``together``: copies of a transaction id in one partition) and its order columns; its session has shuffle
+    partitions by the size of the line items."""
     sized = sized_session(spark, TEXT_FACTOR * input_bytes(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet"))
-    return raw_sales_from_star(sized, sf_dir), list(STAR_ORDER_COLUMNS)
+    return raw_sales_from_star(sized, sf_dir, together), list(STAR_ORDER_COLUMNS)
 
 
 def _shared(spark: SparkSession, path: str, read) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import MISSING_TOKENS, RAW_COLUMNS, RAW_SALES, WIDE
+from ..session import released
 from .records import INSIDE, SWAP, read_records, step_of
 
 # Order columns appended by read_sales; they give "first row wins" a meaning
@@ -185,4 +186,5 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", compression: st
     """Header, no index column, one folder of part files; quotes inside
     quoted fields are doubled, so ``read_sales`` reads the files back. A compressed
     file is read by one task, so it should be no larger than a split."""
-    df.write.mode(mode).option("header", True).option("escape", '"').option("compression", compression).csv(path)
+    with released(df.sparkSession):
+        df.write.mode(mode).option("header", True).option("escape", '"').option("compression", compression).csv(path)

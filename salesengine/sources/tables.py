@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..operators.clean import COPIES, OK, RAW_DATE, STATUS
 from ..operators.summaries import monthly_category_summary, product_summary, regional_summary
 from ..schema import SALES, SALES_COLUMNS, SALES_PARTITION_COLUMNS
+from ..session import released
 from .versions import current, parts
 
 # Partitions a rebalance before a partitioned write starts from: it has a few hundred keys,
@@ -40,7 +41,8 @@ def clustered(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def write_sales(sales: DataFrame, path: str, mode: str = "overwrite") -> None:
     """S3: replace the fact table, partitioned by year/month."""
-    clustered(rebalanced_for_write(sales), SALES_PARTITION_COLUMNS).write.mode(mode).partitionBy(*SALES_PARTITION_COLUMNS).parquet(path)
+    with released(sales.sparkSession):
+        clustered(rebalanced_for_write(sales), SALES_PARTITION_COLUMNS).write.mode(mode).partitionBy(*SALES_PARTITION_COLUMNS).parquet(path)
 
 
 def write_staged(staged: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -49,7 +51,8 @@ def write_staged(staged: DataFrame, path: str, mode: str = "overwrite") -> str:
     path (the ``dq_status=ok`` directory, whose year/month layout is that of
     ``write_sales``). Rejected rows land beside it, under their status."""
     keys = [STATUS, *SALES_PARTITION_COLUMNS]
-    clustered(staged.hint("rebalance", WRITE_PARTITIONS, *keys), keys).write.mode(mode).partitionBy(*keys).parquet(path)
+    with released(staged.sparkSession):
+        clustered(staged.hint("rebalance", WRITE_PARTITIONS, *keys), keys).write.mode(mode).partitionBy(*keys).parquet(path)
     return f"{path.rstrip('/')}/{STATUS}={OK}"
 
 
@@ -106,7 +109,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Replace one summary table (one row per group). AQE already
     coalesces the small final-aggregate output into few files; nothing forces
     a large summary through one task."""
-    df.write.mode(mode).parquet(path)
+    with released(df.sparkSession):
+        df.write.mode(mode).parquet(path)
 
 
 def write_summaries(sales: DataFrame, base: str, mode: str = "overwrite",

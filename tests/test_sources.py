@@ -6,6 +6,7 @@ import os
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from salesengine.operators.clean import clean_sales
 from salesengine.operators.generate import generate_sales
@@ -268,3 +269,52 @@ def test_compressed_csv_is_read_back(spark, tmp_path):
     assert len(list((tmp_path / "gz").glob("*.csv.gz"))) == len(list((tmp_path / "plain").glob("*.csv")))
     read = lambda at: sorted(map(str, read_sales(spark, str(tmp_path / at), with_order=False).collect()))
     assert read("gz") == read("plain")
+
+
+def test_raw_files_of_star_tables_take_one_shuffle_after_the_parts(spark, monkeypatch):
+    from salesengine.operators import clean as C
+    from salesengine.plans import pipeline, registry
+
+    sf_dir, plans, write = "/root/testdata/sf0.001", [], registry.write_csv
+    monkeypatch.setattr(registry, "write_csv", lambda df, path, **more: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, path, **more)))
+    registry.QUERIES["csv_clean_sales"](spark, sf_dir).collect()
+    assert "rangepartitioning" not in plans[0] and "hashpartitioning(transaction_id" not in plans[0]
+    assert plans[0].count("REPARTITION_BY_COL") == 1
+    # copies stay together though Spark splits whatever it may
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0.01"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        raw, order = pipeline.star_raw(spark, sf_dir, together=True)
+        placed = registry.in_order(raw, order, together=True).withColumn("_part", F.spark_partition_id()).withColumn("_pos", F.monotonically_increasing_id())
+        assert placed.groupBy(C.KEY).agg(F.count_distinct("_part").alias("n")).where("n > 1").isEmpty()
+        first = lambda df, by: sorted(map(str, C.dedupe_first(df, by).collect()))
+        assert first(placed.drop("_part"), ["_pos"]) == first(*pipeline.star_raw(spark, sf_dir))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark, tmp_out):
+    import time
+
+    from salesengine.session import RELEASE
+    from salesengine.sources.csv import write_csv
+    from salesengine.sources.tables import write_staged, write_table
+
+    folders = [str(f) for f in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+
+    def shuffled():
+        return {n for f in folders for _, _, names in os.walk(f) for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+    rows = spark.range(5000).select((F.col("id") % 700).alias("key"), F.lit("ok").alias("dq_status"), F.lit(2020).alias("year"), F.lit(1).alias("month"), F.lit("a").alias("category"), F.lit("b").alias("region"))
+    for name, write in (("a", write_table), ("b", write_csv), ("c", write_staged)):
+        before = shuffled()
+        write(rows.repartition(3, "key"), os.path.join(tmp_out, name))
+        until = time.time() + 20
+        while shuffled() - before and time.time() < until:
+            time.sleep(0.2)
+        assert not shuffled() - before, name
+    assert spark.conf.get(RELEASE, None) in (None, "false")
