@@ -23,7 +23,7 @@ from ..sources.scan import input_bytes, spread
 from ..sources.tables import SUMMARY_TABLES, read_sales_table, read_staged, write_jdbc, write_staged, write_summaries, write_table
 from ..sources.testdata import ORDER_COLUMNS as STAR_ORDER_COLUMNS
 from ..sources.testdata import raw_sales_from_star
-from ..sources.versions import commit, new_version
+from ..sources.versions import VERSIONS, commit, new_version, remove
 
 
 @dataclass
@@ -137,13 +137,21 @@ def _key(spark: SparkSession, sf_dir: str, what: str) -> tuple[str, str, str]:
 
 
 def star_staged(spark: SparkSession, sf_dir: str) -> str:
-    """Path of the staged table (all first-per-key rows by status), written once per application."""
+    """Path of the staged table (all first-per-key rows by status), written once per application; its folder is that
+    of a set, which ``star_set`` completes and commits.
+
+    The first rows by key are written as they come out of the dedupe and read back for the months' shuffle, so that the shuffle files of the
+    joins and the dedupe are gone by then; that table is dropped at the end.
+    """
     with _lock:
         path = _written.get(_key(spark, sf_dir, "staged"))
         if path is None:
-            raw, order = star_raw(spark, sf_dir)
-            path = new_table_path(spark, "staged")
-            write_staged(clean_with_status(raw, order), path)
+            raw, order = star_raw(spark, sf_dir, together=True)
+            path, first = f"{new_version(spark, new_table_path(spark, 'set'))}/staged", new_table_path(spark, "first")
+            cleaned = clean_with_status(raw, order)
+            write_table(cleaned, first)
+            write_staged(raw.sparkSession.read.schema(cleaned.schema).parquet(first), path)
+            remove(spark, first)
             _written[_key(spark, sf_dir, "staged")] = path
     return path
 
@@ -202,15 +210,13 @@ def star_summaries(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
 
 def star_set(spark: SparkSession, sf_dir: str) -> str:
-    """Folder of a versioned set of the star tables, committed once per application."""
+    """Folder of a versioned set of the star tables, committed once per application: the staged table where it lies, and its rollups."""
     with _lock:
         base = _written.get(_key(spark, sf_dir, "set"))
         if base is None:
-            raw, order = star_raw(spark, sf_dir)
-            base = new_table_path(spark, "set")
-            folder = new_version(spark, base)
-            sales = read_sales_table(spark, write_staged(clean_with_status(raw, order), f"{folder}/staged"))
-            write_reports(sales_rollup(sales), product_rollup(sales), folder)
+            folder = star_staged(spark, sf_dir).rpartition("/")[0]
+            base = folder.rpartition(f"/{VERSIONS}/")[0]
+            write_reports(star_rollup(spark, sf_dir), star_products(spark, sf_dir), folder)
             commit(spark, base, folder)
             _written[_key(spark, sf_dir, "set")] = base
     return base

@@ -58,6 +58,12 @@ def read_json(spark: SparkSession, path: str):
         stream.close()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a table, or another folder or file."""
+    p, fs = _at(spark, path)
+    fs.delete(p, True)
+
+
 def new_version(spark: SparkSession, base: str) -> str:
     """A folder for the tables of one run."""
     return f"{base.rstrip('/')}/{VERSIONS}/{uuid.uuid4().hex}"
@@ -114,6 +120,5 @@ def vacuum(spark: SparkSession, base: str, keep: int = 2, grace_hours: float = 2
                 p, fs = _at(spark, f"{base}/{COMMITS}/{marker}")
                 fs.delete(p, False)
         for below in (RESULTS, VERSIONS):
-            p, fs = _at(spark, f"{base}/{below}/{n}")
-            fs.delete(p, True)
+            remove(spark, f"{base}/{below}/{n}")
     return [f"{base}/{VERSIONS}/{n}" for n in gone]

@@ -9,8 +9,10 @@ import pytest
 from salesengine.operators.generate import generate_sales
 from salesengine.plans import pipeline
 from salesengine.plans.pipeline import run
+from salesengine.session import work_dir
 from salesengine.sources import versions
 from salesengine.sources.csv import write_csv
+from salesengine.sources.domains import DOMAINS, read_domains
 from salesengine.sources.tables import SUMMARY_TABLES, open_tables
 
 
@@ -83,3 +85,21 @@ def test_unversioned_runs_are_read_as_before(spark, tmp_out, raw):
     out = os.path.join(tmp_out, "out")
     run(spark, raw[0], out)
     assert versions.version_of(spark, out) == (0, out) and open_tables(spark, out)["sales"].count() == 300
+
+
+def test_star_set_cleans_the_raw_view_once(spark, monkeypatch):
+    from salesengine.plans import pipeline, registry
+
+    sf_dir, cleaned, clean = "/root/testdata/sf0.001", [], pipeline.clean_with_status
+    want = sorted(map(str, registry.QUERIES["product_summary"](spark, sf_dir).collect()))
+    monkeypatch.setattr(pipeline, "_written", {})
+    monkeypatch.setattr(pipeline, "clean_with_status", lambda *a: (cleaned.append(1), clean(*a))[1])
+    got = registry.QUERIES["versioned_product_summary"](spark, sf_dir)
+    assert sorted(map(str, got.collect())) == want and len(cleaned) == 1
+    assert not [n for n in versions._names(spark, f"{work_dir(spark)}/salesengine") if n.startswith("first-")]
+    base = pipeline.star_set(spark, sf_dir)
+    tables = open_tables(spark, base)
+    assert tables["sales"].count() == pipeline.star_sales(spark, sf_dir).count() and len(cleaned) == 1
+    for name, rows in (("sales_rollup", pipeline.star_rollup(spark, sf_dir)), ("product_rollup", pipeline.star_products(spark, sf_dir))):
+        assert tables[name].schema == rows.schema and sorted(map(str, tables[name].collect())) == sorted(map(str, rows.collect()))
+    assert len(versions.commits(spark, base)) == 1 and read_domains(spark, f"{versions.current(spark, base)}/{DOMAINS}")
