@@ -23,6 +23,8 @@ from .pipeline import RunResult, write_reports
 
 #: In a set's folder: how many late copies its batches brought, one row a batch.
 LATE = "late_copies"
+#: In a set's ``batch`` table: whether the set before had the row's id.
+IS_LATE = "is_late"
 MONTH = ["year", "month"]
 
 
@@ -44,17 +46,22 @@ def merged_months(old: DataFrame, new: DataFrame) -> DataFrame:
     return back(rest).unionByName(back(merged(back(again), back(new), ROLLUP_KEYS)))
 
 
-def late_and_new(batch: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of ``batch`` whose id is among ``known``, the others); a null id is one id."""
-    ids = known.select(F.col(KEY).alias("_known")).distinct()
-    same = F.col(KEY).eqNullSafe(F.col("_known"))
-    return batch.join(ids, same, "left_semi"), batch.join(ids, same, "left_anti")
+def with_late(cleaned: DataFrame, known: DataFrame) -> DataFrame:
+    """``cleaned``, one row an id, with IS_LATE: whether the id is among ``known`` (a null id is one id). Late rows keep their COPIES only.
+
+    The join is by the plain key, by which T1 has dealt out its rows already, so only the known ids are shuffled; a null id is looked up apart.
+    """
+    ids = known.select(F.col(KEY).alias("_known")).where("_known IS NOT NULL").distinct()
+    null_known = F.lit(not known.where(F.col(KEY).isNull()).isEmpty())
+    late = F.when(F.col(KEY).isNull(), null_known).otherwise(F.col("_known").isNotNull())
+    rows = cleaned.join(ids.hint("merge"), F.col(KEY) == F.col("_known"), "left").withColumn(IS_LATE, late)
+    return rows.select(*[F.col(c) if c == COPIES else F.when(~F.col(IS_LATE), F.col(c)).alias(c) for c in cleaned.columns], IS_LATE)
 
 
 def refresh(spark: SparkSession, out_path: str, raw_path: str | list[str], multi_line: bool = False, quoted_breaks: bool = False) -> RunResult:
     """Adds the CSV files of ``raw_path`` to the current set of ``out_path``, which must be versioned.
 
-    The batch is cleaned once and written; the set's ids are read once, as a column. A batch without any new row gives a version
+    The batch is cleaned once and written, its late rows without their values; the set's ids are read once, as a column. A batch without any new row gives a version
     with the same tables and more late copies.
     """
     number, old = version_of(spark, out_path)
@@ -64,13 +71,12 @@ def refresh(spark: SparkSession, out_path: str, raw_path: str | list[str], multi
     batch_path = f"{folder}/batch"
     with sized_for(spark, input_bytes(spark, raw_path)):
         raw = spread(read_sales(spark, raw_path, multi_line=multi_line, quoted_breaks=quoted_breaks))
-        cleaned = clean_with_status(raw, CSV_ORDER_COLUMNS)
+        cleaned = with_late(clean_with_status(raw, CSV_ORDER_COLUMNS), read_staged(spark, *[f"{f}/staged" for f in folders]))
         write_table(cleaned, batch_path)  # read back whole: no need of a shuffle to months, which only the new rows get
         batch = spark.read.schema(cleaned.schema).parquet(batch_path)
-        late, fresh = late_and_new(batch, read_staged(spark, *[f"{f}/staged" for f in folders]))
-        write_staged(fresh, f"{folder}/staged")
+        write_staged(batch.where(~F.col(IS_LATE)).drop(IS_LATE), f"{folder}/staged")
     before = spark.read.parquet(f"{old}/{LATE}") if len(folders) > 1 else None
-    counted = late.agg(F.coalesce(F.sum(COPIES), F.lit(0)).cast("long").alias("n"))
+    counted = batch.where(IS_LATE).agg(F.coalesce(F.sum(COPIES), F.lit(0)).cast("long").alias("n"))
     write_table(counted if before is None else before.unionByName(counted), f"{folder}/{LATE}")
     new = read_fact_parts(spark, [folder])
     rollup, products, paths = write_reports(

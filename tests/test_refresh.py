@@ -121,3 +121,27 @@ def test_a_batch_is_not_shuffled_to_months(spark, tmp_out):
     res = refresh(spark, base, batch(os.path.join(tmp_out, "raw/b.csv"), 2, 40))
     assert not [n for n in os.listdir(f"{res.folder}/batch") if "=" in n]
     assert [n for n in os.listdir(f"{res.folder}/staged") if "=" in n]
+
+
+def test_only_the_known_ids_are_shuffled_to_tell_late_rows(spark, tmp_out):
+    from salesengine.plans import refresh as module
+    from salesengine.sources.csv import CSV_ORDER_COLUMNS, read_sales
+    from salesengine.sources.tables import read_staged
+
+    base = os.path.join(tmp_out, "set")
+    res = run(spark, batch(os.path.join(tmp_out, "raw/a.csv"), 1, 300), base, versioned=True)
+    path = batch(os.path.join(tmp_out, "raw/b.csv"), 2, 300)
+    cleaned = clean.clean_with_status(read_sales(spark, path), CSV_ORDER_COLUMNS)
+    known = read_staged(spark, f"{res.folder}/staged")
+    marked = module.with_late(cleaned, known)
+    assert marked._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2  # T1's and that of the known ids
+    ids = {r[0] for r in known.select(clean.KEY).collect()}
+    assert None in ids
+    want = sorted((str(r[clean.KEY] if r[clean.KEY] not in ids else None), r[clean.COPIES], r[clean.KEY] in ids) for r in cleaned.collect())
+    assert sorted((str(r[clean.KEY]), r[clean.COPIES], r[module.IS_LATE]) for r in marked.collect()) == want
+    again = refresh(spark, base, path)
+    written = spark.read.parquet(f"{again.folder}/batch")
+    late = written.where(module.IS_LATE)
+    assert late.count() and all(late.where(F.col(c).isNotNull()).isEmpty() for c in written.columns if c not in (clean.COPIES, module.IS_LATE))
+    fresh = written.where(~F.col(module.IS_LATE)).drop(module.IS_LATE)
+    assert values(fresh) == values(read_staged(spark, f"{again.folder}/staged"))
